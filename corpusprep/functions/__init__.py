@@ -9,7 +9,7 @@ from corpusprep.functions.chat import (
     pair_json,
     with_system,
 )
-from corpusprep.functions.html import article_text, extract_article, page_title
+from corpusprep.functions.html import article_fields, article_text, page_title
 from corpusprep.functions.strings import (
     DOCSTRING_PROMPT,
     TITLE_PROMPT,
@@ -32,13 +32,13 @@ __all__ = [
     "DOCSTRING_PROMPT",
     "PromptText",
     "TITLE_PROMPT",
+    "article_fields",
     "article_text",
     "base_name",
     "chat_json",
     "chat_message",
     "chat_messages",
     "content_digest",
-    "extract_article",
     "file_path",
     "file_stem",
     "file_tokenizer",

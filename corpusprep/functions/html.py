@@ -20,11 +20,13 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 
-_HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+# One literal "<" in front of the choices lets the search skip from tag to tag.
+_HIDDEN = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--)>"
 _ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
 _TAG = r"<[^>]*>"
-_BLANKS = r"[ \t\n\r\f]+"
+# A single space needs no replacement.
+_BLANKS = r"[ \t\n\r\f]{2,}|[\t\n\r\f]"
 
 
 def _plain(markup: Column) -> Column:
@@ -33,19 +35,27 @@ def _plain(markup: Column) -> Column:
     return F.trim(F.regexp_replace(decoded, _BLANKS, " "))
 
 
+def visible_html(html: Column | str) -> Column:
+    """The page without scripts, styles and comments, which may hold tags."""
+    return F.regexp_replace(_col(html), _HIDDEN, " ")
+
+
 def page_title(html: Column | str) -> Column:
     """Text of the first ``<title>``; empty when there is none."""
-    visible = F.regexp_replace(_col(html), _HIDDEN, " ")
-    return _plain(F.regexp_extract(visible, _TITLE, 1))
+    return _plain(F.regexp_extract(visible_html(html), _TITLE, 1))
 
 
 def article_text(html: Column | str) -> Column:
-    """Text of the first ``<article>``; empty when there is none. Scripts go
-    first, since they may hold tags inside strings."""
-    visible = F.regexp_replace(_col(html), _HIDDEN, " ")
-    return _plain(F.regexp_extract(visible, _ARTICLE, 1))
+    """Text of the first ``<article>``; empty when there is none."""
+    return _plain(F.regexp_extract(visible_html(html), _ARTICLE, 1))
+
+
+def article_fields(html: Column | str) -> Column:
+    """One struct of ``title`` and ``text``, in an array of length 1 (for
+    ``inline``): scripts and comments are taken out once for both."""
 
+    def fields(page: Column) -> Column:
+        title = _plain(F.regexp_extract(page, _TITLE, 1)).alias("title")
+        return F.struct(title, _plain(F.regexp_extract(page, _ARTICLE, 1)).alias("text"))
 
-def extract_article(html: Column | str) -> list[Column]:
-    """``title`` and ``text`` of a page, for use in a ``select``."""
-    return [page_title(html).alias("title"), article_text(html).alias("text")]
+    return F.transform(F.array(visible_html(html)), fields)

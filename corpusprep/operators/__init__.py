@@ -18,7 +18,7 @@ from corpusprep.operators.packing import (
     take_token_budget,
     token_report,
 )
-from corpusprep.operators.records import compare_responses, flatten_nested, map_text
+from corpusprep.operators.records import compare_responses, extract_article, flatten_nested, map_text
 from corpusprep.operators.reduce import dedup_exact, latest_per_key
 from corpusprep.operators.runs import every_nth, rolling_mean, run_timeline
 from corpusprep.operators.split import select_corpus, split_by_hash, split_label, split_random
@@ -31,6 +31,7 @@ __all__ = [
     "documented_functions",
     "eval_subset",
     "every_nth",
+    "extract_article",
     "filter_null_or_empty",
     "filter_report",
     "flatten_nested",

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,11 +41,11 @@ def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = No
     """Upper ends of the buckets, from a sample of the keys as a range partitioner
     draws it: about ten keys for each bucket, at most 600,000 in all. The sample
     only decides how even the buckets are; any bounds give the same result."""
-    keys = df.select(*columns).dropna()
-    rows = keys.count()
+    rows = df.count()
     buckets = buckets or _bucket_count(df, rows)
     if buckets < 2:
         return []
+    keys = df.select(*columns).dropna()
     wanted = SAMPLES_PER_BUCKET * buckets
     if rows > 2 * wanted:
         keys = keys.sample(fraction=1.2 * wanted / rows, seed=17)
@@ -70,6 +71,12 @@ def range_bucket(df: DataFrame, columns: str | Sequence[str], buckets: int | Non
 def _rank(key: Column, bounds: list, key_type: str) -> Column:
     """How many bounds are at or below the key, found level by level: each level
     is FAN_OUT times finer than the one before and looks at one node of it."""
+    # A lambda over a one-element array gives a value a name inside an
+    # expression, so that it is computed once and not for every comparison.
+    return F.get(F.transform(F.array(key.cast(key_type)), lambda k: _reached(k, bounds, key_type)), 0)
+
+
+def _reached(key: Column, bounds: list, key_type: str) -> Column:
     levels = [bounds]
     while len(levels[0]) > FAN_OUT:
         levels.insert(0, levels[0][::FAN_OUT])
@@ -80,7 +87,6 @@ def _rank(key: Column, bounds: list, key_type: str) -> Column:
     def one_level_down(at: Column, level: list) -> Column:
         nodes = [level[i : i + FAN_OUT] for i in range(0, len(level), FAN_OUT)]
         tree = F.from_json(F.lit(json.dumps(nodes)), f"array<array<{key_type}>>")
-        # A lambda over a one-element array names `at`, so that it is computed once.
         return F.get(F.transform(F.array(at), lambda i: i * FAN_OUT + reached(F.get(tree, i))), 0)
 
     at = reached(F.from_json(F.lit(json.dumps(levels[0])), f"array<{key_type}>"))
@@ -89,7 +95,7 @@ def _rank(key: Column, bounds: list, key_type: str) -> Column:
     return F.coalesce(at + 1, F.lit(0)).cast("bigint")
 
 
-def bucket_bases(df: DataFrame, value: str, bucket: str, group_by: Sequence[str] = ()) -> DataFrame:
+def bucket_bases(df: DataFrame, value: Column, bucket: str, group_by: Sequence[str] = ()) -> DataFrame:
     """For each (group, bucket), the sum of ``value`` in the group's earlier
     buckets. Buckets are ranges of (group, order), so only the first group of a
     bucket can have a base above zero: at most one row per bucket is left."""
@@ -101,7 +107,7 @@ def bucket_bases(df: DataFrame, value: str, bucket: str, group_by: Sequence[str]
 
 def running_start(
     df: DataFrame,
-    value: str,
+    value: Column,
     order_by: str | Sequence[str],
     group_by: str | Sequence[str] = (),
     out: str = "start",
@@ -123,11 +129,13 @@ def running_start(
         bases.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"), "_base")
     )
 
+    # The window keeps the partitioning made here, and `value` is worked out
+    # after it, over even buckets, however few and uneven the input splits are.
+    moved = rows.repartition(*group, "_bucket").withColumn("_value", value)
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
-    up_to_here = F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    this = F.struct(*order)
-    tied = F.lag(this).over(inside) == this
-    local = rows.withColumn("_local", up_to_here - F.col(value)).withColumn("_tied", tied)
+    up_to_here = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    tied = reduce(Column.__and__, [F.lag(c).over(inside) == F.col(c) for c in order])
+    local = moved.withColumn("_local", up_to_here - F.col("_value")).withColumn("_tied", tied)
 
     same = F.col("_bucket") == F.col("_b")
     for i, g in enumerate(group):
@@ -148,5 +156,4 @@ def with_position(
 ) -> DataFrame:
     """Adds the row's place in its group, from 0: a ``row_number`` that a group
     of any size cannot push into one task."""
-    ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_start(ones, "_one", order_by, group_by, out, bucket).drop("_one")
+    return running_start(df, F.lit(1).cast("bigint"), order_by, group_by, out, bucket)

@@ -37,14 +37,12 @@ def pack_tokens(
     """
     group = names(group_by)
     full = tokens if eos is None else with_eos(tokens, eos)
-    # Drawn before the tokens are counted, so that this pass reads keys only.
-    bucket = range_bucket(df, [*group, *names(order_by)])
-    sized = df.withColumn("_n", F.size(full).cast("bigint")).filter("_n > 0")
-    placed = running_start(sized, "_n", order_by, group, out="_start", bucket=bucket)
+    size = F.coalesce(F.size(full), F.lit(0)).cast("bigint")
+    placed = running_start(df, size, order_by, group, out="_start")
 
     # Slices are made before the explode, so no row carries a whole document
     # once for each of its samples.
-    begin, end = F.col("_start"), F.col("_start") + F.col("_n")
+    begin, end = F.col("_start"), F.col("_start") + F.size("_tokens")
 
     def piece(sample: Column) -> Column:
         first = F.greatest(sample * length, begin)
@@ -52,7 +50,8 @@ def pack_tokens(
         part = F.slice(F.col("_tokens"), (first - begin + 1).cast("int"), (last - first).cast("int"))
         return F.struct(sample.alias("sample"), first.alias("first"), part.alias("part"))
 
-    samples = F.sequence(F.floor(begin / length), F.floor((end - 1) / length))
+    touched = F.sequence(F.expr(f"_start div {length}"), F.expr(f"(_start + size(_tokens) - 1) div {length}"))
+    samples = F.when(F.size("_tokens") > 0, touched)
     pieces = placed.withColumn("_tokens", full).select(*group, F.inline(F.transform(samples, piece)))
 
     # A sample has at most `length` pieces, so the list is bounded.
@@ -89,10 +88,10 @@ def assign_batches(
 ) -> DataFrame:
     """Adds the batch of each row from its dense position (from 0).
     ``drop_last`` leaves out a short last batch."""
-    batched = df.withColumn(out, F.floor(F.col(position) / batch_size).cast("bigint"))
+    batched = df.withColumn(out, F.expr(f"`{position}` div {int(batch_size)}"))
     if not drop_last:
         return batched
-    full = df.agg(F.floor(F.count(F.lit(1)) / batch_size).cast("bigint")).scalar()
+    full = df.agg(F.expr(f"count(1) div {int(batch_size)}")).scalar()
     return batched.filter(F.col(out) < full)
 
 
@@ -112,12 +111,12 @@ def take_token_budget(df: DataFrame, tokens: str, order_by: str, budget: int) ->
     if budget <= 0:
         return df.filter(F.lit(False))
     rows = df.select(order_by, tokens).withColumn("_bucket", range_bucket(df, order_by))
-    bases = bucket_bases(rows, tokens, "_bucket")
+    bases = bucket_bases(rows, F.col(tokens), "_bucket")
     ends_in = bases.filter((F.col("_base") < budget) & (F.col("_base") + F.col("_sum") >= budget)).first()
     if ends_in is None:
         return df
     last_bucket = rows.filter(F.col("_bucket") == ends_in["_bucket"])
-    placed = running_start(last_bucket, tokens, order_by, out="_start", bucket=F.lit(0).cast("bigint"))
+    placed = running_start(last_bucket, F.col(tokens), order_by, out="_start", bucket=F.lit(0).cast("bigint"))
     last = placed.filter(F.col("_start") + ends_in["_base"] < budget).agg(F.max(order_by)).first()[0]
     # A null key comes first in the order, as it does in a sort.
     return df.filter(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(last)))
@@ -150,10 +149,10 @@ def token_report(
 ) -> DataFrame:
     """Rows, tokens, full samples and full batches for each value of ``by``."""
     total = F.sum(tokens)
-    samples = F.floor(total / length)
+    samples = F.expr(f"sum(`{tokens}`) div {int(length)}")
     return df.groupBy(*names(by)).agg(
         F.count(F.lit(1)).alias("n_rows"),
         total.alias("n_tokens"),
-        samples.cast("bigint").alias("full_samples"),
-        F.floor(samples / batch_size).cast("bigint").alias("full_batches"),
+        samples.alias("full_samples"),
+        F.expr(f"sum(`{tokens}`) div {int(length)} div {int(batch_size)}").alias("full_batches"),
     )

@@ -1,4 +1,4 @@
-"""Nested records, answers side by side, and the user's own function."""
+"""Articles of pages, nested records, answers side by side, the user's own function."""
 
 from __future__ import annotations
 
@@ -8,9 +8,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.functions.html import article_fields
 from corpusprep.operators.ordering import names
 
 
+def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """The page rows with ``title`` and ``text`` in place of their HTML. They come
+    out of a generator, so a later filter uses the finished columns; through a
+    plain projection it would be pushed down and run every expression again."""
+    kept = [c for c in df.columns if c != html_col]
+    return df.select(*kept, F.inline(article_fields(html_col)))
+
+
 def flatten_nested(
     df: DataFrame, array_col: str, parent_cols: Mapping[str, str] | Sequence[str], renames: Mapping[str, str] | None = None
 ) -> DataFrame:

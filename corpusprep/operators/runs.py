@@ -43,7 +43,7 @@ def rolling_mean(
     if not 1 <= n <= rows_per_block:
         raise ValueError(f"n must be from 1 to {rows_per_block}, not {n}")
     placed = with_position(df, order_by, run_col, "_position")
-    block = F.floor(F.col("_position") / rows_per_block).cast("bigint")
+    block = F.expr(f"_position div {int(rows_per_block)}")
     feeds_next = F.col("_position") % rows_per_block >= rows_per_block - (n - 1)
     blocks = F.when(feeds_next, F.array(block, block + 1)).otherwise(F.array(block))
     spread = placed.withColumn("_own", block).withColumn("_block", F.explode(blocks))

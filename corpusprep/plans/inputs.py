@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusprep.functions import extract_article
+from corpusprep.operators import extract_article
 from corpusprep.sources import read_table
 
 # Code elements, from the part table. The same text runs in both engines.
@@ -56,7 +55,4 @@ def code_elements(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
-    pages = read_table(spark, "pages", folder)
-    # One big page costs as much as many small ones, and a file may hold few
-    # row groups; the extraction is row by row, so no shuffle is needed here.
-    return pages.select("page_id", "url", *extract_article(F.col("html")))
+    return extract_article(read_table(spark, "pages", folder))

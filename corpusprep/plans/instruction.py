@@ -28,7 +28,7 @@ def _message_sql(prompt: str, response: str) -> str:
 
 
 def distinct_articles(spark: SparkSession, folder: str) -> DataFrame:
-    filled = op.load_and_filter(articles(spark, folder))
+    filled = op.load_and_filter(articles(spark, folder).select("page_id", "title", "text"))
     return op.dedup_exact(filled, ["text", "title"], keep_by="page_id")
 
 
@@ -66,7 +66,7 @@ with articles as ({ARTICLES_SQL}),
 ranked as (
   select *, row_number() over (partition by text, title order by page_id) as rn
   from articles where text <> '' and title <> '')
-select page_id, url, title, text from ranked where rn = 1"""
+select page_id, title, text from ranked where rn = 1"""
 _TITLE_PAIRS_SQL = f"""
 select page_id, {_prompt_sql('text', fn.TITLE_PROMPT)} as prompt, title as response
 from ({_DISTINCT_SQL})"""

@@ -35,10 +35,18 @@ class _Done(WriterCommitMessage):
     n_files: int
 
 
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark's own readers and writers would use,
+    so that a bare path on a cluster never ends on one executor's disk."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(target).toString()
 
 
 class _TextFolderWriter(DataSourceArrowWriter):
@@ -103,8 +111,8 @@ class TextFolderSink(DataSource):
         return _TextFolderWriter(self.options["path"], overwrite)
 
 
-# Spark's file readers skip names that begin so.
-_UNREAD = r"^[._]"
+# Names that Spark's file readers skip (the first two) or cannot open.
+_UNREADABLE = r"^$|^[._]|:"
 
 
 def write_text_folder(
@@ -113,7 +121,7 @@ def write_text_folder(
     text_col: str,
     path: str,
     collisions: str = "error",
-    hidden: str = "error",
+    unreadable: str = "error",
     mode: str = "error",
 ) -> DataFrame:
     """Writes each row's text to ``<path>/<stem of the id>.txt`` and returns the
@@ -122,13 +130,13 @@ def write_text_folder(
     Rows with null text or id are not written; use ``filter_null_or_empty``
     first to count them. When two ids share a stem, ``error`` stops before
     anything is written, and ``suffix`` adds a digest of the id to every name.
-    Names that Spark's readers skip (they begin with ``.`` or ``_``) are an
-    error too, unless ``hidden="keep"``. The folder needs a file system with a
+    Names that Spark could not read back (empty, with ``.`` or ``_`` in front,
+    or with ``:``) are an error too, unless ``unreadable="keep"``. The folder needs a file system with a
     folder move, such as a mount that all executors share, or HDFS. One file
     per document is slow where objects are costly: ``write_jsonl`` makes shards.
     """
-    if collisions not in ("error", "suffix") or hidden not in ("error", "keep"):
-        raise ValueError(f"unknown collisions={collisions!r} or hidden={hidden!r}")
+    if collisions not in ("error", "suffix") or unreadable not in ("error", "keep"):
+        raise ValueError(f"unknown collisions={collisions!r} or unreadable={unreadable!r}")
     if mode not in ("error", "overwrite"):
         raise ValueError(f"mode must be 'error' or 'overwrite', not {mode!r}")
     stem = unique_stem if collisions == "suffix" else file_stem
@@ -136,18 +144,18 @@ def write_text_folder(
     named = present.select(stem(F.col(id_col).cast("string")).alias("name"), F.col(text_col).alias("text"))
 
     per_name = named.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    unread = F.lit(False) if hidden == "keep" else (F.col("name").rlike(_UNREAD) | (F.col("name") == ""))
-    bad = per_name.filter((F.col("n") > 1) | unread).limit(5).collect()
+    lost = F.lit(False) if unreadable == "keep" else F.col("name").rlike(_UNREADABLE)
+    bad = per_name.filter((F.col("n") > 1) | lost).limit(5).collect()
     shared = [r["name"] for r in bad if r["n"] > 1]
     if shared:
         raise NameCollision(f"names of several rows, such as {shared}")
     if bad:
-        raise ValueError(f"names that Spark readers skip, such as {[r['name'] for r in bad]}")
+        raise ValueError(f"names that Spark cannot read back, such as {[r['name'] for r in bad]}")
 
     spark = df.sparkSession
     spark.dataSource.register(TextFolderSink)
     spark_mode = "append" if mode == "error" else "overwrite"
-    named.write.format("textfolder").mode(spark_mode).save(path)
+    named.write.format("textfolder").mode(spark_mode).save(_qualified(spark, path))
     return named.select("name", file_path(path, "name").alias("path"))
 
 
