@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 100_000
 MIN_ROWS_PER_BUCKET = 50
-MAX_BUCKETS = 50_000
+MAX_BUCKETS = 65_536
 SAMPLES_PER_BUCKET = 10
 FAN_OUT = 16
 
@@ -37,11 +37,11 @@ def _bucket_count(df: DataFrame, rows: int) -> int:
     return max(1, min(wanted, MAX_BUCKETS, rows // MIN_ROWS_PER_BUCKET))
 
 
-def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list:
+def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = None, rows: int | None = None) -> list:
     """Upper ends of the buckets, from a sample of the keys as a range partitioner
-    draws it: about ten keys for each bucket, at most 600,000 in all. The sample
+    draws it: about ten keys for each bucket, at most 800,000 in all. The sample
     only decides how even the buckets are; any bounds give the same result."""
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     buckets = buckets or _bucket_count(df, rows)
     if buckets < 2:
         return []
@@ -56,11 +56,14 @@ def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = No
     return [k for i, k in enumerate(picked) if i == 0 or k != picked[i - 1]]
 
 
-def range_bucket(df: DataFrame, columns: str | Sequence[str], buckets: int | None = None) -> Column:
+def range_bucket(
+    df: DataFrame, columns: str | Sequence[str], buckets: int | None = None, rows: int | None = None
+) -> Column:
     """A bucket number that grows with ``columns``. The bounds enter the plan as
-    constants, so a task that runs again puts its rows in the same buckets."""
+    constants, so a task that runs again puts its rows in the same buckets.
+    ``rows`` spares the count when it is known."""
     columns = names(columns)
-    bounds = range_bounds(df, columns, buckets)
+    bounds = range_bounds(df, columns, buckets, rows)
     if not bounds:
         return F.lit(0).cast("bigint")
     key = _sort_key(columns)
@@ -99,7 +102,10 @@ def bucket_bases(df: DataFrame, value: Column, bucket: str, group_by: Sequence[s
     """For each (group, bucket), the sum of ``value`` in the group's earlier
     buckets. Buckets are ranges of (group, order), so only the first group of a
     bucket can have a base above zero: at most one row per bucket is left."""
-    sums = df.groupBy(*group_by, bucket).agg(F.sum(value).alias("_sum"))
+    return _bases_of(df.groupBy(*group_by, bucket).agg(F.sum(value).alias("_sum")), bucket, group_by)
+
+
+def _bases_of(sums: DataFrame, bucket: str, group_by: Sequence[str]) -> DataFrame:
     earlier = Window.partitionBy(*group_by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
     return sums.select(*group_by, bucket, base, "_sum")
@@ -112,6 +118,7 @@ def running_start(
     group_by: str | Sequence[str] = (),
     out: str = "start",
     bucket: Column | None = None,
+    shared_shuffle: bool = False,
 ) -> DataFrame:
     """Adds the sum of ``value`` over the rows before this one in its group.
 
@@ -119,28 +126,38 @@ def running_start(
     apart; a tie stops the job, since its order could change when a task runs
     again. ``bucket`` may give the buckets as a column that grows with (group,
     order) and has at most MAX_BUCKETS values; otherwise they are drawn.
+
+    The bucket sums are a pass of their own over the columns they need, with
+    hardly any shuffle. ``shared_shuffle`` takes them from the shuffled rows
+    instead: better for few narrow columns that were costly to work out.
     """
     order, group = names(order_by), names(group_by)
     if bucket is None:
         bucket = range_bucket(df, [*group, *order])
     rows = df.withColumn("_bucket", bucket)
-    bases = bucket_bases(rows, value, "_bucket", group).filter("_base > 0")
-    keyed = F.broadcast(
-        bases.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"), "_base")
-    )
-
     # The window keeps the partitioning made here, and `value` is worked out
     # after it, over even buckets, however few and uneven the input splits are.
     moved = rows.repartition(*group, "_bucket").withColumn("_value", value)
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
     up_to_here = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     tied = reduce(Column.__and__, [F.lag(c).over(inside) == F.col(c) for c in order])
-    local = moved.withColumn("_local", up_to_here - F.col("_value")).withColumn("_tied", tied)
+    local = moved.withColumn("_total", up_to_here).withColumn("_tied", tied)
+
+    if shared_shuffle:
+        bases = _bases_of(local.groupBy(*group, "_bucket").agg(F.max("_total").alias("_sum")), "_bucket", group)
+    else:
+        bases = bucket_bases(rows, value, "_bucket", group)
+    # At most one row for each bucket, so at most MAX_BUCKETS rows.
+    keyed = F.broadcast(
+        bases.filter("_base > 0").select(
+            *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"), "_base"
+        )
+    )
 
     same = F.col("_bucket") == F.col("_b")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    start = F.col("_local") + F.coalesce("_base", F.lit(0))
+    start = F.col("_total") - F.col("_value") + F.coalesce("_base", F.lit(0))
     stop = F.raise_error(F.lit(f"order_by {order} does not tell all rows apart")).cast("bigint")
     return local.join(keyed, same, "left").select(
         *df.columns, F.when(F.col("_tied"), stop).otherwise(start).cast("bigint").alias(out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ SAMPLE_LENGTH = 2048
 BATCH_SIZE = 1024
 SHUFFLE_SEED = 17
 
+# Rows of keys and starts that one task may hold in a hash table.
+MAX_HASHED_ROWS = 2_000_000
+
 
 def pack_tokens(
     df: DataFrame,
@@ -31,28 +35,38 @@ def pack_tokens(
 
     Returns the group columns, ``sample`` (from 0) and ``tokens``. The short
     last sample is left out unless ``drop_tail`` is false. ``tokens`` is an
-    expression: documents are ordered by their text, which is a fraction of the
-    size of their token array, and cut into tokens after that. A tokenizer that
-    costs more than reading the tokens back should be run and written first.
+    expression and runs twice, once to count and once to cut: documents are
+    shuffled as text, a fraction of the size of their token array. A tokenizer
+    that costs more than reading tokens back should be run and written first.
     """
     group = names(group_by)
     full = tokens if eos is None else with_eos(tokens, eos)
-    size = F.coalesce(F.size(full), F.lit(0)).cast("bigint")
-    placed = running_start(df, size, order_by, group, out="_start")
-
-    # Slices are made before the explode, so no row carries a whole document
-    # once for each of its samples.
-    begin, end = F.col("_start"), F.col("_start") + F.size("_tokens")
+    keys = [*group, *names(order_by)]
 
-    def piece(sample: Column) -> Column:
-        first = F.greatest(sample * length, begin)
-        last = F.least((sample + 1) * length, end)
-        part = F.slice(F.col("_tokens"), (first - begin + 1).cast("int"), (last - first).cast("int"))
-        return F.struct(sample.alias("sample"), first.alias("first"), part.alias("part"))
-
-    touched = F.sequence(F.expr(f"_start div {length}"), F.expr(f"(_start + size(_tokens) - 1) div {length}"))
-    samples = F.when(F.size("_tokens") > 0, touched)
-    pieces = placed.withColumn("_tokens", full).select(*group, F.inline(F.transform(samples, piece)))
+    # Where each document starts, from keys and counts alone.
+    rows = df.count()
+    bucket = range_bucket(df, keys, rows=rows)
+    size = F.coalesce(F.size(full), F.lit(0)).cast("bigint")
+    counts = df.select(*keys, size.alias("_n"))
+    starts = running_start(counts, F.col("_n"), order_by, group, "_start", bucket, shared_shuffle=True)
+    starts = starts.filter("_n > 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start", "_n")
+    # Keys are unique, so the parts of this side are even; hashed, they spare
+    # the sort of the documents. Past that size the sort is the safer way.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    strategy = "shuffle_hash" if rows <= tasks * MAX_HASHED_ROWS else "merge"
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    placed = df.join(starts.hint(strategy), same).drop(*[f"_k{i}" for i in range(len(keys))])
+
+    # The explode and the slice run in one generated loop over the document:
+    # only the slices become rows, not one copy of the document per sample.
+    begin, end = F.col("_start"), F.col("_start") + F.col("_n")
+    touched = F.expr(f"sequence(_start div {length}, (_start + _n - 1) div {length})")
+    cut = placed.withColumn("_tokens", full)
+    cut = cut.select(*group, "_start", "_n", "_tokens", F.explode(touched).alias("sample"))
+    first = F.greatest(F.col("sample") * length, begin)
+    last = F.least((F.col("sample") + 1) * length, end)
+    part = F.slice("_tokens", (first - begin + 1).cast("int"), (last - first).cast("int"))
+    pieces = cut.select(*group, "sample", first.alias("first"), part.alias("part"))
 
     # A sample has at most `length` pieces, so the list is bounded.
     packed = pieces.groupBy(*group, "sample").agg(
@@ -70,12 +84,13 @@ def shuffle_rows(
     out: str = "position",
 ) -> DataFrame:
     """Adds a place in a seeded random order. The order comes from a digest of
-    the key, so it is the same on every run and for every partitioning."""
+    the key, so it is the same on every run and for every partitioning. The keys
+    are read in a pass of their own: write rows that were costly to make first."""
     keys = names(key)
     drawn = df.withColumn("_draw", seeded_md5(seed, *keys))
-    # Digests are spread evenly, so their first three digits make even buckets;
-    # with groups in front the buckets have to be drawn.
-    bucket = None if group_by else F.conv(F.substring("_draw", 1, 3), 16, 10).cast("bigint")
+    # Digests are spread evenly, so their first four digits make 65,536 even
+    # buckets; with groups in front the buckets have to be drawn.
+    bucket = None if group_by else F.conv(F.substring("_draw", 1, 4), 16, 10).cast("bigint")
     return with_position(drawn, ["_draw", *keys], group_by, out, bucket).drop("_draw")
 
 

@@ -88,9 +88,9 @@ def packed_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
-    train = _split_documents(spark, folder).filter("split = 'train_small'")
-    samples = op.pack_tokens(train, _tokens(), "doc_id", length=SHORT)
-    shuffled = op.shuffle_rows(samples, "sample")
+    path = scratch_path(spark, "packed")
+    io.write_packed(_split_samples(spark, folder), path)
+    shuffled = op.shuffle_rows(io.read_packed(spark, path, "train_small"), "sample")
     return shuffled.select("position", "sample", F.array_join("tokens", " ").alias("tokens"))
 
 
