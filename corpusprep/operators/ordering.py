@@ -63,12 +63,34 @@ def range_bucket(
     constants, so a task that runs again puts its rows in the same buckets.
     ``rows`` spares the count when it is known."""
     columns = names(columns)
-    bounds = range_bounds(df, columns, buckets, rows)
+    return bucket_of(df, columns, range_bounds(df, columns, buckets, rows))
+
+
+def bucket_of(df: DataFrame, columns: Sequence[str], bounds: list) -> Column:
+    """The bucket number for bounds that are known."""
     if not bounds:
         return F.lit(0).cast("bigint")
     key = _sort_key(columns)
-    key_type = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-    return _rank(key, bounds, key_type)
+    return _rank(key, bounds, _key_type(df, key))
+
+
+def within_bucket(df: DataFrame, column: str, bounds: list, bucket: int) -> Column:
+    """The keys of one bucket as a plain range, which a scan can use to skip data."""
+    key = F.col(column)
+    inside = F.lit(True)
+    if bucket > 0:
+        inside = key >= _constant(bounds[bucket - 1], _key_type(df, key))
+    if bucket < len(bounds):
+        inside = inside & (key < _constant(bounds[bucket], _key_type(df, key)))
+    return inside if bucket > 0 else key.isNull() | inside
+
+
+def _key_type(df: DataFrame, key: Column) -> str:
+    return df.select(key.alias("k")).schema["k"].dataType.simpleString()
+
+
+def _constant(value, value_type: str) -> Column:
+    return F.get(F.from_json(F.lit(json.dumps([value])), f"array<{value_type}>"), 0)
 
 
 def _rank(key: Column, bounds: list, key_type: str) -> Column:

@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.strings import seeded_md5
 from corpusprep.functions.tokens import DEFAULT_EOS, with_eos
-from corpusprep.operators.ordering import bucket_bases, names, range_bucket, running_start, with_position
+from corpusprep.operators.ordering import (
+    bucket_bases,
+    bucket_of,
+    names,
+    range_bounds,
+    range_bucket,
+    running_start,
+    with_position,
+    within_bucket,
+)
 
 # The sample length, batch size and seed of the training runs.
 SAMPLE_LENGTH = 2048
@@ -119,18 +128,19 @@ def take_token_budget(df: DataFrame, tokens: str, order_by: str, budget: int) ->
     """Rows in order until ``budget`` tokens are reached; the row that reaches
     it is the last one kept.
 
-    Only keys and counts are summed and ordered, and only in the bucket where
-    the budget ends. The result is a filter on the key, which reaches the scan:
-    no text is shuffled.
+    Counts are summed by bucket, and ordered only in the bucket where the budget
+    ends. The result is a filter on the key, which reaches the scan: no text is
+    shuffled.
     """
     if budget <= 0:
         return df.filter(F.lit(False))
-    rows = df.select(order_by, tokens).withColumn("_bucket", range_bucket(df, order_by))
+    bounds = range_bounds(df, [order_by])
+    rows = df.select(order_by, tokens).withColumn("_bucket", bucket_of(df, [order_by], bounds))
     bases = bucket_bases(rows, F.col(tokens), "_bucket")
     ends_in = bases.filter((F.col("_base") < budget) & (F.col("_base") + F.col("_sum") >= budget)).first()
     if ends_in is None:
         return df
-    last_bucket = rows.filter(F.col("_bucket") == ends_in["_bucket"])
+    last_bucket = rows.filter(within_bucket(df, order_by, bounds, ends_in["_bucket"]))
     placed = running_start(last_bucket, F.col(tokens), order_by, out="_start", bucket=F.lit(0).cast("bigint"))
     last = placed.filter(F.col("_start") + ends_in["_base"] < budget).agg(F.max(order_by)).first()[0]
     # A null key comes first in the order, as it does in a sort.

@@ -45,11 +45,15 @@ def compare_responses(
     a_name: str = "answer_a",
     b_name: str = "answer_b",
 ) -> DataFrame:
-    """The answers of two models to the same prompts, next to each other. Each
-    side has one answer per key; its other columns are taken from ``a``."""
+    """The answers of two models to the same prompts, next to each other, with
+    the other columns of ``a``. ``b`` has one answer per key: a second one stops
+    the job, so that no key can make pairs of all its rows. The count shrinks
+    before the shuffle, and the join uses the partitioning it leaves."""
     keys = names(key)
     left = a.withColumnRenamed(content, a_name)
-    right = b.select(*keys, F.col(content).alias(b_name))
+    answers = b.groupBy(*keys).agg(F.min(content).alias("_answer"), F.count(F.lit(1)).alias("_n"))
+    stop = F.raise_error(F.lit(f"a second answer for the same {keys}"))
+    right = answers.select(*keys, F.when(F.col("_n") > 1, stop).otherwise(F.col("_answer")).alias(b_name))
     return left.join(right, keys, "inner")
 
 

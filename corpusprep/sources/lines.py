@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusprep.functions.chat import CHAT_SCHEMA
 
@@ -25,8 +24,8 @@ def write_jsonl(
     pass writes a folder for each split.
 
     ``single_file`` writes the one file ``path`` instead. All lines then pass
-    one task, so their size is summed first, and more than ``max_bytes`` is an
-    error: shards have no such limit.
+    one task, so shards are written first, and more than ``max_bytes`` of them is
+    an error: shards have no such limit.
     """
     if split_col is not None:
         if single_file:
@@ -39,10 +38,6 @@ def write_jsonl(
 
 
 def _write_one_file(lines: DataFrame, path: str, mode: str, max_bytes: int) -> None:
-    size = lines.agg(F.sum(F.octet_length(lines.columns[0]) + 1)).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"{size} bytes of lines are too many for one file (limit {max_bytes}); write shards")
-
     spark = lines.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
@@ -54,11 +49,17 @@ def _write_one_file(lines: DataFrame, path: str, mode: str, max_bytes: int) -> N
 
     # A staging folder of its own: several writes may run side by side.
     stage = hadoop.Path(f"{path}.stage-{uuid.uuid4().hex}")
+    shards, whole = f"{stage.toString()}/shards", f"{stage.toString()}/whole"
     try:
-        lines.repartition(1).write.text(stage.toString())
-        parts = [s.getPath() for s in fs.listStatus(stage) if s.getPath().getName().startswith("part-")]
+        lines.write.text(shards, lineSep="\n")
+        size = fs.getContentSummary(hadoop.Path(shards)).getLength()
+        if size > max_bytes:
+            raise ValueError(f"{size} bytes of lines are too many for one file (limit {max_bytes}); write shards")
+        spark.read.text(shards, lineSep="\n").coalesce(1).write.text(whole, lineSep="\n")
+        listed = fs.listStatus(hadoop.Path(whole))
+        parts = [s.getPath() for s in listed if s.getPath().getName().startswith("part-")]
         if len(parts) != 1:
-            raise RuntimeError(f"{len(parts)} part files in {stage.toString()}, not 1")
+            raise RuntimeError(f"{len(parts)} part files in {whole}, not 1")
         if fs.exists(target):
             fs.delete(target, True)
         if not fs.rename(parts[0], target):

@@ -143,9 +143,15 @@ def write_text_folder(
     present = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     named = present.select(stem(F.col(id_col).cast("string")).alias("name"), F.col(text_col).alias("text"))
 
-    per_name = named.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    lost = F.lit(False) if unreadable == "keep" else F.col("name").rlike(_UNREADABLE)
-    bad = per_name.filter((F.col("n") > 1) | lost).limit(5).collect()
+    def bad_names(names: DataFrame) -> list:
+        lost = F.lit(False) if unreadable == "keep" else F.col("name").rlike(_UNREADABLE)
+        counts = names.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+        return counts.filter((F.col("n") > 1) | lost).limit(5).collect()
+
+    # First over all ids, which reads no text; only if that finds something, again
+    # without the rows that have none.
+    ids = df.filter(F.col(id_col).isNotNull())
+    bad = bad_names(ids.select(stem(F.col(id_col).cast("string")).alias("name"))) and bad_names(named)
     shared = [r["name"] for r in bad if r["n"] > 1]
     if shared:
         raise NameCollision(f"names of several rows, such as {shared}")

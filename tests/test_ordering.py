@@ -168,12 +168,14 @@ def test_batches(spark):
     assert op.eval_subset(full, -1).count() == 200
 
 
-@pytest.mark.parametrize("budget", [0, 1, 777, 10**4, 10**9])
-def test_token_budget(spark, budget):
-    rows = [(k, v) for _, k, v in skewed_rows(800)]
-    df = table(spark, rows, "k BIGINT, n BIGINT")
+@pytest.mark.parametrize("budget", [0, 1, 777, 10**4, 10**6, 10**9])
+@pytest.mark.parametrize("key", ["bigint", "string"])
+def test_token_budget(spark, budget, key):
+    rows = [(k if key == "bigint" else f"k{k}", v) for _, k, v in skewed_rows(800)]
+    rows.append((None, 3))
+    df = table(spark, rows, f"k {key}, n BIGINT")
     kept, so_far = set(), 0
-    for k, n in sorted(rows):
+    for k, n in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
         if so_far < budget:
             kept.add(k)
         so_far += n

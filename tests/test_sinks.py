@@ -78,7 +78,7 @@ def test_modes(spark, tmp_path):
 
 
 def test_null_rows_are_not_written(spark, tmp_path):
-    df = spark.createDataFrame([("a", None), (None, "t"), ("b", "t")], "id STRING, text STRING")
+    df = spark.createDataFrame([("a", None), (None, "t"), ("b", "t"), ("b", None)], "id STRING, text STRING")
     io.write_text_folder(df, "id", "text", str(tmp_path / "out"))
     assert os.listdir(tmp_path / "out") == ["b.txt"]
 
@@ -140,6 +140,11 @@ def test_single_file(spark, tmp_path):
     assert [f for f in os.listdir(tmp_path) if not f.endswith(".crc")] == ["train.jsonl"]
 
 
+def test_single_file_of_no_rows(spark, tmp_path):
+    io.write_jsonl(messages(spark, 0), str(tmp_path / "none.jsonl"), single_file=True)
+    assert (tmp_path / "none.jsonl").read_text() == ""
+
+
 def test_single_file_is_bounded(spark, tmp_path):
     with pytest.raises(ValueError, match="write shards"):
         io.write_jsonl(messages(spark), str(tmp_path / "x"), single_file=True, max_bytes=100)

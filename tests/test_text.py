@@ -182,3 +182,5 @@ def test_compare_responses(spark):
     b = spark.createDataFrame([(1, "z"), (3, "w")], "key INT, content STRING")
     got = op.compare_responses(a, b, "key").select("key", "answer_a", "answer_b", "reference").collect()
     assert [tuple(r) for r in got] == [(1, "x", "z", "ref")]
+    with pytest.raises(Exception, match="second answer"):
+        op.compare_responses(a, b.union(b), "key").collect()
