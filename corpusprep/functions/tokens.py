@@ -40,6 +40,8 @@ def file_tokenizer(spark: SparkSession, path: str) -> Callable[[Column | str], C
         definition = spark.sparkContext.broadcast(f.read())
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Spark already runs one task per core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(definition.value)

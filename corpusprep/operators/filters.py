@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,11 +35,15 @@ def _filter_counts(keep: Column) -> list[Column]:
 
 
 def load_and_filter(
-    df: DataFrame, response_col: str = "title", text_col: str = "text", observation: Observation | None = None
+    table: DataFrame | str,
+    response_col: str = "title",
+    text_col: str = "text",
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Rows with text and response. ``observation`` receives ``in_rows``,
-    ``dropped_rows`` and ``kept_rows`` from the first full action that uses the
-    result, so that no job of its own counts them."""
+    """Rows of a table (or its name) with text and response. ``observation``
+    receives ``in_rows``, ``dropped_rows`` and ``kept_rows`` from the first full
+    action that uses the result, so that no job of its own counts them."""
+    df = SparkSession.active().read.table(table) if isinstance(table, str) else table
     keep = all_filled([text_col, response_col])
     if observation is not None:
         df = df.observe(observation, *_filter_counts(keep))

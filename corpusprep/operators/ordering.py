@@ -42,7 +42,7 @@ def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = No
     draws it: about ten keys for each bucket, at most 800,000 in all. The sample
     only decides how even the buckets are; any bounds give the same result."""
     rows = df.count() if rows is None else rows
-    buckets = buckets or _bucket_count(df, rows)
+    buckets = min(buckets or _bucket_count(df, rows), MAX_BUCKETS)
     if buckets < 2:
         return []
     keys = df.select(*columns).dropna()

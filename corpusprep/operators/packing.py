@@ -55,7 +55,7 @@ def pack_tokens(
     # Where each document starts, from keys and counts alone.
     rows = df.count()
     bucket = range_bucket(df, keys, rows=rows)
-    size = F.coalesce(F.size(full), F.lit(0)).cast("bigint")
+    size = F.coalesce(F.size(tokens) + (0 if eos is None else 1), F.lit(0)).cast("bigint")
     counts = df.select(*keys, size.alias("_n"))
     starts = running_start(counts, F.col("_n"), order_by, group, "_start", bucket, shared_shuffle=True)
     starts = starts.filter("_n > 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start", "_n")

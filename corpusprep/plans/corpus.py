@@ -24,7 +24,8 @@ def _split_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _counted(spark: SparkSession, folder: str) -> DataFrame:
-    return documents(spark, folder).withColumn("n_tokens", F.size(fn.with_eos(_tokens())).cast("bigint"))
+    # The end-of-text token counts too.
+    return documents(spark, folder).withColumn("n_tokens", (F.size(_tokens()) + 1).cast("bigint"))
 
 
 def _split_samples(spark: SparkSession, folder: str) -> DataFrame:

@@ -53,6 +53,14 @@ def test_null_keys_come_first(spark):
     assert got[None] == 0 and got[599] == 599
 
 
+def test_null_group_is_a_group(spark):
+    rows = [(None if g == "hot" else g, k, v) for g, k, v in skewed_rows(900)]
+    df = table(spark, rows, "g STRING, k BIGINT, v BIGINT")
+    got = op.running_start(df, F.col("v"), "k", "g").collect()
+    expected = expected_starts([(g or "", k, v) for g, k, v in rows])
+    assert {(r["g"] or "", r["k"]): r["start"] for r in got} == expected
+
+
 def test_any_bounds_give_the_same_result(spark, monkeypatch):
     rows = skewed_rows(1000)
     df = table(spark, rows, "g STRING, k BIGINT, v BIGINT")

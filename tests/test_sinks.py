@@ -2,6 +2,7 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,15 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_needs_the_shared_folder_on_a_cluster():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "x")
+    assert scratch_path(session("local[2]"), "x")
+
+
 def test_catalog_table(spark):
     spark.range(3).createOrReplaceTempView("three_rows")
     assert io.read_table(spark, "three_rows").count() == 3

@@ -140,6 +140,8 @@ def test_load_and_filter_counts_in_the_same_pass(spark):
     counts = Observation("counts")
     assert op.load_and_filter(df, observation=counts).count() == 3
     assert counts.get == {"in_rows": 7, "dropped_rows": 4, "kept_rows": 3}
+    df.createOrReplaceTempView("texts_and_titles")
+    assert op.load_and_filter("texts_and_titles").count() == 3
     report = op.filter_report(df, ["text", "title"]).first().asDict()
     assert report == counts.get
 
