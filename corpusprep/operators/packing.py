@@ -141,7 +141,8 @@ def take_token_budget(df: DataFrame, tokens: str, order_by: str, budget: int) ->
     if ends_in is None:
         return df
     last_bucket = rows.filter(within_bucket(df, order_by, bounds, ends_in["_bucket"]))
-    placed = running_start(last_bucket, F.col(tokens), order_by, out="_start", bucket=F.lit(0).cast("bigint"))
+    one = F.lit(0).cast("bigint")
+    placed = running_start(last_bucket, F.col(tokens), order_by, out="_start", bucket=one, shared_shuffle=True)
     last = placed.filter(F.col("_start") + ends_in["_base"] < budget).agg(F.max(order_by)).first()[0]
     # A null key comes first in the order, as it does in a sort.
     return df.filter(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(last)))

@@ -12,7 +12,8 @@ from corpusprep.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("shared"))
-    session = local_session("8", shuffle_partitions=4, spark__checkpoint__dir=folder)
+    # "8,3": eight cores, and a task may fail twice before its job does.
+    session = local_session("8,3", shuffle_partitions=4, spark__checkpoint__dir=folder)
     yield session
     session.stop()
 
