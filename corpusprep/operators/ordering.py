@@ -39,8 +39,9 @@ def _bucket_count(df: DataFrame, rows: int) -> int:
 
 def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = None, rows: int | None = None) -> list:
     """Upper ends of the buckets, from a sample of the keys as a range partitioner
-    draws it: about ten keys for each bucket, at most 800,000 in all. The sample
-    only decides how even the buckets are; any bounds give the same result."""
+    draws it: about ten keys for each bucket, at most 800,000 in all, of which one
+    for each bucket comes to the driver. The sample only decides how even the
+    buckets are; any bounds give the same result."""
     rows = df.count() if rows is None else rows
     buckets = min(buckets or _bucket_count(df, rows), MAX_BUCKETS)
     if buckets < 2:
@@ -50,10 +51,10 @@ def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = No
     if rows > 2 * wanted:
         keys = keys.sample(fraction=1.2 * wanted / rows, seed=17)
     drawn = keys.agg(F.array_sort(F.collect_list(_sort_key(columns))).alias("k"))
-    ordered = json.loads(drawn.select(F.to_json("k")).first()[0] or "[]")
-    step = max(1, len(ordered) // buckets)
-    picked = ordered[step::step]
-    return [k for i, k in enumerate(picked) if i == 0 or k != picked[i - 1]]
+    step = F.greatest(F.lit(1), F.expr(f"size(k) div {buckets}"))
+    picked = drawn.select(F.to_json(F.filter("k", lambda _, i: (i > 0) & (i % step == 0)))).first()[0]
+    bounds = json.loads(picked or "[]")
+    return [k for i, k in enumerate(bounds) if i == 0 or k != bounds[i - 1]]
 
 
 def range_bucket(

@@ -136,12 +136,10 @@ def flatten_nested(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def response_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    def words(first: int, name: str):
-        return F.array_join(F.slice(_tokens(), first, 12), " ").alias(name)
-
+    # Two answers for each document: its text as it is, and with single blanks.
     corpus = documents(spark, folder)
-    a = corpus.select("doc_id", words(1, "reference"), words(1, "content"))
-    b = corpus.select("doc_id", words(7, "content"))
+    a = corpus.select("doc_id", "lang", F.col("text").alias("content"))
+    b = corpus.select("doc_id", F.array_join(_tokens(), " ").alias("content"))
     return op.compare_responses(a, b, "doc_id")
 
 
@@ -235,9 +233,9 @@ ORACLES = {
           cast(length(line_text) as integer) as line_chars
         from opened""",
     "response_comparison": f"""
-        select doc_id, array_to_string({TOKENS_SQL}[1:12], ' ') as reference,
-          array_to_string({TOKENS_SQL}[1:12], ' ') as answer_a,
-          array_to_string({TOKENS_SQL}[7:18], ' ') as answer_b
-        from documents""",
+        select a.doc_id, a.lang, a.text as answer_a, b.answer_b
+        from documents a
+        join (select doc_id, array_to_string({TOKENS_SQL}, ' ') as answer_b from documents) b
+          on a.doc_id = b.doc_id""",
     "map_text": "select doc_id, text, replace(text, 'e', '3') as mapped from documents",
 }

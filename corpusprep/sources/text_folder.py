@@ -131,9 +131,11 @@ def write_text_folder(
     first to count them. When two ids share a stem, ``error`` stops before
     anything is written, and ``suffix`` adds a digest of the id to every name.
     Names that Spark could not read back (empty, with ``.`` or ``_`` in front,
-    or with ``:``) are an error too, unless ``unreadable="keep"``. The folder needs a file system with a
-    folder move, such as a mount that all executors share, or HDFS. One file
-    per document is slow where objects are costly: ``write_jsonl`` makes shards.
+    or with ``:``) are an error too, unless ``unreadable="keep"``.
+
+    The folder needs a file system with a folder move, such as a mount that all
+    executors share, or HDFS. One file per document is slow where objects are
+    costly: ``write_jsonl`` makes shards.
     """
     if collisions not in ("error", "suffix") or unreadable not in ("error", "keep"):
         raise ValueError(f"unknown collisions={collisions!r} or unreadable={unreadable!r}")
