@@ -20,11 +20,13 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 
-# One literal "<" in front of the choices lets the search skip from tag to tag.
-_HIDDEN = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--)>"
-_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
-_TAG = r"<[^>]*>"
+# Every pattern passes a page once, however broken it is: what is never closed
+# reaches to the end of the page, as in a browser; a tag holds no "<"; and the
+# atomic group keeps the first opening tag instead of trying all later ones.
+_HIDDEN = r"(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))"
+_ARTICLE = r"(?is)\A(?>.*?<article\b[^<>]*>)(.*?)</article>"
+_TITLE = r"(?is)\A(?>.*?<title\b[^<>]*>)(.*?)</title>"
+_TAG = r"<[^<>]*>"
 # A single space needs no replacement.
 _BLANKS = r"[ \t\n\r\f]{2,}|[\t\n\r\f]"
 

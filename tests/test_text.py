@@ -107,6 +107,10 @@ PAGES = {
         "kept",
     ),
     "no markup": ("", ""),
+    "<title>t</title><article>never closed <article>twice": ("t", ""),
+    "</article><title>t</title><article>a < b <i>c</i></article><article>d</article>": ("t", "a < b c"),
+    "<title>t</title><article>a</article><script>to the end <article>": ("t", "a"),
+    "<!-- <title>no</title> <article>x</article>": ("", ""),
     "": ("", ""),
 }
 
@@ -119,6 +123,14 @@ def test_articles(spark):
     assert values(df, fn.article_text("html")) == [t for _, t in PAGES.values()]
 
 
+@pytest.mark.parametrize("broken", ["<", "<article", "<article>", "<title>", "<script>", "<!--", "<style <b"])
+def test_broken_pages_take_one_pass(spark, broken):
+    # A pattern that starts over at every tag would need hours for these.
+    page = f"<article>{broken * 100_000}</article>"
+    assert op.extract_article(one_column(spark, [page, broken * 300_000], "html")).count() == 2
+    assert len(op.extract_article(one_column(spark, [page, broken * 300_000], "html")).collect()) == 2
+
+
 def test_tokens(spark):
     df = one_column(spark, ["a b", "  a\t\nb ", "", " ", "one", None])
     assert values(df, fn.whitespace_tokens("c")) == [["a", "b"], ["a", "b"], [], [], ["one"], None]
