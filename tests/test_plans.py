@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep import functions as fn
 from corpusprep import operators as op
+from corpusprep.functions import html
 from corpusprep.plans import QUERIES, inputs
 
 
@@ -86,7 +87,7 @@ def test_splits_read_keys_only_and_do_not_shuffle(spark, sf):
 
 
 def test_article_expressions_run_once(spark, sf):
-    assert plan(QUERIES["title_messages"](spark, sf)).count("(?is)<article") == 1
+    assert plan(QUERIES["title_messages"](spark, sf)).count(html._ARTICLE) == 1
 
 
 @pytest.mark.parametrize("name", ["dedup_articles", "latest_event"])
