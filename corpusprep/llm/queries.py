@@ -6,18 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import quality
+from corpusprep.llm import quality, sharding, url_filter
 from corpusprep.llm.common import read
 
 
+#: The rules that op2 is asked to apply (fixed values).
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+SHARDS = 16
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    listed = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES.items())
+    rules = spark.sql(f"select * from values {listed} as t(rule, verdict)")
+    return url_filter.filter_urls(read(spark, folder, "pages", "page_id", "url"), rules)
+
+
+def op6_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents", "doc_id", "text")
+    return sharding.assign_shards(documents, sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(read(spark, folder, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op6_hash_tree_shards": op6_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_url_filter": url_filter.filter_sql(URL_RULES),
+    "op6_hash_tree_shards": sharding.shards_sql(sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1)),
     "op9_quality_rules": quality.rules_sql(),
 }
