@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import quality, sharding, url_filter
+from corpusprep.llm import packing, quality, sharding, url_filter
 from corpusprep.llm.common import read
 
 
@@ -15,6 +16,9 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 
 SHARDS = 16
 
+#: A tokenizer file, and the same vocabulary as ranks.
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES.items())
@@ -31,10 +35,15 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(read(spark, folder, "documents", "doc_id", "text"))
 
 
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read(spark, folder, "documents", "doc_id", "text"), *TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op6_hash_tree_shards": op6_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
