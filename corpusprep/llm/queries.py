@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import packing, quality, sharding, url_filter
+from corpusprep.llm import packing, quality, sharding, substring_dedup, suffix_dedup, url_filter
 from corpusprep.llm.common import read
 
 
@@ -26,11 +26,19 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, folder, "pages", "page_id", "url"), rules)
 
 
+def op4_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeats(read(spark, folder, "documents", "doc_id", "text")))
+
+
 def op6_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents", "doc_id", "text")
     return sharding.assign_shards(documents, sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read(spark, folder, "documents", "doc_id", "text")))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(read(spark, folder, "documents", "doc_id", "text"))
 
@@ -41,13 +49,17 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op4_recompression_dedup": op4_recompression_dedup,
     "op6_hash_tree_shards": op6_hash_tree_shards,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": url_filter.filter_sql(URL_RULES),
+    "op4_recompression_dedup": substring_dedup.digest_sql(),
     "op6_hash_tree_shards": sharding.shards_sql(sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1)),
+    "op7_suffix_array_dedup": suffix_dedup.digest_sql(),
     "op9_quality_rules": quality.rules_sql(),
 }
