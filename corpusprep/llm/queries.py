@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusprep.llm import packing, quality, sharding, substring_dedup, suffix_dedup, url_filter
+from corpusprep.llm import language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
 from corpusprep.llm.common import read
 
 
@@ -20,12 +21,30 @@ SHARDS = 16
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def _fold(folds: int):
+    """A document's fold: the crc32 of its id as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents", "doc_id", "text")
+    model = toxicity.fit(documents, read(spark, folder, "labels", "doc_id", "toxic"), _fold(3) != 1)
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_features")
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES.items())
     rules = spark.sql(f"select * from values {listed} as t(rule, verdict)")
     return url_filter.filter_urls(read(spark, folder, "pages", "page_id", "url"), rules)
 
 
+def op3_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents", "doc_id", "text", "lang")
+    predicted = language_id.predict(documents, language_id.fit(documents, _fold(4) != 2), keep=["doc_id"])
+    return predicted.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(read(spark, folder, "documents", "doc_id", "text")))
 
@@ -48,7 +67,9 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
+    "op3_language_centroids": op3_language_centroids,
     "op4_recompression_dedup": op4_recompression_dedup,
     "op6_hash_tree_shards": op6_hash_tree_shards,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
