@@ -18,22 +18,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _turned(x: np.ndarray, by: int) -> np.ndarray:
-    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
-
-
-def hash_long(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
-    """The 64-bit xxHash of 8 bytes, as Spark's ``xxhash64`` of a long."""
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    with np.errstate(over="ignore"):
-        h = seed + p5 + np.uint64(8)
-        h = h ^ (_turned(x * p2, 31) * p1)
-        h = _turned(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-    return h ^ (h >> np.uint64(32))
-
-
 #: A number for each byte value.
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP[0]))
 

@@ -30,17 +30,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import shuffle_tasks, stored
-from corpusprep.llm.hashing import hash_long
+from corpusprep.llm.hashing import mix
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: A longer text is looked at in parts of so many units, with a window's overlap.
-LONG = 1 << 20
-GROUPS_AT_ONCE = 1 << 20
+LONG = 1 << 19
+GROUPS_AT_ONCE = 1 << 18
+#: Kinds of one name that a task sends by name at once; of those beyond, the windows
+#: are compared, as there are different kinds anyway.
+KINDS = 64
+#: Texts are sent in compressed packs made of so many bytes of all parts.
+PACK_BYTES = 16 << 20
 NULL_KEY = -(1 << 63)
 #: Rows with equal keys are numbered within so many parts of their content's hash.
 NUMBERING = 1024
@@ -97,9 +102,8 @@ def dealt(kind_no: int, kind: list, rows: Rows, part: np.ndarray) -> Iterator[tu
 
 
 def part_of_key(key: np.ndarray, seq: np.ndarray, parts: int) -> np.ndarray:
-    """What ``part_column`` gives: Spark's ``xxhash64`` of two longs, modulo parts."""
-    hashes = hash_long(seq.astype(np.uint64), hash_long(key.astype(np.int64).view(np.uint64), np.uint64(42)))
-    return hashes.view(np.int64) % parts
+    hashes = mix(mix(key.astype(np.int64).view(np.uint64)) + seq.astype(np.uint64))
+    return (hashes % np.uint64(parts)).astype(np.int64)
 
 
 def merged(rows: Rows) -> Rows:
@@ -181,13 +185,24 @@ def _joined(parts: list[Rows]) -> Rows:
 
 
 def _send(kind_no: int, kind: list, parts: list[Rows], tasks: int, size: int) -> Iterator[pa.RecordBatch]:
-    """The earliest of equal rows, dealt by name; the others are repeats."""
+    """The earliest of equal rows, groups dealt by name and windows by both names; the
+    others are repeats."""
     rows = _joined(parts)
     order, first = earliest(rows)
     out = list(dealt(SPANS, SPAN, s := spans_of(rows, order[~first], size), part_of_key(s["key"], s["seq"], tasks)))
-    kept = np.sort(order[first])  # in the order of the texts
-    rows = {c: v[kept] for c, v in rows.items()}
-    out += dealt(kind_no, kind, rows, (rows["name"] % np.uint64(tasks)).astype(np.int64))
+    kinds = order[first]
+    if kind_no == GROUPS:
+        name = rows["name"][kinds]
+        begin = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        place = np.arange(len(kinds)) - np.repeat(begin, np.diff(np.append(begin, len(kinds))))
+        asked = {c: rows[c][kinds[place >= KINDS]] for c, _ in ASK}
+        out += dealt(ASKS, ASK, asked, part_of_key(asked["key"], asked["seq"], tasks))
+        kinds = kinds[place < KINDS]
+        hashes = rows["name"]
+    else:
+        hashes = mix(rows["name"] + rows["cover"])
+    kinds = np.sort(kinds)  # in the order of the texts
+    out += dealt(kind_no, kind, {c: v[kinds] for c, v in rows.items()}, (hashes[kinds] % np.uint64(tasks)).astype(np.int64))
     for i in range(0, len(out), 64):
         yield _batch(out[i : i + 64])
 
@@ -225,7 +240,8 @@ def _compare_groups(size: int, tasks: int):
     def run(table: pa.Table) -> pa.Table:
         found = [unpack_rows(SPAN, _of_kind(table, SPANS))]
         rows = unpack_rows(GROUP, _of_kind(table, GROUPS))
-        out = []
+        part = table.column(PART)[0].as_py()
+        out = [(part, ASKS, blob) for blob in _of_kind(table, ASKS)]
         if len(rows["name"]):
             order, first = earliest(rows)
             found.append(spans_of(rows, order[~first], size))
@@ -254,7 +270,7 @@ def _name_windows(method: Method, tasks: int):
         ends = np.append(starts[1:], len(order))
         where = {(int(rows["key"][a]), int(rows["seq"][a])): (a, b) for a, b in zip(starts, ends, strict=True)}
         kept = []
-        for batch in texts.to_batches():
+        for batch in unpack_texts(texts):
             for part, data, bounds in text_slices(batch):
                 keys, seqs = np.asarray(part.column(KEY)), np.asarray(part.column(SEQ))
                 asked = [where.get(p) for p in zip(keys.tolist(), seqs.tolist(), strict=True)]
@@ -289,6 +305,50 @@ def _compare_windows(size: int, tasks: int):
     return run
 
 
+def _pack_texts(tasks: int):
+    def pack(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts)
+        part = part_of_key(np.asarray(table.column(KEY)), np.asarray(table.column(SEQ)), tasks)
+        order = np.argsort(part, kind="stable")
+        edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            sink = pa.BufferOutputStream()
+            mine = table.take(pa.array(order[a:b])).combine_chunks()
+            with pa.ipc.new_stream(sink, mine.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(mine)
+            blob = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([part[order[a]]], pa.int32()), blob], names=[PART, "texts"])
+
+    def run(batches):
+        kept, size = [], 0
+        for batch in batches:
+            sizes = np.cumsum(np.asarray(pc.binary_length(batch.column(TEXT))).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:  # no more than a pack's bytes of a batch at once
+                upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + PACK_BYTES)))
+                kept.append(batch.slice(at, upto - at))
+                size += int(sizes[min(upto, len(sizes)) - 1] - (sizes[at - 1] if at else 0))
+                at = upto
+                if size >= PACK_BYTES:
+                    yield from pack(kept)
+                    kept, size = [], 0
+        if kept:
+            yield from pack(kept)
+
+    return run
+
+
+def texts_by_part(texts: DataFrame, tasks: int) -> DataFrame:
+    """Packs of texts, dealt like packed rows that carry their keys."""
+    return texts.mapInArrow(_pack_texts(tasks), f"{PART} int, texts binary")
+
+
+def unpack_texts(packs: pa.Table) -> Iterator[pa.RecordBatch]:
+    for blob in packs.column("texts"):
+        with pa.ipc.open_stream(blob.as_buffer()) as reader:
+            yield from reader
+
+
 def numbered(df: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
     """The columns KEY, SEQ, TEXT (bytes, empty for null) and ``keep``."""
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)).alias(KEY), F.coalesce(F.col(text), F.lit("")).cast("binary").alias(TEXT), *keep)
@@ -300,10 +360,6 @@ def numbered(df: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
     return rows.withColumn(SEQ, (place * NUMBERING + F.col("__h")).cast("int")).drop("__h")
 
 
-def part_column(tasks: int) -> Column:
-    return F.pmod(F.xxhash64(KEY, F.col(SEQ).cast("long")), F.lit(tasks)).cast("int")
-
-
 def repeated_spans(texts: DataFrame, method: Method) -> DataFrame:
     """Packed spans of units that repeated windows cover, dealt by key. ``texts`` is
     what ``numbered`` returns."""
@@ -312,8 +368,7 @@ def repeated_spans(texts: DataFrame, method: Method) -> DataFrame:
     groups = rows.mapInArrow(_find_groups(method, tasks), SCHEMA)
     compared = stored(groups.groupBy(PART).applyInArrow(_compare_groups(method.size, tasks), SCHEMA), "repeat-groups")
     asks = compared.filter(F.col("kind") == ASKS)
-    dealt_rows = rows.withColumn(PART, part_column(tasks))
-    windows = dealt_rows.groupBy(PART).cogroup(asks.groupBy(PART)).applyInArrow(_name_windows(method, tasks), SCHEMA)
+    windows = texts_by_part(rows, tasks).groupBy(PART).cogroup(asks.groupBy(PART)).applyInArrow(_name_windows(method, tasks), SCHEMA)
     more = windows.groupBy(PART).applyInArrow(_compare_windows(method.size, tasks), SCHEMA)
     return compared.filter(F.col("kind") == SPANS).unionAll(more)
 
@@ -328,18 +383,23 @@ def apply_spans(texts: DataFrame, spans: DataFrame, cut: Callable[[bytes, np.nda
 
     arrow = to_arrow_schema(texts.sparkSession.createDataFrame([], schema).schema)
 
-    def run(batch: pa.Table, blobs: pa.Table) -> pa.Table:
+    def run(packs: pa.Table, blobs: pa.Table) -> pa.Table:
         rows = merged(unpack_rows(SPAN, blobs.column("rows").to_pylist()))
         pairs = np.stack([rows["at"].astype(np.int64), rows["end"].astype(np.int64)], 1)
         starts = np.flatnonzero(np.concatenate([[True], (np.diff(rows["key"]) != 0) | (np.diff(rows["seq"]) != 0)])) if len(pairs) else np.zeros(0, int)
         ends = np.append(starts[1:], len(pairs))
         where = {(int(rows["key"][a]), int(rows["seq"][a])): (a, b) for a, b in zip(starts, ends, strict=False)}
-        out = []
-        for text, key, seq in zip(batch.column(TEXT), batch.column(KEY).to_pylist(), batch.column(SEQ).to_pylist(), strict=True):
-            a, b = where.get((key, seq), (0, 0))
-            out.append(cut(text.as_py(), pairs[a:b] if b else empty))
-        columns = [pa.array([o[i] for o in out], f.type) for i, f in enumerate(arrow)]
-        return pa.table([*(batch.column(c) for c in keep), *columns], names=[*keep, *arrow.names])
-
-    dealt_rows = texts.withColumn(PART, part_column(tasks)).select(PART, KEY, SEQ, TEXT, *(c for c in keep if c not in (KEY, SEQ, TEXT)))
-    return dealt_rows.groupBy(PART).cogroup(spans.groupBy(PART)).applyInArrow(run, f"{types}, {schema}" if keep else schema)
+        made = []
+        for batch in unpack_texts(packs):
+            out = []
+            for text, key, seq in zip(batch.column(TEXT), batch.column(KEY).to_pylist(), batch.column(SEQ).to_pylist(), strict=True):
+                a, b = where.get((key, seq), (0, 0))
+                out.append(cut(text.as_py(), pairs[a:b] if b else empty))
+            columns = [pa.array([o[i] for o in out], f.type) for i, f in enumerate(arrow)]
+            made.append(pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *arrow.names]))
+        if not made:
+            return pa.table({c: [] for c in [*keep, *arrow.names]})
+        return pa.Table.from_batches(made)
+
+    packs = texts_by_part(texts.select(KEY, SEQ, TEXT, *keep), tasks)
+    return packs.groupBy(PART).cogroup(spans.groupBy(PART)).applyInArrow(run, f"{types}, {schema}" if keep else schema)
