@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
+from corpusprep.llm import jaccard, language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
 from corpusprep.llm.common import read
 
 
@@ -49,6 +49,11 @@ def op4_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(read(spark, folder, "documents", "doc_id", "text")))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    classes = jaccard.jaccard_classes(read(spark, folder, "documents", "doc_id", "text"))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents", "doc_id", "text")
     return sharding.assign_shards(documents, sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_language_centroids": op3_language_centroids,
     "op4_recompression_dedup": op4_recompression_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_hash_tree_shards": op6_hash_tree_shards,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_url_filter": url_filter.filter_sql(URL_RULES),
     "op4_recompression_dedup": substring_dedup.digest_sql(),
+    "op5_jaccard_join": jaccard.classes_sql(),
     "op6_hash_tree_shards": sharding.shards_sql(sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1)),
     "op7_suffix_array_dedup": suffix_dedup.digest_sql(),
     "op9_quality_rules": quality.rules_sql(),
