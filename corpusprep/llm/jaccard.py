@@ -510,3 +510,30 @@ l as (select a, b from c join n x on a = x.doc_id join n y on b = y.doc_id where
 r as (select doc_id as a, doc_id as b from n union select r.a, l.b from r join l on r.b = l.a),
 m as (select a as doc_id, min(b) as component_id from r group by a)
 select t.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(m.component_id, t.doc_id) as component_id from t left join n using (doc_id) left join m using (doc_id)"""
+
+
+def _with_sets(shingle: int):
+    def run(batches):
+        for batch in batches:
+            for part, data, bounds in text_slices(batch):
+                hashes, edges = sets_of(data, bounds, shingle)
+                part = part.drop_columns([TEXT])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes_of(hashes, edges)), pa.array(np.diff(edges))], names=[*part.schema.names, "__node", "__n"])
+
+    return run
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """``df`` with one row of each class, that with the smallest key; rows with empty sets
+    all stay. A class of null keys alone keeps a row of each set. Columns as they were."""
+    classes = stored(jaccard_classes(df, key, text, shingle, threshold).filter("n_shingles > 0"), "classes")
+    # The smallest key of a class names it, but for classes of null keys.
+    first = classes.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set_id")).alias("__s"))
+    first = stored(first.agg(F.min("set_id").alias("__first"), F.count("*").alias("__rows")).select(F.col("component_id").alias("__key"), "__first", "__rows"), "kept")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    rows = df.select("*", F.coalesce(F.col(text), F.lit("")).cast("binary").alias(TEXT)).mapInArrow(_with_sets(shingle), f"{kinds}, __node long, __n long")
+    kept = rows.join(first, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__node") == F.col("__first")), "left").filter("__n = 0 or __first is not null")
+    if not first.filter("__rows > 1").isEmpty():  # keys that repeat: one of their rows
+        again = kept.filter("__rows > 1").dropDuplicates([key, "__node"])
+        kept = kept.filter("__n = 0 or __rows = 1").unionAll(again)
+    return kept.select(*df.columns)

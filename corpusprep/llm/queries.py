@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import jaccard, language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
+from corpusprep.llm import decontaminate, jaccard, language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
 from corpusprep.llm.common import read
 
 
@@ -63,6 +63,10 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(read(spark, folder, "documents", "doc_id", "text")))
 
 
+def op8_latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "benchmark", "item_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_rules(read(spark, folder, "documents", "doc_id", "text"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_hash_tree_shards": op6_hash_tree_shards,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
