@@ -2,9 +2,10 @@
 
 Texts are cut into passages: 32 words from every 16th word on, for benchmark items of
 up to 32 words, and 64 from every 32nd for longer ones (items above 64 words are cut
-themselves). A passage is a TF-IDF vector: ``sqrt(count) * idf`` of its lower-cased
-words without signs at the ends; words in more than ``MAX_SHARE`` of all documents are
-left out. Document frequencies count every document.
+themselves). A passage is a TF-IDF vector of its lower-cased words without signs at
+the ends, weight ``sqrt(count * idf)``: the roots keep an item that a good part of all
+documents holds from vanishing beside rare words. Document frequencies count every
+document, and no word is left out.
 
 A randomised SVD of the benchmark's passages, two passes of Spark tasks with small
 matrices on the driver, gives term factors: a passage's latent vector is the sum of
@@ -43,7 +44,8 @@ from corpusprep.llm.repeats import TEXT, text_slices
 
 SCALES = ((32, 16), (64, 32))
 BINS = 1 << 17
-MAX_SHARE = 0.05
+#: Added to every idf, so that a word in all documents still counts.
+LEAST_IDF = 0.2
 CANDIDATE = 0.3
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 LEAST = 5
@@ -94,22 +96,19 @@ def _frequencies(batches):
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """idf of every bin over all documents; 0 for words that are too common."""
+    """The root of every bin's idf over all documents."""
     seen = texts.mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BINS)
     at = seen["bin"].to_numpy()
     total = float(seen["n"][at == -1].sum())
     counts[at[at >= 0]] = seen["n"].to_numpy()[at >= 0]
-    idf = np.log((1 + total) / (1 + counts)).astype(np.float32)
-    idf[counts > max(MAX_SHARE * total, 1)] = 0
-    return idf
+    return np.sqrt(np.log((1 + total) / (1 + counts)) + LEAST_IDF).astype(np.float32)
 
 
 def weighted(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The terms of one passage and their weights."""
     terms, count = np.unique(words, return_counts=True)
-    weight = np.sqrt(count) * idf[_bins(terms)]
-    return terms[weight > 0], weight[weight > 0]
+    return terms, np.sqrt(count) * idf[_bins(terms)]
 
 
 # --- the benchmark --------------------------------------------------------------
@@ -198,7 +197,7 @@ def term_factors(spark, items: list[Item], idf: np.ndarray) -> tuple[np.ndarray,
     terms = np.array([r[0] for r in found], np.int64).view(np.uint64)
     small = np.stack([np.frombuffer(r[1], "<f8") for r in found], 1)  # basis x terms
     _, values, right = np.linalg.svd(small, full_matrices=False)
-    kept = values > 1e-9 * values[0] if len(values) else values > 0
+    kept = values > 1e-9 * values[0]
     order = np.argsort(terms)
     return terms[order], right[kept].T[order].astype(np.float32)
 
@@ -238,7 +237,7 @@ class Search:
             return found
         weight = self.idf[_bins(words)].astype(np.float64)
         term = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        hit = (self.terms[term] == words) & (weight > 0)
+        hit = self.terms[term] == words
         mass = np.concatenate([[0], np.cumsum(weight**2)])
         hits = np.concatenate([[0], np.cumsum(np.where(hit, weight**2, 0))])
         for (size, stride), (own, latent) in zip(SCALES, self.by_scale, strict=True):

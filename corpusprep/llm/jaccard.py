@@ -447,7 +447,8 @@ def jaccard_classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD, group_bytes: int = GROUP_BYTES, pivots: int = PIVOTS
 ) -> DataFrame:
     """Per row of ``df``: key, n_shingles, component_id (the smallest key of all that
-    links reach) and set_id (equal for equal sets; 0 for empty ones)."""
+    links reach), class_id (one number per class) and set_id (one per set); both are 0
+    for empty sets."""
     spark, tasks = df.sparkSession, shuffle_tasks(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias(TEXT))
@@ -471,9 +472,11 @@ def jaccard_classes(
     smallest = members.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"))
     smallest = smallest.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "key")
     whole = smallest.groupBy("root").agg(F.min("key").alias("component_id"))
-    found = smallest.select("node", "root").join(whole, "root").select("node", "component_id")
-    full = members.filter("n > 0").join(found, "node").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("node").alias("set_id"))
-    empty = members.filter("n = 0").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("key").alias("component_id"), F.lit(0).cast("long").alias("set_id"))
+    found = smallest.select("node", "root").join(whole, "root").select("node", "component_id", F.col("root").alias("class_id"))
+    columns = [F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", "class_id", F.col("node").alias("set_id")]
+    full = members.filter("n > 0").join(found, "node").select(*columns)
+    none = F.lit(0).cast("long")
+    empty = members.filter("n = 0").withColumns({"component_id": F.col("key"), "class_id": none, "node": none}).select(*columns)
     return full.unionAll(empty)
 
 
@@ -524,12 +527,14 @@ def _with_sets(shingle: int):
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """``df`` with one row of each class, that with the smallest key; rows with empty sets
-    all stay. A class of null keys alone keeps a row of each set. Columns as they were."""
-    classes = stored(jaccard_classes(df, key, text, shingle, threshold).filter("n_shingles > 0"), "classes")
-    # The smallest key of a class names it, but for classes of null keys.
-    first = classes.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set_id")).alias("__s"))
-    first = stored(first.agg(F.min("set_id").alias("__first"), F.count("*").alias("__rows")).select(F.col("component_id").alias("__key"), "__first", "__rows"), "kept")
+    """``df`` with one row of each class, that with the smallest key
+    (which is null only if all are); rows with empty sets all stay. Columns as they were."""
+    classes = jaccard_classes(df, key, text, shingle, threshold).filter("n_shingles > 0")
+    # Of the rows whose key names the class, those with one set; they are one row, or
+    # rows with one key and one set.
+    named = classes.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("class_id", "component_id", "set_id").agg(F.count("*").alias("n"))
+    first = named.groupBy("class_id", F.col("component_id").alias("__key")).agg(F.min_by(F.struct("set_id", "n"), "set_id").alias("__f"))
+    first = stored(first.select("__key", F.col("__f.set_id").alias("__first"), F.col("__f.n").alias("__rows")), "kept")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     rows = df.select("*", F.coalesce(F.col(text), F.lit("")).cast("binary").alias(TEXT)).mapInArrow(_with_sets(shingle), f"{kinds}, __node long, __n long")
     kept = rows.join(first, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__node") == F.col("__first")), "left").filter("__n = 0 or __first is not null")

@@ -113,11 +113,12 @@ def measures(text: Column) -> Column:
     return let(words_of(text), of_words)
 
 
-def failed(rule: Rule) -> Column:
-    value, per = F.col(rule.measure) * 100, F.lit(1) if rule.per == "one" else F.col(rule.per)
+def failed(rule: Rule, inside: str = "") -> Column:
+    """The rule's verdict over columns, or over the fields of a struct ``inside``."""
+    value, per = F.col(inside + rule.measure) * 100, F.lit(1) if rule.per == "one" else F.col(inside + rule.per)
     sides = [value < per * rule.low] if rule.low is not None else []
     sides += [value > per * rule.high] if rule.high is not None else []
-    return (F.col("n_words") >= rule.from_words) & reduce(Column.__or__, sides)
+    return (F.col(inside + "n_words") >= rule.from_words) & reduce(Column.__or__, sides)
 
 
 def apply_rules(df: DataFrame, text: str = "text", key: str = "doc_id", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -131,9 +132,8 @@ def apply_rules(df: DataFrame, text: str = "text", key: str = "doc_id", rules: S
 
 def good_documents(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, with their columns as they were."""
-    return df.select("*", measures(F.col(text)).alias("_m")).select(*(F.col(f"`{c}`") for c in df.columns), "_m.*").filter(
-        ~reduce(Column.__or__, [failed(r) for r in rules])
-    ).select(*df.columns)
+    rejected = reduce(Column.__or__, [failed(r, "__measures.") for r in rules])
+    return df.withColumn("__measures", measures(F.col(text))).filter(~rejected).drop("__measures")
 
 
 def _sql_failed(rule: Rule) -> str:

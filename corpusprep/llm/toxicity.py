@@ -7,8 +7,8 @@ model of the corpus and the channel's costs is the word restored. Plain words, l
 only and none three times in a row, are their own reading and skip the lattice.
 
 The restored text is scored by its words, their first four and first five bytes. The
-weight of such a feature is the log-odds of toxic texts that hold it, less twice its
-standard error, so that rare ones weigh little; features below ``LEAST`` are left out.
+weight of such a feature is how much larger its share of toxic texts is than of others,
+as a logarithm and less twice its standard error, so that rare ones weigh little; features below ``LEAST`` are left out.
 The weights of a text's features add up, and a logistic curve makes a probability of
 the sum. The curve is fitted on sums from which each text's own share was taken out.
 
@@ -230,7 +230,7 @@ class Reader:
         texts, hashes = np.concatenate(texts), np.concatenate(hashes)
         order = np.lexsort((hashes, texts))
         texts, hashes = texts[order], hashes[order]
-        new = np.concatenate([[True], (np.diff(texts) != 0) | (hashes[1:] != hashes[:-1])])
+        new = np.concatenate([[True], (np.diff(texts) != 0) | (hashes[1:] != hashes[:-1])])[: len(texts)]
         return texts[new], hashes[new]
 
     def _spaced(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> list[tuple[int, str]]:
@@ -272,14 +272,13 @@ def _counts(model: np.ndarray, only: np.ndarray | None):
     return run
 
 
-def _log_odds(yes: np.ndarray, no: np.ndarray, n_yes: float, n_no: float) -> np.ndarray:
-    a, b = yes + 0.1, no + 0.1
-    odds = np.log(a / np.maximum(n_yes - yes + 0.1, 0.1)) - np.log(b / np.maximum(n_no - no + 0.1, 0.1))
-    return odds - 2 * np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5 + n_no / (n_yes + n_no)))
+def _log_ratio(yes: np.ndarray, no: np.ndarray, n_yes: float, n_no: float) -> np.ndarray:
+    ratio = np.log((yes + 0.1) / (n_yes + 0.2)) - np.log((no + 0.1) / (n_no + 0.2))
+    return ratio - 2 * np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5 + n_no / (n_yes + n_no)))
 
 
 def _weigh(yes: np.ndarray, no: np.ndarray, n_yes: float, n_no: float) -> np.ndarray:
-    w = _log_odds(yes, no, n_yes, n_no)
+    w = _log_ratio(yes, no, n_yes, n_no)
     return np.where((w >= LEAST) & (yes >= SUPPORT), w, 0.0)
 
 
