@@ -44,6 +44,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -197,6 +198,7 @@ def heavy_entries(hashes: np.ndarray, bounds: np.ndarray, classes: np.ndarray, t
 LINK, SAME_LIST = 0, 1
 EDGE_SCHEMA = "a long, b long, kind int"
 ENTRY = [("name", "<u8"), ("node", "<i8"), ("n", "<u4"), ("out", "<u1")]
+EDGE = [("a", "<i8"), ("b", "<i8"), ("kind", "<u1")]
 
 
 def _links(name: np.ndarray, node: np.ndarray, n: np.ndarray, out: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -215,19 +217,13 @@ def _links(name: np.ndarray, node: np.ndarray, n: np.ndarray, out: np.ndarray, t
     return order[first], pairs[:, 0], pairs[:, 1], pairs[:, 2]
 
 
-def _out(part=(), rows=(), a=(), b=(), kind=()) -> pa.RecordBatch:
-    """Packed entries or edges, as rows of one schema."""
-    none = len(a)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([*part, *[None] * none], pa.int32()),
-            pa.array([*rows, *[None] * none], pa.binary()),
-            pa.concat_arrays([pa.nulls(len(part), pa.int64()), pa.array(np.asarray(a, np.int64))]),
-            pa.concat_arrays([pa.nulls(len(part), pa.int64()), pa.array(np.asarray(b, np.int64))]),
-            pa.concat_arrays([pa.nulls(len(part), pa.int32()), pa.array(np.asarray(kind, np.int32))]),
-        ],
-        names=["part", "rows", "a", "b", "kind"],
-    )
+def _packed(kind: list, rows: dict, part: np.ndarray, is_edge: bool) -> Iterator[pa.RecordBatch]:
+    """One packed row for each part."""
+    order = np.argsort(part, kind="stable")
+    ends = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+    for x, y in zip(ends[:-1], ends[1:], strict=True):
+        blob = pack_rows(kind, rows, order[x:y])
+        yield pa.RecordBatch.from_arrays([pa.array([part[order[x]]], pa.int32()), pa.array([is_edge]), pa.array([blob], pa.binary())], names=["part", "is_edge", "rows"])
 
 
 def _entries(shingle: int, threshold: int, boundary: int, classes: np.ndarray, tasks: int):
@@ -235,14 +231,10 @@ def _entries(shingle: int, threshold: int, boundary: int, classes: np.ndarray, t
         rows = {c: np.concatenate([k[c] for k in kept]) for c, _ in ENTRY}
         heads, a, b, kind = _links(rows["name"], rows["node"], rows["n"].astype(np.int64), rows["out"].astype(np.int64), threshold)
         if len(a):
-            yield _out(a=a, b=b, kind=kind)
+            yield from _packed(EDGE, {"a": a, "b": b, "kind": kind}, (a.view(np.uint64) % np.uint64(tasks)).astype(np.int64), True)
         heads = np.sort(heads)  # in the order of the texts
-        part = (rows["name"][heads] % np.uint64(tasks)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-        for x, y in zip(edges[:-1], edges[1:], strict=True):
-            chosen = heads[order[x:y]]
-            yield _out([int(part[order[x]])], [pack_rows(ENTRY, rows, chosen)])
+        kept_rows = {c: v[heads] for c, v in rows.items()}
+        yield from _packed(ENTRY, kept_rows, (kept_rows["name"] % np.uint64(tasks)).astype(np.int64), False)
 
     def run(batches):
         kept, size, met = [], 0, set()
@@ -279,9 +271,12 @@ def _entries(shingle: int, threshold: int, boundary: int, classes: np.ndarray, t
 
 def _list_edges(threshold: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = unpack_rows(ENTRY, table.column("rows").to_pylist())
+        is_edge = table.column("is_edge")
+        rows = unpack_rows(ENTRY, table.filter(pc.invert(is_edge)).column("rows").to_pylist())
         _, a, b, kind = _links(rows["name"], rows["node"], rows["n"].astype(np.int64), rows["out"].astype(np.int64), threshold)
-        return pa.table([pa.array(a), pa.array(b), pa.array(kind.astype(np.int32))], names=["a", "b", "kind"])
+        local = unpack_rows(EDGE, table.filter(is_edge).column("rows").to_pylist())
+        a, b = np.concatenate([a, local["a"]]), np.concatenate([b, local["b"]])
+        return pa.table([pa.array(a), pa.array(b), pa.array(np.concatenate([kind, local["kind"]]).astype(np.int32))], names=["a", "b", "kind"])
 
     return run
 
@@ -459,9 +454,8 @@ def jaccard_classes(
     classes = size_classes(boundary, largest, threshold)
 
     texts = rows.select(TEXT)
-    listed = stored(texts.mapInArrow(_entries(shingle, threshold, boundary, classes, tasks), f"part int, rows binary, {EDGE_SCHEMA}"), "entries")
-    edges = listed.filter("part is not null").groupBy("part").applyInArrow(_list_edges(threshold), EDGE_SCHEMA)
-    edges = stored(edges.unionAll(listed.filter("part is null").select("a", "b", "kind")).distinct(), "list-edges")
+    listed = texts.mapInArrow(_entries(shingle, threshold, boundary, classes, tasks), "part int, is_edge boolean, rows binary")
+    edges = stored(listed.groupBy("part").applyInArrow(_list_edges(threshold), EDGE_SCHEMA).distinct(), "list-edges")
 
     # Sets that share a list are compared within their group.
     groups = components(edges.filter(F.col("kind") == SAME_LIST))
