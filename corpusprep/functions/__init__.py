@@ -3,6 +3,8 @@
 from corpusprep.functions.chat import (
     CHAT_SCHEMA,
     DEFAULT_SYSTEM,
+    ROLES,
+    chat_fault,
     chat_json,
     chat_message,
     chat_messages,
@@ -23,7 +25,7 @@ from corpusprep.functions.strings import (
     seeded_md5,
     unique_stem,
 )
-from corpusprep.functions.tokens import DEFAULT_EOS, file_tokenizer, whitespace_tokens, with_eos
+from corpusprep.functions.tokens import DEFAULT_EOS, count_tokens, file_tokenizer, whitespace_tokens, with_eos
 
 __all__ = [
     "CHAT_SCHEMA",
@@ -35,10 +37,13 @@ __all__ = [
     "article_fields",
     "article_text",
     "base_name",
+    "ROLES",
+    "chat_fault",
     "chat_json",
     "chat_message",
     "chat_messages",
     "content_digest",
+    "count_tokens",
     "file_path",
     "file_stem",
     "file_tokenizer",

@@ -13,6 +13,10 @@ CHAT_SCHEMA = "messages ARRAY<STRUCT<role: STRING, content: STRING>>"
 DEFAULT_SYSTEM = "A conversation between a user and a helpful assistant."
 
 
+# The roles of a record.
+ROLES = ("system", "user", "assistant")
+
+
 def _turn(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
@@ -25,15 +29,31 @@ def with_system(messages: Column | str, system: str = DEFAULT_SYSTEM) -> Column:
     return F.when(has_system, messages).otherwise(added)
 
 
-def chat_messages(prompt: Column | str, response: Column | str, system: str = DEFAULT_SYSTEM) -> Column:
-    """System, user and assistant turns as an array of role and content."""
+def chat_messages(prompt: Column | str, response: Column | str, system: Column | str = DEFAULT_SYSTEM) -> Column:
+    """System, user and assistant turns as an array of role and content. ``system`` is a
+    text, or a column."""
     return F.array(
-        _turn("system", F.lit(system)),
+        _turn("system", F.lit(system) if isinstance(system, str) else system),
         _turn("user", _col(prompt)),
         _turn("assistant", _col(response)),
     )
 
 
+def chat_fault(messages: Column | str) -> Column:
+    """Why a record cannot be trained on, null if it can: an unknown role, no user turn,
+    a last turn that is not the assistant's, or a turn without content."""
+    messages = _col(messages)
+    has = lambda test: F.coalesce(F.exists(messages, test), F.lit(False))
+    last = F.try_element_at(messages, F.lit(-1))["role"]
+    return (
+        F.when(F.coalesce(F.size(messages), F.lit(0)) < 1, "no turn")
+        .when(has(lambda m: ~F.coalesce(m["role"].isin(*ROLES), F.lit(False))), "unknown role")
+        .when(~has(lambda m: m["role"] == "user"), "no user turn")
+        .when(last != "assistant", "last turn is not the assistant's")
+        .when(has(lambda m: F.coalesce(F.trim(m["content"]) == "", F.lit(True))), "empty content")
+    )
+
+
 def _json(record: Column, ascii: bool) -> Column:
     # Without ignoreNullFields=false a null content would lose its key.
     options = {"ignoreNullFields": "false"}

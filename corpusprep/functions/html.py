@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusprep.functions.strings import _col
 
-# The entities that are decoded, "&amp;" last so that "&amp;lt;"
-# becomes "&lt;" and not "<".
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
+# The named references that are decoded.
+ENTITIES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
+    "ndash": "\u2013", "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
+    "hellip": "\u2026", "bull": "\u2022", "middot": "\u00b7", "laquo": "\u00ab", "raquo": "\u00bb",
+    "copy": "\u00a9", "reg": "\u00ae", "trade": "\u2122", "deg": "\u00b0", "sect": "\u00a7", "times": "\u00d7",
+    "euro": "\u20ac", "pound": "\u00a3", "cent": "\u00a2",
+    "agrave": "\u00e0", "aacute": "\u00e1", "acirc": "\u00e2", "auml": "\u00e4", "ccedil": "\u00e7", "egrave": "\u00e8",
+    "eacute": "\u00e9", "ecirc": "\u00ea", "iacute": "\u00ed", "ntilde": "\u00f1", "oacute": "\u00f3", "ocirc": "\u00f4",
+    "ouml": "\u00f6", "szlig": "\u00df", "uacute": "\u00fa", "ugrave": "\u00f9", "uuml": "\u00fc",
+}
 
 # Every pattern passes a page once, however broken it is: what is never closed
 # reaches to the end of the page, as in a browser; a tag holds no "<"; and the
@@ -31,10 +30,46 @@ _TAG = r"<[^<>]*>"
 _BLANKS = r"[ \t\n\r\f]{2,}|[\t\n\r\f]"
 
 
+# What may stand between "&" and ";".
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _reference(part: Column) -> Column:
+    """The text after an "&", with the reference that it begins with decoded."""
+
+    def decoded(name: Column) -> Column:
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8))
+        code = F.when(name.startswith("#"), digits).cast("bigint")
+        # Characters outside of the code space, and halves of pairs, stay as they are.
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numeric = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+        char = F.coalesce(F.try_element_at(names, name), numeric)
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, rest))
+
+    return _let(F.regexp_extract(part, REFERENCE, 1), decoded)
+
+
+def decode_references(text: Column) -> Column:
+    """Named and numeric references as their characters, each once: "&amp;lt;" becomes
+    "&lt;". Unknown ones stay."""
+
+    def joined(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), _reference)
+        return F.concat(F.get(parts, 0), F.array_join(rest, ""))
+
+    return F.when(F.instr(text, "&") > 0, _let(F.split(text, "&"), joined)).otherwise(text)
+
+
 def _plain(markup: Column) -> Column:
     stripped = F.regexp_replace(markup, _TAG, " ")
-    decoded = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, stripped)
-    return F.trim(F.regexp_replace(decoded, _BLANKS, " "))
+    return F.trim(F.regexp_replace(_let(stripped, decode_references), _BLANKS, " "))
 
 
 def visible_html(html: Column | str) -> Column:

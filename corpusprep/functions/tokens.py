@@ -24,6 +24,11 @@ def whitespace_tokens(text: Column | str) -> Column:
     return F.array_remove(F.split(_col(text), _BLANKS), "")
 
 
+def count_tokens(text: Column | str) -> Column:
+    """How many ``whitespace_tokens`` a text has, without an array of them."""
+    return F.regexp_count(_col(text), F.lit(r"[^ \t\n\r\f]+")).cast("bigint")
+
+
 def with_eos(tokens: Column | str, eos: str | int = DEFAULT_EOS) -> Column:
     """The tokens and, after the last, the end-of-text token."""
     return F.concat(_col(tokens), F.array(F.lit(eos)))

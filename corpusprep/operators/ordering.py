@@ -21,14 +21,20 @@ MIN_ROWS_PER_BUCKET = 50
 MAX_BUCKETS = 65_536
 SAMPLES_PER_BUCKET = 10
 FAN_OUT = 16
+KEY_CHARS = 64
 
 
 def names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
+def column(name: str) -> Column:
+    """A column by its name, which may hold blanks and dots."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def _sort_key(columns: Sequence[str]) -> Column:
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    return column(columns[0]) if len(columns) == 1 else F.struct(*[column(c).alias(f"_k{i}") for i, c in enumerate(columns)])
 
 
 def _bucket_count(df: DataFrame, rows: int) -> int:
@@ -38,18 +44,20 @@ def _bucket_count(df: DataFrame, rows: int) -> int:
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int | None = None, rows: int | None = None) -> list:
-    """Upper ends of the buckets, from a sample of the keys as a range partitioner
-    draws it: about ten keys for each bucket, at most 800,000 in all, of which one
-    for each bucket comes to the driver. The sample only decides how even the
-    buckets are; any bounds give the same result."""
+    """Upper ends of the buckets, from a sample of the keys: about ten keys for each
+    bucket, of which one for each bucket comes to the driver. Strings are cut to
+    KEY_CHARS characters, so the sample is bounded in bytes too. It only decides how
+    even the buckets are; any bounds give the same result."""
+    if buckets is not None and not 1 <= buckets <= MAX_BUCKETS:
+        raise ValueError(f"buckets must be from 1 to {MAX_BUCKETS}, not {buckets}")
     rows = df.count() if rows is None else rows
-    buckets = min(buckets or _bucket_count(df, rows), MAX_BUCKETS)
+    buckets = buckets or _bucket_count(df, rows)
     if buckets < 2:
         return []
-    keys = df.select(*columns).dropna()
-    wanted = SAMPLES_PER_BUCKET * buckets
-    if rows > 2 * wanted:
-        keys = keys.sample(fraction=1.2 * wanted / rows, seed=17)
+    is_text = {f.name: f.dataType.simpleString() in ("string", "binary") for f in df.schema.fields}
+    cut = [F.substring(column(c), 1, KEY_CHARS) if is_text[c] else column(c) for c in columns]
+    keys = df.select(*[k.alias(c) for k, c in zip(cut, columns)]).dropna()
+    keys = keys.sample(fraction=min(1.0, 1.2 * SAMPLES_PER_BUCKET * buckets / max(rows, 1)), seed=17)
     drawn = keys.agg(F.array_sort(F.collect_list(_sort_key(columns))).alias("k"))
     step = F.greatest(F.lit(1), F.expr(f"size(k) div {buckets}"))
     picked = drawn.select(F.to_json(F.filter("k", lambda _, i: (i > 0) & (i % step == 0)))).first()[0]
@@ -75,9 +83,10 @@ def bucket_of(df: DataFrame, columns: Sequence[str], bounds: list) -> Column:
     return _rank(key, bounds, _key_type(df, key))
 
 
-def within_bucket(df: DataFrame, column: str, bounds: list, bucket: int) -> Column:
-    """The keys of one bucket as a plain range, which a scan can use to skip data."""
-    key = F.col(column)
+def within_bucket(df: DataFrame, columns: Sequence[str], bounds: list, bucket: int) -> Column:
+    """The keys of one bucket as a plain range, which a scan can use to skip data when
+    the key is one column."""
+    key = _sort_key(columns)
     inside = F.lit(True)
     if bucket > 0:
         inside = key >= _constant(bounds[bucket - 1], _key_type(df, key))
@@ -122,16 +131,20 @@ def _reached(key: Column, bounds: list, key_type: str) -> Column:
 
 
 def bucket_bases(df: DataFrame, value: Column, bucket: str, group_by: Sequence[str] = ()) -> DataFrame:
-    """For each (group, bucket), the sum of ``value`` in the group's earlier
-    buckets. Buckets are ranges of (group, order), so only the first group of a
-    bucket can have a base above zero: at most one row per bucket is left."""
-    return _bases_of(df.groupBy(*group_by, bucket).agg(F.sum(value).alias("_sum")), bucket, group_by)
+    """For each (group, bucket), the sum of ``value`` in the group's earlier buckets,
+    in this one, and in all, and how many buckets the group is in. Buckets are ranges
+    of (group, order): only a bucket's first and last group can be in several."""
+    return _bases_of(df.groupBy(*[column(g) for g in group_by], bucket).agg(F.sum(value).alias("_sum")), bucket, group_by)
 
 
 def _bases_of(sums: DataFrame, bucket: str, group_by: Sequence[str]) -> DataFrame:
-    earlier = Window.partitionBy(*group_by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    by = [column(g) for g in group_by]
+    earlier = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
-    return sums.select(*group_by, bucket, base, "_sum")
+    whole = Window.partitionBy(*by)
+    return sums.select(
+        *by, bucket, base, "_sum", F.sum("_sum").over(whole).alias("_all"), F.count(F.lit(1)).over(whole).alias("_parts")
+    )
 
 
 def running_start(
@@ -142,49 +155,65 @@ def running_start(
     out: str = "start",
     bucket: Column | None = None,
     shared_shuffle: bool = False,
+    total: str | None = None,
+    one_bucket: bool = False,
 ) -> DataFrame:
-    """Adds the sum of ``value`` over the rows before this one in its group.
+    """Adds the sum of ``value`` over the rows before this one in its group, and as
+    ``total`` that of the whole group.
 
     ``value`` must not be negative. ``order_by`` must tell all rows of a group
     apart; a tie stops the job, since its order could change when a task runs
     again. ``bucket`` may give the buckets as a column that grows with (group,
-    order) and has at most MAX_BUCKETS values; otherwise they are drawn.
+    order); otherwise they are drawn. ``one_bucket`` says that they all are the same.
 
     The bucket sums are a pass of their own over the columns they need, with
     hardly any shuffle. ``shared_shuffle`` takes them from the shuffled rows
     instead: better for few narrow columns that were costly to work out.
     """
     order, group = names(order_by), names(group_by)
-    if bucket is None:
-        bucket = range_bucket(df, [*group, *order])
+    drawn = bucket is None
+    if drawn:
+        bounds = range_bounds(df, [*group, *order])
+        bucket, one_bucket = bucket_of(df, [*group, *order], bounds), not bounds
     rows = df.withColumn("_bucket", bucket)
+    by, ordered = [column(g) for g in group], [column(c) for c in order]
     # The window keeps the partitioning made here, and `value` is worked out
     # after it, over even buckets, however few and uneven the input splits are.
-    moved = rows.repartition(*group, "_bucket").withColumn("_value", value)
-    inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
+    moved = rows.repartition(*by, "_bucket").withColumn("_value", value)
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*ordered)
+    whole = Window.partitionBy(*by, "_bucket")
     up_to_here = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    tied = reduce(Column.__and__, [F.lag(c).over(inside) == F.col(c) for c in order])
+    # Null-safe: two null keys are a tie, and the first row has none before it.
+    same_as_before = [F.lag(c).over(inside).eqNullSafe(c) for c in ordered]
+    tied = reduce(Column.__and__, same_as_before, F.row_number().over(inside) > 1)
     local = moved.withColumn("_total", up_to_here).withColumn("_tied", tied)
+    if total is not None:
+        local = local.withColumn("_here", F.sum("_value").over(whole))
 
+    stop = F.raise_error(F.lit(f"order_by {order} does not tell all rows apart")).cast("bigint")
+    before = F.col("_total") - F.col("_value")
+    if one_bucket:  # nothing lies in an earlier one
+        found = [F.when(F.col("_tied"), stop).otherwise(before).cast("bigint").alias(out)]
+        found += [F.col("_here").cast("bigint").alias(total)] if total is not None else []
+        return local.select(*[column(c) for c in df.columns], *found)
     if shared_shuffle:
-        bases = _bases_of(local.groupBy(*group, "_bucket").agg(F.max("_total").alias("_sum")), "_bucket", group)
+        bases = _bases_of(local.groupBy(*by, "_bucket").agg(F.max("_total").alias("_sum")), "_bucket", group)
     else:
         bases = bucket_bases(rows, value, "_bucket", group)
-    # At most one row for each bucket, so at most MAX_BUCKETS rows.
-    keyed = F.broadcast(
-        bases.filter("_base > 0").select(
-            *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"), "_base"
-        )
+    keyed = bases.filter("_base > 0" if total is None else "_parts > 1").select(
+        *[column(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_bucket").alias("_b"), "_base", "_all"
     )
+    if drawn:  # at most two rows for each of MAX_BUCKETS buckets
+        keyed = F.broadcast(keyed)
 
     same = F.col("_bucket") == F.col("_b")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    start = F.col("_total") - F.col("_value") + F.coalesce("_base", F.lit(0))
-    stop = F.raise_error(F.lit(f"order_by {order} does not tell all rows apart")).cast("bigint")
-    return local.join(keyed, same, "left").select(
-        *df.columns, F.when(F.col("_tied"), stop).otherwise(start).cast("bigint").alias(out)
-    )
+    for i, g in enumerate(by):
+        same = same & g.eqNullSafe(F.col(f"_g{i}"))
+    start = before + F.coalesce("_base", F.lit(0))
+    found = [F.when(F.col("_tied"), stop).otherwise(start).cast("bigint").alias(out)]
+    if total is not None:
+        found.append(F.coalesce("_all", "_here").cast("bigint").alias(total))
+    return local.join(keyed, same, "left").select(*[column(c) for c in df.columns], *found)
 
 
 def with_position(
@@ -193,7 +222,8 @@ def with_position(
     group_by: str | Sequence[str] = (),
     out: str = "position",
     bucket: Column | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Adds the row's place in its group, from 0: a ``row_number`` that a group
-    of any size cannot push into one task."""
-    return running_start(df, F.lit(1).cast("bigint"), order_by, group_by, out, bucket)
+    """Adds the row's place in its group, from 0, and as ``total`` the group's rows:
+    a ``row_number`` that a group of any size cannot push into one task."""
+    return running_start(df, F.lit(1).cast("bigint"), order_by, group_by, out, bucket, total=total)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -14,9 +15,9 @@ from corpusprep.functions.tokens import DEFAULT_EOS, with_eos
 from corpusprep.operators.ordering import (
     bucket_bases,
     bucket_of,
+    column,
     names,
     range_bounds,
-    range_bucket,
     running_start,
     with_position,
     within_bucket,
@@ -27,8 +28,8 @@ SAMPLE_LENGTH = 2048
 BATCH_SIZE = 1024
 SHUFFLE_SEED = 17
 
-# Rows of keys and starts that one task may hold in a hash table.
-MAX_HASHED_ROWS = 2_000_000
+# A task cuts samples out of ranges of about so many tokens.
+TOKENS_PER_RANGE = 65_536
 
 
 def pack_tokens(
@@ -43,46 +44,65 @@ def pack_tokens(
     """All tokens of a group, in order, cut into samples of ``length`` tokens.
 
     Returns the group columns, ``sample`` (from 0) and ``tokens``. The short
-    last sample is left out unless ``drop_tail`` is false. ``tokens`` is an
-    expression and runs twice, once to count and once to cut: documents are
-    shuffled as text, a fraction of the size of their token array. A tokenizer
-    that costs more than reading tokens back should be run and written first.
+    last sample is left out unless ``drop_tail`` is false; tokens that do not
+    follow on each other stop the job. ``tokens`` is an expression and runs twice,
+    once to count and once to cut: documents are shuffled as text, to the range of
+    samples they fall in, and their tokens never. Only the few that reach into a
+    second range are sent as slices of their tokens.
     """
-    group = names(group_by)
+    group, order = names(group_by), names(order_by)
     full = tokens if eos is None else with_eos(tokens, eos)
-    keys = [*group, *names(order_by)]
+    keys = [*group, *order]
+    span = length * max(1, TOKENS_PER_RANGE // length)
 
     # Where each document starts, from keys and counts alone.
-    rows = df.count()
-    bucket = range_bucket(df, keys, rows=rows)
+    bounds = range_bounds(df, keys)
+    bucket = bucket_of(df, keys, bounds)
     size = F.coalesce(F.size(tokens) + (0 if eos is None else 1), F.lit(0)).cast("bigint")
-    counts = df.select(*keys, size.alias("_n"))
-    starts = running_start(counts, F.col("_n"), order_by, group, "_start", bucket, shared_shuffle=True)
-    starts = starts.filter("_n > 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start", "_n")
-    # Keys are unique, so the parts of this side are even; hashed, they spare
-    # the sort of the documents. Past that size the sort is the safer way.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    strategy = "shuffle_hash" if rows <= tasks * MAX_HASHED_ROWS else "merge"
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    placed = df.join(starts.hint(strategy), same).drop(*[f"_k{i}" for i in range(len(keys))])
-
-    # The explode and the slice run in one generated loop over the document:
-    # only the slices become rows, not one copy of the document per sample.
-    begin, end = F.col("_start"), F.col("_start") + F.col("_n")
-    touched = F.expr(f"sequence(_start div {length}, (_start + _n - 1) div {length})")
-    cut = placed.withColumn("_tokens", full)
-    cut = cut.select(*group, "_start", "_n", "_tokens", F.explode(touched).alias("sample"))
-    first = F.greatest(F.col("sample") * length, begin)
-    last = F.least((F.col("sample") + 1) * length, end)
-    part = F.slice("_tokens", (first - begin + 1).cast("int"), (last - first).cast("int"))
-    pieces = cut.select(*group, "sample", first.alias("first"), part.alias("part"))
-
-    # A sample has at most `length` pieces, so the list is bounded.
-    packed = pieces.groupBy(*group, "sample").agg(
-        F.array_sort(F.collect_list(F.struct("first", "part"))).alias("_parts")
+    counts = df.select(*[column(k) for k in keys], size.alias("_n"))
+    starts = running_start(counts, F.col("_n"), order_by, group, "_start", bucket, shared_shuffle=True, one_bucket=not bounds)
+    starts = starts.filter("_n > 0").select(*[column(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start", "_n")
+    # Keys are unique, so the parts of this side are even; hashed, they spare the
+    # sort of the documents.
+    same = reduce(Column.__and__, [column(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    placed = df.join(starts.hint("shuffle_hash"), same).drop(*[f"_k{i}" for i in range(len(keys))])
+
+    # A document that ends in the range it starts in goes there as it is; another
+    # goes to each range as the tokens that belong there.
+    first_range, last_range = F.expr(f"_start div {span}"), F.expr(f"(_start + _n - 1) div {span}")
+    crosses = first_range != last_range
+    others = [c for c in df.columns if c not in group]
+    opened = placed.withColumn("_tokens", F.when(crosses, full))
+    touched = opened.withColumn("_range", F.explode(F.sequence(first_range, last_range)))
+    begin = F.greatest(F.col("_range") * span, F.col("_start"))
+    end = F.least((F.col("_range") + 1) * span, F.col("_start") + F.col("_n"))
+    part = F.slice("_tokens", (begin - F.col("_start") + 1).cast("int"), (end - begin).cast("int"))
+    sent = touched.select(
+        *[column(g) for g in group],
+        *[F.when(~crosses, column(c)).alias(c) for c in others],
+        "_range",
+        begin.alias("_first"),
+        (end - begin).alias("_size"),
+        F.when(crosses, part).alias("_part"),
+    ).repartition(*[column(g) for g in group], "_range")
+
+    # The rest happens where the rows are: (group, range) is one task's work.
+    by = [column(g) for g in group]
+    cut = sent.select(*by, "_range", F.struct("_first", "_size", F.coalesce("_part", full).alias("part")).alias("_piece"))
+    gathered = cut.groupBy(*by, "_range").agg(F.array_sort(F.collect_list("_piece")).alias("_pieces"))
+    follows = F.forall(
+        F.zip_with("_pieces", F.slice("_pieces", 2, F.greatest(F.size("_pieces"), F.lit(1))), lambda a, b: F.coalesce(a["_first"] + a["_size"] == b["_first"], F.lit(True))),
+        lambda ok: ok,
+    ) & (F.get("_pieces", 0)["_first"] == F.col("_range") * span)
+    stop = F.raise_error(F.lit(f"tokens in the order of {order} do not follow on each other"))
+    joined = gathered.withColumn("_all", F.when(~follows, stop).otherwise(F.flatten("_pieces.part")))
+    samples = F.sequence(F.lit(0), F.expr(f"(size(_all) - 1) div {length}"))
+    out = joined.select(*by, "_range", "_all", F.explode(samples).alias("_i")).select(
+        *by,
+        (F.col("_range") * (span // length) + F.col("_i")).alias("sample"),
+        F.slice("_all", F.col("_i") * length + 1, length).alias("tokens"),
     )
-    joined = packed.select(*group, "sample", F.flatten("_parts.part").alias("tokens"))
-    return joined.filter(F.size("tokens") == length) if drop_tail else joined
+    return out.filter(F.size("tokens") == length) if drop_tail else out
 
 
 def shuffle_rows(
@@ -91,16 +111,51 @@ def shuffle_rows(
     seed: int = SHUFFLE_SEED,
     group_by: str | Sequence[str] = (),
     out: str = "position",
+    total: str | None = None,
 ) -> DataFrame:
-    """Adds a place in a seeded random order. The order comes from a digest of
-    the key, so it is the same on every run and for every partitioning. The keys
-    are read in a pass of their own: write rows that were costly to make first."""
+    """Adds a place in a seeded random order, and as ``total`` the number of rows. The
+    order comes from a digest of the key, so it is the same on every run and for
+    every partitioning. The keys are read in a pass of their own: write rows that
+    were costly to make first."""
     keys = names(key)
-    drawn = df.withColumn("_draw", seeded_md5(seed, *keys))
+    drawn = df.withColumn("_draw", seeded_md5(seed, *[column(k) for k in keys]))
     # Digests are spread evenly, so their first four digits make 65,536 even
     # buckets; with groups in front the buckets have to be drawn.
     bucket = None if group_by else F.conv(F.substring("_draw", 1, 4), 16, 10).cast("bigint")
-    return with_position(drawn, ["_draw", *keys], group_by, out, bucket).drop("_draw")
+    return with_position(drawn, ["_draw", *keys], group_by, out, bucket, total).drop("_draw")
+
+
+def shuffle_into_order(
+    df: DataFrame,
+    key: str | Sequence[str],
+    seed: int = SHUFFLE_SEED,
+    partitions: int | None = None,
+    out: str = "position",
+    total: str | None = None,
+) -> DataFrame:
+    """``shuffle_rows`` with the rows themselves in that order: partition by partition,
+    and within each, so part files in the order of their names are the shuffle. One
+    exchange moves the rows; the places come from counts of the keys alone."""
+    keys = names(key)
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if not 1 <= tasks <= 65_536:
+        raise ValueError(f"partitions must be from 1 to 65536, not {tasks}")
+    drawn = df.withColumn("_draw", seeded_md5(seed, *[column(k) for k in keys]))
+    # The first digits are even ranges, so ranges of them are even partitions.
+    place = F.expr(f"cast(cast(conv(substring(_draw, 1, 4), 16, 10) as bigint) * {tasks} div 65536 as int)")
+    counts = drawn.select(place.alias("_at")).groupBy("_at").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = {r["_at"]: r["_rows"] for r in counts.collect()}  # a number per partition
+    bases, so_far = [], 0
+    for i in range(tasks):
+        bases.append(so_far)
+        so_far += counts.get(i, 0)
+    ordered = drawn.withColumn("_at", place).repartitionById(tasks, "_at")
+    ordered = ordered.sortWithinPartitions("_draw", *[column(k) for k in keys], F.xxhash64(*[column(c) for c in df.columns]))
+    base = F.get(F.from_json(F.lit(json.dumps(bases)), "array<bigint>"), F.col("_at"))
+    # Within a partition the id counts its rows in their order.
+    in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    added = [(base + in_part).alias(out)] + ([F.lit(so_far).cast("bigint").alias(total)] if total else [])
+    return ordered.select(*[column(c) for c in df.columns], *added)
 
 
 def assign_batches(
@@ -109,14 +164,24 @@ def assign_batches(
     position: str = "position",
     drop_last: bool = False,
     out: str = "batch",
+    group_by: str | Sequence[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
-    """Adds the batch of each row from its dense position (from 0).
-    ``drop_last`` leaves out a short last batch."""
+    """Adds the batch of each row from its dense position (from 0) in its group.
+    ``drop_last`` leaves out the short last batch of each group. ``total`` names a
+    column with the group's rows, as ``with_position`` gives it; without it they are
+    counted, which runs what made ``df`` once more."""
     batched = df.withColumn(out, F.expr(f"`{position}` div {int(batch_size)}"))
     if not drop_last:
         return batched
-    full = df.agg(F.expr(f"count(1) div {int(batch_size)}")).scalar()
-    return batched.filter(F.col(out) < full)
+    if total is not None:
+        return batched.filter(F.col(out) < F.expr(f"`{total}` div {int(batch_size)}"))
+    group = names(group_by)
+    full = df.groupBy(*[column(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(F.expr(f"count(1) div {int(batch_size)}").alias("_full"))
+    if not group:
+        return batched.filter(F.col(out) < full.scalar())
+    same = reduce(Column.__and__, [column(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)])
+    return batched.join(full, same).filter(F.col(out) < F.col("_full")).select(*[column(c) for c in batched.columns])
 
 
 def eval_subset(df: DataFrame, batches: int = -1, batch: str = "batch") -> DataFrame:
@@ -124,28 +189,45 @@ def eval_subset(df: DataFrame, batches: int = -1, batch: str = "batch") -> DataF
     return df if batches == -1 else df.filter(F.col(batch) < batches)
 
 
-def take_token_budget(df: DataFrame, tokens: str, order_by: str, budget: int) -> DataFrame:
-    """Rows in order until ``budget`` tokens are reached; the row that reaches
-    it is the last one kept.
+def take_token_budget(df: DataFrame, tokens: str, order_by: str | Sequence[str], budget: int, out: str = "epoch") -> DataFrame:
+    """Rows in order until ``budget`` tokens are reached, with the pass over the data,
+    from 0; the row that reaches it is the last one kept. A budget above one pass
+    goes on with the next.
 
     Counts are summed by bucket, and ordered only in the bucket where the budget
-    ends. The result is a filter on the key, which reaches the scan: no text is
-    shuffled.
+    ends. The result of the last pass is a filter on the key, which reaches the scan
+    when the key is one column: no text is shuffled.
     """
+    order = names(order_by)
+    number = F.lit(0).cast("int").alias(out)
     if budget <= 0:
-        return df.filter(F.lit(False))
-    bounds = range_bounds(df, [order_by])
-    rows = df.select(order_by, tokens).withColumn("_bucket", bucket_of(df, [order_by], bounds))
-    bases = bucket_bases(rows, F.col(tokens), "_bucket")
-    ends_in = bases.filter((F.col("_base") < budget) & (F.col("_base") + F.col("_sum") >= budget)).first()
-    if ends_in is None:
-        return df
-    last_bucket = rows.filter(within_bucket(df, order_by, bounds, ends_in["_bucket"]))
+        return df.select("*", number).filter(F.lit(False))
+    bounds = range_bounds(df, order)
+    rows = df.select(*[column(c) for c in order], column(tokens).alias("_n")).withColumn("_bucket", bucket_of(df, order, bounds))
+    bases = bucket_bases(rows, F.col("_n"), "_bucket")
+    every = bases.agg(F.sum("_sum")).first()[0] or 0
+    if not every:
+        return df.select("*", number)  # no budget can be reached
+    passes, rest = divmod(budget, every)
+    whole = repeat_epochs(df, passes, out) if passes else None
+    if not rest:
+        return whole
+    ends_in = bases.filter((F.col("_base") < rest) & (F.col("_base") + F.col("_sum") >= rest)).first()
+    last_bucket = rows.filter(within_bucket(df, order, bounds, ends_in["_bucket"]))
     one = F.lit(0).cast("bigint")
-    placed = running_start(last_bucket, F.col(tokens), order_by, out="_start", bucket=one, shared_shuffle=True)
-    last = placed.filter(F.col("_start") + ends_in["_base"] < budget).agg(F.max(order_by)).first()[0]
+    placed = running_start(last_bucket, F.col("_n"), order, out="_start", bucket=one, one_bucket=True)
+    before = placed.filter(F.col("_start") + ends_in["_base"] < rest)
+    key = column(order[0]) if len(order) == 1 else F.struct(*[column(c) for c in order])
+    last = before.agg(F.max(key)).first()[0]
     # A null key comes first in the order, as it does in a sort.
-    return df.filter(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(last)))
+    if len(order) == 1:
+        kept = df.filter(key.isNull() | (key <= F.lit(last)))
+    else:
+        kinds = [df.schema[c].dataType for c in order]
+        reached = F.struct(*[F.lit(v).cast(k) for v, k in zip(last, kinds)])
+        kept = df.filter(key <= reached)
+    kept = kept.select("*", F.lit(passes).cast("int").alias(out))
+    return kept if whole is None else whole.unionAll(kept)
 
 
 def repeat_epochs(df: DataFrame, epochs: int, out: str = "epoch") -> DataFrame:
@@ -155,15 +237,24 @@ def repeat_epochs(df: DataFrame, epochs: int, out: str = "epoch") -> DataFrame:
     return df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
-def take_duration(df: DataFrame, duration: str, tokens: str, order_by: str) -> DataFrame:
-    """The rows a run of ``duration`` reads: ``10000000tok`` or ``10ep``."""
-    parsed = re.fullmatch(r"([0-9_]+)(tok|ep)", duration)
+def take_duration(
+    df: DataFrame,
+    duration: str,
+    tokens: str,
+    order_by: str | Sequence[str],
+    batch_size: int = BATCH_SIZE,
+    length: int = SAMPLE_LENGTH,
+) -> DataFrame:
+    """The rows a run of ``duration`` reads, and in ``epoch`` the pass it reads them in:
+    ``10000000tok``, ``10ep`` or ``500ba`` (batches of ``batch_size`` samples of
+    ``length`` tokens)."""
+    parsed = re.fullmatch(r"([0-9_]+)(tok|ep|ba)", duration)
     if parsed is None:
-        raise ValueError(f"duration must be like '10000000tok' or '10ep', not {duration!r}")
+        raise ValueError(f"duration must be like '10000000tok', '10ep' or '500ba', not {duration!r}")
     amount = int(parsed[1])
     if parsed[2] == "ep":
         return repeat_epochs(df, amount)
-    return take_token_budget(df, tokens, order_by, amount)
+    return take_token_budget(df, tokens, order_by, amount * (batch_size * length if parsed[2] == "ba" else 1))
 
 
 def token_report(

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.functions.chat import DEFAULT_SYSTEM, chat_messages
 from corpusprep.functions.html import article_fields
 from corpusprep.operators.ordering import names
 
@@ -37,6 +38,20 @@ def flatten_nested(
     return opened.select(*renamed, *fields)
 
 
+def exchange_messages(
+    df: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", system: str = DEFAULT_SYSTEM
+) -> DataFrame:
+    """A chat record (``messages``) for each user turn that an assistant turn follows:
+    the conversation's first system turn or else ``system``, the user's turn, the
+    answer. Equi-joins on the conversation and its turns, nothing is collected, so a
+    conversation of any size is many records. Turns tell a conversation's rows apart."""
+    user = df.filter(F.col(role) == "user").select(key, turn, F.col(text).alias("_prompt"))
+    answer = df.filter(F.col(role) == "assistant").select(key, (F.col(turn) - 1).alias(turn), F.col(text).alias("_answer"))
+    first = df.filter(F.col(role) == "system").groupBy(key).agg(F.min_by(text, turn).alias("_system"))
+    pairs = user.join(answer, [key, turn]).join(first, key, "left")
+    return pairs.select(key, turn, chat_messages("_prompt", "_answer", F.coalesce("_system", F.lit(system))).alias("messages"))
+
+
 def compare_responses(
     a: DataFrame,
     b: DataFrame,
@@ -47,21 +62,26 @@ def compare_responses(
 ) -> DataFrame:
     """The answers of two models to the same prompts, next to each other, with
     the other columns of ``a``. ``b`` has one answer per key: a second one stops
-    the job, so that no key can make pairs of all its rows. The count shrinks
-    before the shuffle, and the join uses the partitioning it leaves."""
+    the job, so that no key can make pairs of all its rows. Keys alone are counted,
+    before their shuffle; no aggregate holds an answer."""
     keys = names(key)
     left = a.withColumnRenamed(content, a_name)
-    answers = b.groupBy(*keys).agg(F.min(content).alias("_answer"), F.count(F.lit(1)).alias("_n"))
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    answers = b.select(*keys, F.col(content).alias("_answer")).join(counts.hint("shuffle_hash"), keys)
     stop = F.raise_error(F.lit(f"a second answer for the same {keys}"))
     right = answers.select(*keys, F.when(F.col("_n") > 1, stop).otherwise(F.col("_answer")).alias(b_name))
     return left.join(right, keys, "inner")
 
 
-def map_text(df: DataFrame, column: str, fn: Callable[[str], str], out: str) -> DataFrame:
-    """Adds ``fn`` of a text column, over Arrow batches; null stays null."""
+def map_text(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.Series], out: str) -> DataFrame:
+    """Adds ``fn`` of a text column. ``fn`` gets the texts of an Arrow batch as a Series,
+    without nulls, and returns as many; null stays null."""
 
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield texts.map(fn, na_action="ignore")
+            known = texts.notna()
+            mapped = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            mapped[known] = fn(texts[known])
+            yield mapped
 
     return df.withColumn(out, F.pandas_udf(apply, "string")(F.col(column)))

@@ -9,30 +9,41 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.strings import seeded_md5
 
-BUCKETS = 1000
+SPACE = 1 << 32
 
 
-def split_bucket(key: str | Sequence[str], seed: int) -> Column:
-    """A number from 0 to 999 that depends only on the seed and the key."""
+def split_draw(key: str | Sequence[str], seed: int) -> Column:
+    """A number of 32 bits that depends only on the seed and the key."""
     keys = [key] if isinstance(key, str) else list(key)
-    head = F.substring(seeded_md5(seed, *keys), 1, 8)
-    return F.conv(head, 16, 10).cast("bigint") % BUCKETS
+    return F.conv(F.substring(seeded_md5(seed, *keys), 1, 8), 16, 10).cast("bigint")
 
 
-def split_label(weights: Mapping[str, float], key: str | Sequence[str], seed: int = 42) -> Column:
-    """The name of the split a row falls in, by weights that need not add to 1."""
-    if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
-        raise ValueError(f"weights must be zero or more, and not all zero: {dict(weights)}")
-    bucket = split_bucket(key, seed)
+def split_bounds(weights: Mapping[str, float]) -> list[tuple[str, int]]:
+    """Each split and the end of its range of draws, by weights that need not add to 1.
+    A positive weight too small for a range of its own is an error, so that no split
+    silently stays empty."""
     total = sum(weights.values())
-    names = list(weights)
-    label = F.lit(names[-1])
-    bounds, so_far = [], 0.0
-    for name in names[:-1]:
-        so_far += weights[name]
-        bounds.append((name, round(BUCKETS * so_far / total)))
-    for name, bound in reversed(bounds):
-        label = F.when(bucket < bound, F.lit(name)).otherwise(label)
+    if not weights or min(weights.values()) < 0 or total <= 0:
+        raise ValueError(f"weights must be zero or more, and not all zero: {dict(weights)}")
+    last = max(i for i, w in enumerate(weights.values()) if w > 0)
+    bounds, so_far, before = [], 0.0, 0
+    for i, (name, weight) in enumerate(weights.items()):
+        so_far += weight
+        end = SPACE if i >= last else round(SPACE * so_far / total)
+        if weight > 0 and end == before:
+            raise ValueError(f"weight {weight} of {name!r} is too small: its range of draws is empty")
+        bounds.append((name, end))
+        before = end
+    return bounds
+
+
+def split_label(weights: Mapping[str, float], key: str | Sequence[str], seed: int = 42) -> Column:
+    """The name of the split a row falls in."""
+    draw, before, label = split_draw(key, seed), 0, None
+    for name, end in split_bounds(weights):
+        if end > before:
+            label = F.when(draw < end, F.lit(name)) if label is None else label.when(draw < end, F.lit(name))
+        before = end
     return label
 
 

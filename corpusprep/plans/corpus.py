@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusprep import functions as fn
 from corpusprep import operators as op
 from corpusprep import sources as io
-from corpusprep.plans.inputs import TOKENS_SQL, articles, bucket_sql, documents
+from corpusprep.plans.inputs import TOKENS_SQL, documents, split_sql
 from corpusprep.session import scratch_path
 
 CORPUS_SPLITS = {"train_small": 0.9, "val_small": 0.1}
@@ -25,11 +25,11 @@ def _split_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def _counted(spark: SparkSession, folder: str) -> DataFrame:
     # The end-of-text token counts too.
-    return documents(spark, folder).withColumn("n_tokens", (F.size(_tokens()) + 1).cast("bigint"))
+    return documents(spark, folder).withColumn("n_tokens", fn.count_tokens("text") + 1)
 
 
-def _split_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return op.pack_tokens(_split_documents(spark, folder), _tokens(), "doc_id", length=SHORT, group_by="split")
+def _split_samples(spark: SparkSession, folder: str, length: int = SHORT) -> DataFrame:
+    return op.pack_tokens(_split_documents(spark, folder), _tokens(), "doc_id", length=length, group_by="split")
 
 
 # --- export ---------------------------------------------------------------------
@@ -67,7 +67,7 @@ def corpus_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return documents(spark, folder).select("doc_id", F.size(_tokens()).cast("bigint").alias("n_tokens"))
+    return documents(spark, folder).select("doc_id", fn.count_tokens("text").alias("n_tokens"))
 
 
 def token_counts_eos(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,13 +91,33 @@ def packed_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "packed")
     io.write_packed(_split_samples(spark, folder), path)
-    shuffled = op.shuffle_rows(io.read_packed(spark, path, "train_small"), "sample")
+    shuffled = op.shuffle_into_order(io.read_packed(spark, path, "train_small"), "sample")
     return shuffled.select("position", "sample", F.array_join("tokens", " ").alias("tokens"))
 
 
+def packed_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples of the training runs' own length, for each split."""
+    samples = _split_samples(spark, folder, op.SAMPLE_LENGTH)
+    return samples.select("split", "sample", F.array_join("tokens", " ").alias("tokens"))
+
+
 def batches(spark: SparkSession, folder: str) -> DataFrame:
-    shuffled = op.shuffle_rows(documents(spark, folder).select("doc_id"), "doc_id")
-    return op.assign_batches(shuffled, batch_size=64, drop_last=True)
+    shuffled = op.shuffle_rows(documents(spark, folder).select("doc_id"), "doc_id", total="n_rows")
+    return op.assign_batches(shuffled, batch_size=64, drop_last=True, total="n_rows").drop("n_rows")
+
+
+def sample_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole chain: a subset, its splits, packed samples, the train samples in
+    shuffled order, full batches, written and read back."""
+    chosen = documents(spark, folder).filter("lang = 'en'")
+    split = op.split_by_hash(chosen, CORPUS_SPLITS, "doc_id", seed=17)
+    packed = scratch_path(spark, "packed")
+    io.write_packed(op.pack_tokens(split, _tokens(), "doc_id", length=SHORT, group_by="split"), packed)
+    train = op.shuffle_into_order(io.read_packed(spark, packed, "train_small"), "sample", total="n_rows")
+    out = scratch_path(spark, "batches")
+    op.assign_batches(train, batch_size=16, drop_last=True, total="n_rows").drop("n_rows").write.parquet(out)
+    back = spark.read.parquet(out)
+    return back.select("batch", "position", "sample", F.array_join("tokens", " ").alias("tokens"))
 
 
 def eval_subset(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +127,18 @@ def eval_subset(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_budget(spark: SparkSession, folder: str) -> DataFrame:
-    return op.take_duration(_counted(spark, folder), "100000tok", "n_tokens", "doc_id").select("doc_id", "n_tokens")
+    return op.take_duration(_counted(spark, folder), "100000tok", "n_tokens", "doc_id").select("doc_id", "n_tokens", "epoch")
+
+
+def token_budget_epochs(spark: SparkSession, folder: str) -> DataFrame:
+    """A budget of more than one pass, with keys of two columns."""
+    counted = _counted(spark, folder).select("lang", "doc_id", "n_tokens")
+    return op.take_duration(counted, "1000000tok", "n_tokens", ["lang", "doc_id"])
+
+
+def duration_batches(spark: SparkSession, folder: str) -> DataFrame:
+    counted = _counted(spark, folder).select("doc_id", "n_tokens")
+    return op.take_duration(counted, "20ba", "n_tokens", "doc_id", batch_size=64, length=SHORT)
 
 
 def epoch_expand(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,7 +176,7 @@ def response_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 def map_text(spark: SparkSession, folder: str) -> DataFrame:
     corpus = documents(spark, folder).select("doc_id", "text")
-    return op.map_text(corpus, "text", lambda text: text.replace("e", "3"), "mapped")
+    return op.map_text(corpus, "text", lambda texts: texts.str.replace("e", "3", regex=False), "mapped")
 
 
 QUERIES = {
@@ -159,9 +190,13 @@ QUERIES = {
     "packed_samples": packed_samples,
     "packed_roundtrip": packed_roundtrip,
     "shuffled_samples": shuffled_samples,
+    "packed_splits": packed_splits,
     "batches": batches,
+    "sample_batches": sample_batches,
     "eval_subset": eval_subset,
     "token_budget": token_budget,
+    "token_budget_epochs": token_budget_epochs,
+    "duration_batches": duration_batches,
     "epoch_expand": epoch_expand,
     "token_report": token_report,
     "flatten_nested": flatten_nested,
@@ -170,14 +205,14 @@ QUERIES = {
 }
 
 _STEM_SQL = "replace(split_part(url, '/', -1), '.', '_')"
-_SPLIT_SQL = f"case when {bucket_sql(17, 'doc_id')} < 900 then 'train_small' else 'val_small' end"
+_SPLIT_SQL = split_sql(17, "doc_id", CORPUS_SPLITS)
 _FULL_SQL = f"list_append({TOKENS_SQL}, '{fn.DEFAULT_EOS}')"
 _COUNT_SQL = f"cast(len({_FULL_SQL}) as bigint)"
 
 
-def _packed_sql(length: int, rows: str) -> str:
+def _packed_sql(length: int, rows: str, where: str = "true") -> str:
     return f"""
-        with split_docs as (select doc_id, text, {_SPLIT_SQL} as split from documents),
+        with split_docs as (select doc_id, text, {_SPLIT_SQL} as split from documents where {where}),
         docs as (select doc_id, {rows} as part, {_FULL_SQL} as toks from split_docs),
         opened as (select part, doc_id, unnest(toks) as tok, generate_subscripts(toks, 1) as i from docs),
         placed as (
@@ -186,6 +221,17 @@ def _packed_sql(length: int, rows: str) -> str:
         from placed group by all having count(*) = {length}"""
 
 
+def _budget_sql(budget: str, order: str) -> str:
+    """Passes over the corpus, one after the other, until the budget is reached."""
+    return f"""
+        with counted as (select lang, doc_id, {_COUNT_SQL} as n_tokens from documents),
+        summed as (select *, sum(n_tokens) over (order by {order} rows unbounded preceding) - n_tokens as start,
+          sum(n_tokens) over () as every from counted)
+        select {order}, n_tokens, cast(e as integer) as epoch
+        from summed, (select unnest(range(cast(({budget}) // (select sum(n_tokens) from counted) + 1 as bigint))) as e)
+        where e * every + start < {budget}"""
+
+
 ORACLES = {
     "export_names": f"select page_id, {_STEM_SQL} as name, '/corpus/' || {_STEM_SQL} || '.txt' as path from pages",
     "export_name_collisions": f"""
@@ -202,6 +248,12 @@ ORACLES = {
     "shuffled_samples": f"""
         select row_number() over (order by md5('17:' || sample), sample) - 1 as position, sample, tokens
         from ({_packed_sql(SHORT, 'split')}) where part = 'train_small'""",
+    "packed_splits": f"select part as split, sample, tokens from ({_packed_sql(2048, 'split')})",
+    "sample_batches": f"""
+        with train as (select sample, tokens from ({_packed_sql(SHORT, 'split', "lang = 'en'")}) where part = 'train_small'),
+        placed as (select *, row_number() over (order by md5('17:' || sample), sample) - 1 as position from train)
+        select position // 16 as batch, position, sample, tokens from placed
+        where position // 16 < (select count(*) // 16 from train)""",
     "batches": """
         with placed as (
           select doc_id, row_number() over (order by md5('17:' || doc_id), doc_id) - 1 as position from documents)
@@ -212,11 +264,9 @@ ORACLES = {
           select doc_id, text, row_number() over (order by doc_id) - 1 as position
           from documents where {_SPLIT_SQL} = 'val_small')
         select doc_id, text, position, position // 16 as batch from placed where position // 16 < 2""",
-    "token_budget": f"""
-        with counted as (select doc_id, {_COUNT_SQL} as n_tokens from documents),
-        summed as (select *, sum(n_tokens) over (order by doc_id rows unbounded preceding) - n_tokens as start
-                   from counted)
-        select doc_id, n_tokens from summed where start < 100000""",
+    "token_budget": _budget_sql("100000", "doc_id"),
+    "token_budget_epochs": _budget_sql("1000000", "lang, doc_id"),
+    "duration_batches": _budget_sql(f"20 * 64 * {SHORT}", "doc_id"),
     "epoch_expand": "select doc_id, text, cast(epoch as integer) as epoch from documents, range(3) t(epoch)",
     "token_report": f"""
         with counted as (select lang, {_COUNT_SQL} as n_tokens from documents)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusprep.functions.html import ENTITIES, REFERENCE
 from corpusprep.operators import extract_article
 from corpusprep.sources import read_table
 
@@ -21,25 +24,44 @@ _CODE_COLUMNS = [
 ]
 CODE_SQL = f"select {', '.join(_CODE_COLUMNS)} from part"
 
-_VISIBLE_SQL = r"regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g')"
+# The patterns of the code, in DuckDB's syntax (no atomic groups: the shortest match
+# from the start is the same one).
+_VISIBLE_SQL = r"regexp_replace(html, '(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))', ' ', 'g')"
+
+
+def _decoded_sql(text: str) -> str:
+    """References decoded part by part, as the code does it."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    table = "map {" + ", ".join(f"{quoted(n)}: {quoted(c)}" for n, c in ENTITIES.items()) + "}"
+    name = f"regexp_extract(p, '{REFERENCE}', 1)"
+    code = f"case when {name} ~ '#[xX].*' then cast('0x' || substr({name}, 3) as bigint) when {name} ~ '#.*' then cast(substr({name}, 2) as bigint) end"
+    known = f"({code} between 1 and 55295 or {code} between 57344 and 1114111)"
+    char = f"coalesce({table}[{name}], case when {known} then chr(cast({code} as integer)) end)"
+    part = f"case when {char} is null then '&' || p else {char} || substr(p, length({name}) + 2) end"
+    pieces = f"string_split({text}, '&')"
+    return f"({pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {part}), ''))"
 
 
 def _plain_sql(pattern: str) -> str:
-    text = rf"regexp_replace(regexp_extract({_VISIBLE_SQL}, '{pattern}', 1), '<[^>]*>', ' ', 'g')"
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
-    return rf"trim(regexp_replace({text}, '[ \t\n\r\f]+', ' ', 'g'))"
+    text = rf"regexp_replace(regexp_extract({_VISIBLE_SQL}, '{pattern}', 1), '<[^<>]*>', ' ', 'g')"
+    return rf"trim(regexp_replace({_decoded_sql(text)}, '[ \t\n\r\f]+', ' ', 'g'))"
 
 
-_TITLE_SQL = _plain_sql(r"(?is)<title\b[^>]*>(.*?)</title>")
-_TEXT_SQL = _plain_sql(r"(?is)<article\b[^>]*>(.*?)</article>")
+_TITLE_SQL = _plain_sql(r"(?is)\A.*?<title\b[^<>]*>(.*?)</title>")
+_TEXT_SQL = _plain_sql(r"(?is)\A.*?<article\b[^<>]*>(.*?)</article>")
 ARTICLES_SQL = f"select page_id, url, {_TITLE_SQL} as title, {_TEXT_SQL} as text from pages"
 
 TOKENS_SQL = r"list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda x: x <> '')"
 
 
-def bucket_sql(seed: int, key: str) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint % 1000)"
+def split_sql(seed: int, key: str, splits: Mapping[str, float]) -> str:
+    """The split of a row: by the first 32 bits of a digest."""
+    draw = f"('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint"
+    ends, so_far = [], 0.0
+    for name, weight in splits.items():
+        so_far += weight
+        ends.append(f"when {draw} < {round(so_far / sum(splits.values()) * 4294967296)} then '{name}'")
+    return f"case {' '.join(ends)} end"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

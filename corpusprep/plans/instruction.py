@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusprep import functions as fn
 from corpusprep import operators as op
 from corpusprep import sources as io
-from corpusprep.plans.inputs import ARTICLES_SQL, CODE_SQL, articles, bucket_sql, code_elements, documents
+from corpusprep.plans.inputs import ARTICLES_SQL, CODE_SQL, articles, code_elements, documents, split_sql
 from corpusprep.session import scratch_path
 
 SPLITS = {"train": 0.9, "eval": 0.1}
@@ -28,7 +28,10 @@ def _message_sql(prompt: str, response: str) -> str:
 
 
 def distinct_articles(spark: SparkSession, folder: str) -> DataFrame:
-    filled = op.load_and_filter(articles(spark, folder).select("page_id", "title", "text"))
+    # Deduplication reads its rows twice: the page patterns run once, before it.
+    path = scratch_path(spark, "articles")
+    articles(spark, folder).select("page_id", "title", "text").write.parquet(path)
+    filled = op.load_and_filter(spark.read.parquet(path))
     return op.dedup_exact(filled, ["text", "title"], keep_by="page_id")
 
 
@@ -130,8 +133,25 @@ def train_eval_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_eval_random(spark: SparkSession, folder: str) -> DataFrame:
-    train, evaluation = op.split_random(documents(spark, folder).select("doc_id"), list(SPLITS.values()))
-    return train.withColumn("split", F.lit("train")).union(evaluation.withColumn("split", F.lit("eval")))
+    # The draw depends on the partitioning; that each row is on one side does not.
+    sides = op.split_random(documents(spark, folder).select("doc_id"), list(SPLITS.values()))
+    train, evaluation = (side.select("doc_id", F.lit(name).alias("split")) for side, name in zip(sides, SPLITS))
+    filled = F.lit(not train.isEmpty() and not evaluation.isEmpty())
+    return train.union(evaluation).groupBy("doc_id").agg(F.count("split").alias("n_sides")).withColumn("both_filled", filled)
+
+
+def exchange_messages(spark: SparkSession, folder: str) -> DataFrame:
+    records = op.exchange_messages(io.read_table(spark, "conversations", folder))
+    return records.select("conv_id", "turn", fn.chat_json("messages").alias("message"))
+
+
+def chat_validity(spark: SparkSession, folder: str) -> DataFrame:
+    # Every turn as a record of its own, most of them no record to train on, and
+    # every exchange.
+    turns = io.read_table(spark, "conversations", folder)
+    alone = turns.select("conv_id", "turn", F.array(F.struct("role", F.col("text").alias("content"))).alias("messages"))
+    records = alone.withColumn("kind", F.lit("turn")).unionByName(op.exchange_messages(turns).withColumn("kind", F.lit("exchange")))
+    return records.select("conv_id", "turn", "kind", fn.chat_fault("messages").alias("fault"))
 
 
 def turn_with_system(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,16 +176,40 @@ QUERIES = {
     "train_eval_split": train_eval_split,
     "train_eval_random": train_eval_random,
     "turn_with_system": turn_with_system,
+    "exchange_messages": exchange_messages,
+    "chat_validity": chat_validity,
 }
 
+_EXCHANGES_SQL = f"""
+select u.conv_id, u.turn, coalesce(s.text, '{fn.DEFAULT_SYSTEM}') as system, u.text as prompt, a.text as answer
+from conversations u
+join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1 and a.role = 'assistant'
+left join (select conv_id, arg_min(text, turn) as text from conversations where role = 'system' group by conv_id) s
+  on s.conv_id = u.conv_id
+where u.role = 'user'"""
+_BLANK_SQL = "coalesce(trim({}), '') = ''"
+
 ORACLES = {
+    "exchange_messages": f"""
+        select conv_id, turn, to_json({{'messages': [{{'role': 'system', 'content': system}},
+          {{'role': 'user', 'content': prompt}}, {{'role': 'assistant', 'content': answer}}]}})::varchar as message
+        from ({_EXCHANGES_SQL})""",
+    "chat_validity": f"""
+        select conv_id, turn, 'turn' as kind, case when role not in ('system', 'user', 'assistant') then 'unknown role'
+          when role <> 'user' then 'no user turn' else 'last turn is not the assistant''s' end as fault
+        from conversations
+        union all
+        select conv_id, turn, 'exchange', case when {_BLANK_SQL.format('system')} or {_BLANK_SQL.format('prompt')}
+          or {_BLANK_SQL.format('answer')} then 'empty content' end
+        from ({_EXCHANGES_SQL})""",
+    "train_eval_random": "select doc_id, count(*) as n_sides, true as both_filled from documents group by doc_id",
     "title_messages": f"select page_id, {_message_sql('prompt', 'response')} as message from ({_TITLE_PAIRS_SQL})",
     "title_pairs": _TITLE_PAIRS_SQL,
     "pair_lines": f"""
         select page_id, to_json({{'prompt': prompt, 'response': response}})::varchar as line
         from ({_TITLE_PAIRS_SQL})""",
     "chat_jsonl_roundtrip": f"""
-        select case when {bucket_sql(42, 'page_id')} < 900 then 'train' else 'eval' end as split,
+        select {split_sql(42, "page_id", SPLITS)} as split,
           cast(3 as bigint) as n_messages, prompt, response, false as is_corrupt
         from ({_TITLE_PAIRS_SQL})""",
     "page_articles": ARTICLES_SQL,
@@ -190,8 +234,7 @@ ORACLES = {
         select * from documents d
         where not exists (select 1 from documents e where e.text = d.text and e.doc_id < d.doc_id)""",
     "train_eval_split": f"""
-        select doc_id, case when {bucket_sql(42, 'doc_id')} < 900 then 'train' else 'eval' end as split
-        from documents""",
+        select doc_id, {split_sql(42, "doc_id", SPLITS)} as split from documents""",
     "turn_with_system": f"""
         select conv_id, turn, case when role = 'system'
           then to_json({{'messages': [{{'role': role, 'content': text}}]}})::varchar

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,15 +27,41 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that the cluster shares (``spark.checkpoint.dir``).
+SCRATCH_SETTING = "spark.corpusprep.scratch.dir"
+_used: dict[str, list[str]] = {}
+
 
-    Only a local session may go without that setting: its executors run on this
-    machine, so a temporary folder is visible to all of them.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate data, below the folder that the cluster shares:
+    ``spark.corpusprep.scratch.dir``, or else ``spark.checkpoint.dir``. Only a local
+    session may go without both; it uses its warehouse. ``clear_scratch`` deletes
+    what an application has used, and so does the end of the program."""
+    root = spark.conf.get(SCRATCH_SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="corpusprep-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+            raise ValueError(f"set {SCRATCH_SETTING} or spark.checkpoint.dir to a folder that every executor can reach")
+        root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _used:
+        atexit.register(_clear_at_exit, spark)
+    _used.setdefault(application, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Deletes scratch folders that nothing will read again."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        target = hadoop.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all scratch folders of this application."""
+    drop_scratch(spark, *_used.pop(spark.sparkContext.applicationId, []))
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped yet
+        clear_scratch(spark)

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusprep.functions.chat import CHAT_SCHEMA
 
-MAX_SINGLE_FILE_BYTES = 4 * 1024**3
-
 
 def write_jsonl(
     df: DataFrame,
@@ -18,14 +16,13 @@ def write_jsonl(
     split_col: str | None = None,
     single_file: bool = False,
     mode: str = "error",
-    max_bytes: int = MAX_SINGLE_FILE_BYTES,
 ) -> None:
     """Writes one column as lines, as a folder of shards; with ``split_col``, one
     pass writes a folder for each split.
 
-    ``single_file`` writes the one file ``path`` instead. All lines then pass
-    one task, so shards are written first, and more than ``max_bytes`` of them is
-    an error: shards have no such limit.
+    ``single_file`` writes the one file ``path`` instead. Shards are written first by
+    all tasks, and then copied line by line by one, in bounded memory and in time that
+    grows with the file: for a large corpus, write shards.
     """
     if split_col is not None:
         if single_file:
@@ -34,10 +31,10 @@ def write_jsonl(
     elif not single_file:
         df.select(column).write.mode(mode).text(path)
     else:
-        _write_one_file(df.select(column), path, mode, max_bytes)
+        _write_one_file(df.select(column), path, mode)
 
 
-def _write_one_file(lines: DataFrame, path: str, mode: str, max_bytes: int) -> None:
+def _write_one_file(lines: DataFrame, path: str, mode: str) -> None:
     spark = lines.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
@@ -52,9 +49,6 @@ def _write_one_file(lines: DataFrame, path: str, mode: str, max_bytes: int) -> N
     shards, whole = f"{stage.toString()}/shards", f"{stage.toString()}/whole"
     try:
         lines.write.text(shards, lineSep="\n")
-        size = fs.getContentSummary(hadoop.Path(shards)).getLength()
-        if size > max_bytes:
-            raise ValueError(f"{size} bytes of lines are too many for one file (limit {max_bytes}); write shards")
         spark.read.text(shards, lineSep="\n").coalesce(1).write.text(whole, lineSep="\n")
         listed = fs.listStatus(hadoop.Path(whole))
         parts = [s.getPath() for s in listed if s.getPath().getName().startswith("part-")]

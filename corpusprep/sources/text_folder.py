@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import uuid
 from collections.abc import Iterator
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -32,7 +33,7 @@ def export_name_collisions(df: DataFrame, id_col: str) -> DataFrame:
 
 @dataclass
 class _Done(WriterCommitMessage):
-    n_files: int
+    folder: str
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -53,11 +54,13 @@ class _TextFolderWriter(DataSourceArrowWriter):
     """Tasks write every file under a temporary name and move it to its own name
     in a staging folder. A task that runs again, or twice at once, replaces its
     files by equal ones. The driver then moves the one folder into place: its
-    work does not grow with the number of files."""
+    work does not grow with the number of files. A folder that is replaced comes
+    back when the move fails."""
 
-    def __init__(self, path: str, overwrite: bool) -> None:
+    def __init__(self, path: str, overwrite: bool, spread: bool = False) -> None:
         self.path = path.rstrip("/")
         self.overwrite = overwrite
+        self.spread = spread
         # Siblings of the target, so that the moves stay in one file system.
         token = uuid.uuid4().hex
         self.stage = f"{self.path}.stage-{token}"
@@ -72,22 +75,33 @@ class _TextFolderWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, stage = _open(self.stage)
         part = f"{_open(self.parts)[1]}/{uuid.uuid4().hex}"
-        n = 0
+        made = set()
         for batch in iterator:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder = f"{stage}/{hashlib.md5(name.encode()).hexdigest()[:2]}" if self.spread else stage
+                if self.spread and folder not in made:
+                    fs.create_dir(folder)
+                    made.add(folder)
                 with fs.open_output_stream(part) as out:
                     out.write(text.encode("utf-8"))
-                fs.move(part, f"{stage}/{name}.txt")
-                n += 1
-        return _Done(n)
+                fs.move(part, f"{folder}/{name}.txt")
+        return _Done(stage)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         fs, target = _open(self.path)
-        if fs.get_file_info(target).type != pafs.FileType.NotFound:
+        if any(m is not None and m.folder != _open(self.stage)[1] for m in messages):
+            raise RuntimeError(f"tasks wrote elsewhere than {self.stage}")
+        replaced = fs.get_file_info(target).type != pafs.FileType.NotFound
+        if replaced:
             if not self.overwrite:
                 raise FileExistsError(f"{self.path} appeared during the write")
             fs.move(target, _open(self.old)[1])
-        fs.move(_open(self.stage)[1], target)
+        try:
+            fs.move(_open(self.stage)[1], target)
+        except BaseException:
+            if replaced:
+                fs.move(_open(self.old)[1], target)
+            raise
         self._remove(self.parts, self.old)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -108,7 +122,7 @@ class TextFolderSink(DataSource):
         return "textfolder"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _TextFolderWriter(self.options["path"], overwrite)
+        return _TextFolderWriter(self.options["path"], overwrite, self.options.get("spread") == "true")
 
 
 # Names that Spark's file readers skip (the first two) or cannot open.
@@ -123,15 +137,19 @@ def write_text_folder(
     collisions: str = "error",
     unreadable: str = "error",
     mode: str = "error",
+    spread: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Writes each row's text to ``<path>/<stem of the id>.txt`` and returns the
-    manifest: ``name`` and ``path`` of each file.
+    manifest: ``name`` and ``path`` of each file. ``spread`` puts files into 256
+    folders below, by a digest of the name, for corpora that would overfill one.
 
-    Rows with null text or id are not written; use ``filter_null_or_empty``
-    first to count them. When two ids share a stem, ``error`` stops before
-    anything is written, and ``suffix`` adds a digest of the id to every name.
-    Names that Spark could not read back (empty, with ``.`` or ``_`` in front,
-    or with ``:``) are an error too, unless ``unreadable="keep"``.
+    Rows with null text or id are not written; ``observation`` receives ``in_rows``
+    and ``dropped_rows`` from the write itself. When two ids share a stem, ``error``
+    stops before anything is written, and ``suffix`` adds a digest of the id to every
+    name. Names that Spark could not read back (empty, with ``.`` or ``_`` in front,
+    or with ``:``) are an error too, unless ``unreadable="keep"``. Of each kind the
+    first names are told, always the same.
 
     The folder needs a file system with a folder move, such as a mount that all
     executors share, or HDFS. One file per document is slow where objects are
@@ -142,33 +160,41 @@ def write_text_folder(
     if mode not in ("error", "overwrite"):
         raise ValueError(f"mode must be 'error' or 'overwrite', not {mode!r}")
     stem = unique_stem if collisions == "suffix" else file_stem
-    present = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    named = present.select(stem(F.col(id_col).cast("string")).alias("name"), F.col(text_col).alias("text"))
+    kept = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+    present = df.filter(kept)
+    name = stem(F.col(id_col).cast("string")).alias("name")
 
-    def bad_names(names: DataFrame) -> list:
+    def bad_names(names: DataFrame) -> tuple[list[str], list[str]]:
         lost = F.lit(False) if unreadable == "keep" else F.col("name").rlike(_UNREADABLE)
-        counts = names.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-        return counts.filter((F.col("n") > 1) | lost).limit(5).collect()
+        counts = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("lost", lost).filter("n > 1 or lost")
+        told = lambda test: [r["name"] for r in counts.filter(test).orderBy("name").limit(5).collect()]
+        return told("n > 1"), told("lost")
 
     # First over all ids, which reads no text; only if that finds something, again
     # without the rows that have none.
-    ids = df.filter(F.col(id_col).isNotNull())
-    bad = bad_names(ids.select(stem(F.col(id_col).cast("string")).alias("name"))) and bad_names(named)
-    shared = [r["name"] for r in bad if r["n"] > 1]
+    found = bad_names(df.filter(F.col(id_col).isNotNull()).select(name))
+    shared, lost = bad_names(present.select(name)) if any(found) else ([], [])
     if shared:
-        raise NameCollision(f"names of several rows, such as {shared}")
-    if bad:
-        raise ValueError(f"names that Spark cannot read back, such as {[r['name'] for r in bad]}")
+        raise NameCollision(f"names of several rows, such as {shared}" + (f"; names that Spark cannot read back, such as {lost}" if lost else ""))
+    if lost:
+        raise ValueError(f"names that Spark cannot read back, such as {lost}")
 
     spark = df.sparkSession
     spark.dataSource.register(TextFolderSink)
+    rows = df
+    if observation is not None:
+        rows = df.observe(observation, F.count(F.lit(1)).alias("in_rows"), F.count_if(~kept).alias("dropped_rows"))
+    named = rows.filter(kept).select(name, F.col(text_col).alias("text"))
     spark_mode = "append" if mode == "error" else "overwrite"
-    named.write.format("textfolder").mode(spark_mode).save(_qualified(spark, path))
-    return named.select("name", file_path(path, "name").alias("path"))
+    named.write.format("textfolder").option("spread", str(spread).lower()).mode(spark_mode).save(_qualified(spark, path))
+    folder = F.concat(F.lit(path.rstrip("/") + "/"), F.substring(F.md5("name"), 1, 2), F.lit("/"), "name", F.lit(".txt"))
+    return present.select(name).select("name", (folder if spread else file_path(path, "name")).alias("path"))
 
 
 def read_text_folder(spark: SparkSession, path: str) -> DataFrame:
-    """``name`` and ``text`` of every ``.txt`` file, one row per file."""
-    files = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+    """``name`` and ``text`` of every ``.txt`` file, one row per file, also of files in
+    folders below."""
+    reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+    files = reader.text(path, wholetext=True)
     name = F.regexp_replace("_metadata.file_name", r"\.txt$", "")
     return files.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("text"))

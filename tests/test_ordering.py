@@ -2,6 +2,7 @@
 plain Python, with hot groups and uneven input."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,32 @@ def test_ties_stop_the_job(spark):
         op.with_position(df, "k").collect()
 
 
+@pytest.mark.parametrize("columns", [["k"], ["j", "k"]])
+def test_null_keys_that_tie_stop_the_job(spark, columns):
+    df = table(spark, [(1, None), (1, None), (1, 3)], "j INT, k INT")
+    with pytest.raises(Exception, match="does not tell all rows apart"):
+        op.with_position(df, columns).collect()
+    with pytest.raises(Exception, match="tell all rows apart|follow on each other"):
+        op.pack_tokens(df.withColumn("text", F.lit("a b c")), fn.whitespace_tokens("text"), columns, 4).collect()
+
+
+def test_names_with_blanks_and_long_keys(spark):
+    df = table(spark, [("x" * 500 + str(i), i) for i in range(1000, 1600)], "`run name` STRING, `order id` INT")
+    assert op.with_position(df, "order id", "run name").filter("position > 0").count() == 0
+    placed = op.with_position(df, "run name").collect()
+    assert {r["run name"][-4:]: r["position"] for r in placed} == {str(i): i - 1000 for i in range(1000, 1600)}
+    assert max(len(str(b)) for b in ordering.range_bounds(df, ["run name"], 8)) <= ordering.KEY_CHARS
+    with pytest.raises(ValueError, match="buckets"):
+        ordering.range_bounds(df, ["run name"], 10**6)
+
+
+def test_totals_by_group(spark):
+    rows = skewed_rows(3000)
+    df = table(spark, rows, "g STRING, k BIGINT, v BIGINT")
+    got = {(r["g"], r["n"]) for r in op.with_position(df, "k", "g", total="n").collect()}
+    assert got == set(Counter(g for g, _, _ in rows).items())
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k INT, text STRING")
     assert op.with_position(df, "k").collect() == []
@@ -176,25 +203,68 @@ def test_batches(spark):
     assert op.eval_subset(full, -1).count() == 200
 
 
-@pytest.mark.parametrize("budget", [0, 1, 777, 10**4, 10**6, 10**9])
+def test_short_last_batch_of_each_group(spark):
+    df = spark.range(100).withColumn("g", F.when(F.col("id") < 90, "a").when(F.col("id") < 95, "b"))
+    counted = op.with_position(df, "id", "g", total="n")
+    for full in (
+        op.assign_batches(counted, 64, drop_last=True, total="n"),
+        op.assign_batches(counted, 64, drop_last=True, group_by="g"),
+    ):
+        assert [tuple(r) for r in full.groupBy("g", "batch").count().collect()] == [("a", 0, 64)]
+
+
+def test_part_files_are_the_shuffle(spark, tmp_path):
+    df = spark.range(3000).withColumn("text", F.repeat(F.col("id").cast("string"), 5))
+    shuffled = op.shuffle_into_order(df, "id", partitions=6, total="n")
+    shuffled.write.parquet(str(tmp_path / "out"))
+    files = sorted(f for f in (tmp_path / "out").iterdir() if f.name.startswith("part-"))
+    import pyarrow.parquet as pq
+
+    rows = [r for f in files for r in pq.read_table(f).to_pylist()]
+    assert [r["position"] for r in rows] == list(range(3000)) and {r["n"] for r in rows} == {3000}
+    same = {r["id"]: r["position"] for r in op.shuffle_rows(df.repartition(7), "id").collect()}
+    assert {r["id"]: r["position"] for r in rows} == same
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("budget", [0, 1, 777, 10**4, 10**6, 3 * 10**6])
 @pytest.mark.parametrize("key", ["bigint", "string"])
 def test_token_budget(spark, budget, key):
     rows = [(k if key == "bigint" else f"k{k}", v) for _, k, v in skewed_rows(800)]
     rows.append((None, 3))
     df = table(spark, rows, f"k {key}, n BIGINT")
+    kept, so_far, epoch = [], 0, 0
+    while so_far < budget:
+        for k, n in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+            if so_far < budget:
+                kept.append((k, epoch))
+            so_far += n
+        epoch += 1
+    got = [(r["k"], r["epoch"]) for r in op.take_duration(df, f"{budget}tok", "n", "k").collect()]
+    assert Counter(got) == Counter(kept)
+
+
+def test_token_budget_over_several_keys(spark):
+    rows = skewed_rows(500)
+    df = table(spark, rows, "g STRING, k BIGINT, n BIGINT")
     kept, so_far = set(), 0
-    for k, n in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
-        if so_far < budget:
-            kept.add(k)
+    for g, k, n in sorted(rows):
+        if so_far < 20_000:
+            kept.add((g, k))
         so_far += n
-    assert {r["k"] for r in op.take_duration(df, f"{budget}tok", "n", "k").collect()} == kept
+    assert {(r["g"], r["k"]) for r in op.take_token_budget(df, "n", ["g", "k"], 20_000).collect()} == kept
 
 
 def test_epochs_and_durations(spark):
     df = spark.range(5)
     rows = op.take_duration(df, "3ep", "id", "id").collect()
     assert sorted((r["id"], r["epoch"]) for r in rows) == [(i, e) for i in range(5) for e in range(3)]
-    for bad in ("10", "ep", "0ep", "-1tok", "5ba"):
+    assert {r["epoch"] for r in op.take_duration(df.withColumn("n", F.lit(1)), "3tok", "n", "id").collect()} == {0}
+    # Two batches of three samples of two tokens are twelve tokens: two passes and two.
+    long = op.take_duration(df.withColumn("n", F.lit(1)), "2ba", "n", "id", batch_size=3, length=2).collect()
+    assert sorted((r["epoch"], r["id"]) for r in long) == [(e, i) for e in (0, 1) for i in range(5)] + [(2, 0), (2, 1)]
+    for bad in ("10", "ep", "0ep", "-1tok", "5bat"):
         with pytest.raises(ValueError):
             op.take_duration(df, bad, "id", "id")
 
@@ -252,6 +322,15 @@ def test_hash_split_is_stable_and_complete(spark):
         op.split_label({}, "id")
 
 
+def test_small_splits_get_their_rows(spark):
+    df = spark.range(200_000)
+    sizes = {r["split"]: r["count"] for r in op.split_by_hash(df, {"train": 0.9999, "eval": 0.0001}, "id").groupBy("split").count().collect()}
+    assert 8 <= sizes["eval"] <= 36 and sum(sizes.values()) == 200_000
+    with pytest.raises(ValueError, match="too small"):
+        op.split_label({"train": 1.0, "eval": 1e-11}, "id")
+    assert op.split_bounds({"a": 1, "none": 0, "b": 1, "also none": 0}) == [("a", 1 << 31), ("none", 1 << 31), ("b", 1 << 32), ("also none", 1 << 32)]
+
+
 def test_copies_stay_on_one_side_when_split_by_text(spark):
     df = spark.range(300).withColumn("text", F.concat(F.lit("t"), F.col("id") % 50))
     sides = op.split_by_hash(df, {"a": 0.5, "b": 0.5}, "text").groupBy("text").agg(F.countDistinct("split").alias("n"))

@@ -1,4 +1,4 @@
-"""Every registered query against DuckDB, over the whole tables."""
+"""Every query of the reference's operators against DuckDB, over the whole tables."""
 
 import os
 
@@ -6,8 +6,7 @@ import pytest
 from oracle import duck, oracle_rows, rows_of
 
 import __spark_entry__ as registry
-
-NO_SQL = {"train_eval_random"}
+from corpusprep.plans import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,23 +14,18 @@ def con(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, sf, con, name):
-    columns, rows = rows_of(registry.queries()[name](spark, sf))
-    expected_columns, expected = oracle_rows(con, registry.oracle_sql()[name])
+    columns, rows = rows_of(QUERIES[name](spark, sf))
+    expected_columns, expected = oracle_rows(con, ORACLES[name])
     assert columns == expected_columns
     assert sum(rows.values()) > 0
     assert rows == expected
 
 
-def test_all_but_the_random_split_have_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == NO_SQL
-
-
-def test_random_split_keeps_every_row(spark, sf):
-    rows = registry.queries()["train_eval_random"](spark, sf)
-    assert rows.select("doc_id").distinct().count() == rows.count() == 1000
-    assert {r["split"] for r in rows.select("split").distinct().collect()} == {"train", "eval"}
+def test_all_are_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLES) <= set(registry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")

@@ -2,15 +2,17 @@
 
 import json
 import os
+import uuid
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from corpusprep import functions as fn
 from corpusprep import operators as op
 from corpusprep import sources as io
-from corpusprep.session import scratch_path
+from corpusprep.session import SCRATCH_SETTING, drop_scratch, scratch_path
 from corpusprep.sources import text_folder
 
 NAMES = ["plain", "sp ace", "per%20cent", "plus+plus", "ünï-🙂", "a/b/last.part", "hash#x", "q?x"]
@@ -84,6 +86,38 @@ def test_null_rows_are_not_written(spark, tmp_path):
     assert os.listdir(tmp_path / "out") == ["b.txt"]
 
 
+def test_dropped_rows_are_counted_by_the_write(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), (None, "t"), ("b", "t")], "id STRING, text STRING")
+    counts = Observation("text-folder")
+    io.write_text_folder(df, "id", "text", str(tmp_path / "out"), observation=counts)
+    assert counts.get == {"in_rows": 3, "dropped_rows": 2}
+
+
+def test_files_spread_over_folders(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = corpus(spark, [f"d{i}" for i in range(60)])
+    manifest = {r["name"]: r["path"] for r in io.write_text_folder(df, "uuid", "content", path, spread=True).collect()}
+    assert len(os.listdir(path)) > 10 and all(os.path.isfile(p) for p in manifest.values())
+    assert {r["name"] for r in io.read_text_folder(spark, path).collect()} == set(manifest)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_the_same_error_for_every_partitioning(spark, tmp_path, partitions):
+    names = [f"_hidden{i}" for i in range(40)] + ["a/x", "b/x"]
+    with pytest.raises(io.NameCollision, match=r"\['x'\]; names that Spark cannot read back, such as \['_hidden0', '_hidden1', '_hidden10'"):
+        io.write_text_folder(corpus(spark, names).repartition(partitions), "uuid", "content", str(tmp_path / "out"))
+
+
+def test_a_failed_replacement_brings_the_old_folder_back(tmp_path, monkeypatch):
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "old.txt").write_text("old")
+    writer = text_folder._TextFolderWriter(f"file:{tmp_path}/out", overwrite=True)
+    writer._remove(writer.stage)  # the folder that commit would move into place
+    with pytest.raises(OSError):
+        writer.commit([])
+    assert (tmp_path / "out" / "old.txt").read_text() == "old"
+
+
 def test_failed_write_leaves_nothing(spark, tmp_path):
     path = str(tmp_path / "out")
     broken = corpus(spark, [f"d{i}" for i in range(40)]).repartition(4)
@@ -102,7 +136,9 @@ def test_task_that_runs_twice_writes_once(tmp_path):
     writer.write(iter([lost]))  # an attempt whose executor is lost
     done = writer.write(iter([batch]))
     assert not (tmp_path / "out").exists()
-    writer.commit([done])
+    with pytest.raises(RuntimeError, match="elsewhere"):
+        writer.commit([text_folder._Done("other")])
+    writer.commit([done, None])
     assert {f: (tmp_path / "out" / f).read_text() for f in os.listdir(tmp_path / "out")} == {"a.txt": "1", "b.txt": "2"}
     assert os.listdir(tmp_path) == ["out"]
 
@@ -146,9 +182,7 @@ def test_single_file_of_no_rows(spark, tmp_path):
     assert (tmp_path / "none.jsonl").read_text() == ""
 
 
-def test_single_file_is_bounded(spark, tmp_path):
-    with pytest.raises(ValueError, match="write shards"):
-        io.write_jsonl(messages(spark), str(tmp_path / "x"), single_file=True, max_bytes=100)
+def test_a_single_file_holds_one_split(spark, tmp_path):
     with pytest.raises(ValueError):
         io.write_jsonl(messages(spark), str(tmp_path / "x"), split_col="id", single_file=True)
     assert os.listdir(tmp_path) == []
@@ -173,12 +207,24 @@ def test_scratch_is_in_the_shared_folder(spark):
 
 
 def test_scratch_needs_the_shared_folder_on_a_cluster():
-    def session(master):
-        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+    def session(master, **conf):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=uuid.uuid4().hex, _jsc=None))
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session("spark://host:7077"), "x")
     assert scratch_path(session("local[2]"), "x")
+    assert scratch_path(session("spark://host:7077", **{SCRATCH_SETTING: "hdfs://s"}), "x").startswith("hdfs://s/x-")
+
+
+def test_scratch_is_cleared(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    other = scratch_path(spark, "dropped")
+    spark.range(3).write.parquet(other)
+    drop_scratch(spark, other)
+    assert os.path.isdir(path) and not os.path.isdir(other)
+    drop_scratch(spark, path, other)
+    assert not os.path.isdir(path)
 
 
 def test_catalog_table(spark):

@@ -67,15 +67,11 @@ def test_chat_message_parses_to_the_same_record(spark, ascii_only):
         }
 
 
-def test_golden_docstring_record(spark):
-    source = (
-        "def _update_all_supported_status(\n    all_supported_status: Dict[Tuple[str, str], Dict[str, SupportedStatus]],\n"
-        "    pd_modules: List[str],\n    pd_module_group: Any,\n    ps_module_group: Any,\n) -> None:\n    "
-        '"""\n    Update the supported status.\n    """'
-    )
+def test_docstring_record(spark):
+    source = 'def merge_rows(\n    left: Dict[str, int],\n    keys: List[str],\n) -> None:\n    """\n    Merge them.\n    """'
     df = one_column(spark, [source])
     prompt = fn.instruction_prompt(fn.function_signature("c"), fn.DOCSTRING_PROMPT)
-    record = json.loads(values(df, fn.chat_message(prompt, F.lit("Update the supported status.")))[0])
+    record = json.loads(values(df, fn.chat_message(prompt, F.lit("Merge them.")))[0])
     assert [m["role"] for m in record["messages"]] == ["system", "user", "assistant"]
     assert record["messages"][1]["content"] == (
         "The following is a pyspark function definition. Write a numpy style docstring for the provided function "
@@ -111,6 +107,10 @@ PAGES = {
     "</article><title>t</title><article>a < b <i>c</i></article><article>d</article>": ("t", "a < b c"),
     "<title>t</title><article>a</article><script>to the end <article>": ("t", "a"),
     "<!-- <title>no</title> <article>x</article>": ("", ""),
+    "<title>a &amp;amp; &#39;b&#x27; &mdash;&eacute;&#8217;&apos;&hellip;</title><article>&bogus; &#xD800; &#0; &; & &#128512;&lt</article>": (
+        "a &amp; 'b' \u2014\u00e9\u2019'\u2026",
+        "&bogus; &#xD800; &#0; &; & \U0001f600&lt",
+    ),
     "": ("", ""),
 }
 
@@ -176,7 +176,7 @@ def test_latest_per_key_with_ties_and_hot_key(spark):
 
 def test_map_text_keeps_null(spark):
     df = one_column(spark, ["ab", None, ""])
-    assert values(op.map_text(df, "c", lambda t: t[::-1], "out"), "out") == ["ba", None, ""]
+    assert values(op.map_text(df, "c", lambda texts: texts.str[::-1], "out"), "out") == ["ba", None, ""]
 
 
 def test_flatten_nested(spark):
@@ -198,3 +198,48 @@ def test_compare_responses(spark):
     assert [tuple(r) for r in got] == [(1, "x", "z", "ref")]
     with pytest.raises(Exception, match="second answer"):
         op.compare_responses(a, b.union(b), "key").collect()
+
+
+TURNS = [
+    ("a", 0, "system", "be brief"), ("a", 1, "user", "q1"), ("a", 2, "assistant", "r1"), ("a", 3, "user", "q2"), ("a", 4, "user", "q3"),
+    ("a", 5, "assistant", "r3"), ("b", 0, "user", "q"), ("b", 1, "assistant", " "), ("c", 0, "assistant", "x"), ("d", 0, "user", None),
+]
+
+
+def test_exchanges_and_their_faults(spark):
+    df = spark.createDataFrame(TURNS, "conv_id STRING, turn INT, role STRING, text STRING").repartition(3)
+    rows = op.exchange_messages(df).select("conv_id", "turn", "messages.content", fn.chat_fault("messages").alias("fault")).collect()
+    got = {(r["conv_id"], r["turn"]): (r["content"], r["fault"]) for r in rows}
+    assert got == {
+        ("a", 1): (["be brief", "q1", "r1"], None),
+        ("a", 4): (["be brief", "q3", "r3"], None),
+        ("b", 0): ([fn.DEFAULT_SYSTEM, "q", " "], "empty content"),
+    }
+
+
+def test_chat_faults(spark):
+    schema = "i INT, m ARRAY<STRUCT<role: STRING, content: STRING>>"
+    rows = [[("user", "a"), ("assistant", "b")], [("robot", "a")], [(None, "a")], [("system", "s"), ("assistant", "b")], [("user", "a")], [("user", None), ("assistant", "b")], [], None]
+    df = spark.createDataFrame(list(enumerate(rows)), schema)
+    assert values(df, fn.chat_fault("m")) == [
+        None, "unknown role", "unknown role", "no user turn", "last turn is not the assistant's", "empty content", "no turn", "no turn",
+    ]
+
+
+def test_one_row_per_key_needs_an_order(spark):
+    df = spark.createDataFrame([("x", 1, "p"), ("x", 1, "q"), ("y", 1, "p"), ("y", 2, "p")], "k STRING, o INT, v STRING")
+    with pytest.raises(Exception, match="do not tell the rows of a key apart"):
+        op.latest_per_key(df, "k", ["o"]).collect()
+    assert [r["o"] for r in op.latest_per_key(df.filter("k = 'y'"), "k", ["o"]).collect()] == [2]
+
+
+def test_null_keys_and_names_with_blanks(spark):
+    df = spark.createDataFrame([(None, 1, "p"), (None, 2, "q"), ("z", None, "r")], "`run name` STRING, `order.id` INT, v STRING")
+    assert sorted(r["v"] for r in op.latest_per_key(df, "run name", ["order.id"]).collect()) == ["q", "r"]
+    assert sorted(r["v"] for r in op.dedup_exact(df, ["run name"], "order.id").collect()) == ["p", "r"]
+
+
+def test_token_counts_equal_the_arrays(spark):
+    df = one_column(spark, ["a b", "  a\t\nb ", "", " ", "one", None, "\u00a0 x\x0by"])
+    counted = [r[0] for r in df.orderBy("i").select(fn.count_tokens("c")).collect()]
+    assert counted == [r[0] for r in df.orderBy("i").select(F.size(fn.whitespace_tokens("c"))).collect()]
