@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,5 +41,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back_memory() -> None:
+    """Returns what a Python worker has freed to the system. Workers are used again by
+    later stages, and an executor's memory is shared between them and its JVM."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

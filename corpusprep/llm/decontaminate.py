@@ -9,10 +9,11 @@ document, and no word is left out.
 
 A randomised SVD of the benchmark's passages, two passes of Spark tasks with small
 matrices on the driver, gives term factors: a passage's latent vector is the sum of
-its terms' factors. The cosine of a document's passage with every item follows in the
-latent space, over the passage's full length; at ``CANDIDATE`` and above it is checked
-word by word. A passage whose words of the benchmark's vocabulary weigh too little to
-reach that cosine with any item is passed over before (Cauchy-Schwarz, so none is lost).
+its terms' factors, worked out once for each 16 words. A document's words count there
+once for each 16 words, and its length as if all were different, so the cosine with
+an item that follows in the latent space is about the true one or more; at
+``CANDIDATE`` and above it is checked word by word. A passage whose words of the
+benchmark's vocabulary weigh too little to reach that with any item is passed over.
 
 The check: the longest common subsequence of words between the item and the passage
 with its surroundings, as a share of the item, is at least ``VERBATIM``; or it is at
@@ -42,11 +43,13 @@ from corpusprep.llm.common import shuffle_tasks
 from corpusprep.llm.hashing import BYTE_CODES, Names, words_in
 from corpusprep.llm.repeats import TEXT, text_slices
 
+#: Words of a passage, and from one passage to the next; both in steps of ``STEP``.
 SCALES = ((32, 16), (64, 32))
+STEP = 16
 BINS = 1 << 17
 #: Added to every idf, so that a word in all documents still counts.
 LEAST_IDF = 0.2
-CANDIDATE = 0.3
+CANDIDATE = 0.4
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 LEAST = 5
 BLOCK = 512
@@ -240,36 +243,37 @@ class Search:
         hit = self.terms[term] == words
         mass = np.concatenate([[0], np.cumsum(weight**2)])
         hits = np.concatenate([[0], np.cumsum(np.where(hit, weight**2, 0))])
+        # Latent vectors of blocks; passages are sums of blocks next to each other.
+        first = np.concatenate([[0], np.cumsum(-(-np.diff(edges) // STEP))])
+        text = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        block = first[text] + (np.arange(len(words)) - edges[text]) // STEP
+        at = np.flatnonzero(hit)
+        at = at[np.unique(block[at] * len(self.terms) + term[at], return_index=True)[1]]  # once in a block
+        at = at[np.argsort(block[at], kind="stable")]
+        running = np.zeros((len(at) + 1, self.factors.shape[1]))
+        np.multiply(self.factors[term[at]], weight[at][:, None], out=running[1:])
+        np.cumsum(running, axis=0, out=running)
+        upto = np.searchsorted(block[at], np.arange(first[-1] + 1))
         for (size, stride), (own, latent) in zip(SCALES, self.by_scale, strict=True):
             if not len(own):
                 continue
             count = np.maximum(-(-(np.diff(edges) - stride) // stride), 1) * (np.diff(edges) > 0)
             text = np.repeat(np.arange(len(count)), count)
-            lo = edges[:-1][text] + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * stride
+            place = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * stride
+            lo = edges[:-1][text] + place
             hi = np.minimum(lo + size, edges[1:][text])
             total = mass[hi] - mass[lo]
             usable = np.flatnonzero((hits[hi] - hits[lo] >= CANDIDATE**2 * total) & (total > 0))
-            for at in range(0, len(usable), WINDOWS_AT_ONCE):
-                some = usable[at : at + WINDOWS_AT_ONCE]
-                cos = self._latent(lo[some], hi[some], words, hit, term, weight) @ latent.T / np.sqrt(total[some])[:, None]
+            for start in range(0, len(usable), WINDOWS_AT_ONCE):
+                some = usable[start : start + WINDOWS_AT_ONCE]
+                begin = first[text[some]] + place[some] // STEP
+                end = np.minimum(begin + size // STEP, first[text[some] + 1])
+                latents = (running[upto[end]] - running[upto[begin]]).astype(np.float32)
+                cos = latents @ latent.T / np.sqrt(total[some])[:, None]
                 for k, i in zip(*np.nonzero(cos >= CANDIDATE), strict=True):
-                    self._check(int(text[some[k]]), int(own[i]), float(cos[k, i]), words, edges, int(lo[some[k]]), int(hi[some[k]]), found)
+                    self._check(int(text[some[k]]), int(own[i]), float(min(cos[k, i], 1.0)), words, edges, int(lo[some[k]]), int(hi[some[k]]), found)
         return found
 
-    def _latent(self, lo, hi, words, hit, term, weight) -> np.ndarray:
-        size = hi - lo
-        row = np.repeat(np.arange(len(lo)), size)
-        at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        chosen = hit[at]
-        row, at = row[chosen], at[chosen]
-        pair, where, count = np.unique(row * len(self.terms) + term[at], return_index=True, return_counts=True)
-        row, at = row[where], at[where]
-        parts = self.factors[term[at]] * (np.sqrt(count) * weight[at]).astype(np.float32)[:, None]
-        out = np.zeros((len(lo), self.factors.shape[1]), np.float32)
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        out[row[first]] = np.add.reduceat(parts, first) if len(first) else 0
-        return out
-
     def _check(self, text, i, cos, words, edges, lo, hi, found) -> None:
         item = self.items[i]
         known = found.get((text, i))
@@ -277,6 +281,8 @@ class Search:
             return
         n = len(item.words)
         around = words[max(edges[text], lo - n) : min(edges[text + 1], hi + n)]
+        if np.isin(item.words, around).sum() < PARAPHRASE * n:  # no subsequence is longer
+            return
         common = common_subsequence(item.words, around) / n
         answer = float(np.isin(item.answer, around).mean()) if len(item.answer) else 0.0
         if common >= VERBATIM or (common >= PARAPHRASE and answer >= ANSWER):

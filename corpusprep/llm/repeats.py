@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import shuffle_tasks, stored
+from corpusprep.llm.common import give_back_memory, shuffle_tasks, stored
 from corpusprep.llm.hashing import mix
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 #: A longer text is looked at in parts of so many units, with a window's overlap.
 LONG = 1 << 19
 GROUPS_AT_ONCE = 1 << 18
@@ -151,6 +151,7 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndar
         texts = part.column(TEXT)
         data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
         yield part, data, bounds
+    give_back_memory()
 
 
 def in_pieces(codes: np.ndarray, bounds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
