@@ -20,7 +20,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import stored
+from corpusprep.llm.common import give_back_memory, stored
 
 LENGTH = 2048
 EOS = 0
@@ -43,22 +42,24 @@ SLICE_BYTES = 4 << 20
 _STEADY = re.compile("[\t\n\r -~\u00a1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer: str, ranks: str | None):
     """A function from texts to lists of ids, by the tokenizer file.
 
     ``ranks`` may name the same vocabulary as a list of ranks. It gives the same ids
     several times faster for texts of steady characters; all others go to the
-    tokenizer file itself, whose tables decide what is a letter.
+    tokenizer file itself, whose tables decide what is a letter. A task loads what it
+    needs and drops it when it ends: workers live on for other stages.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    exact = Tokenizer.from_file(tokenizer)
-    exact.encode_special_tokens = True  # in a text they are ordinary text
+    loaded = []
 
     def by_file(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in exact.encode_batch_fast(texts, add_special_tokens=False)]
+        if not loaded:
+            from tokenizers import Tokenizer
+
+            loaded.append(Tokenizer.from_file(tokenizer))
+            loaded[0].encode_special_tokens = True  # in a text they are ordinary text
+        return [e.ids for e in loaded[0].encode_batch_fast(texts, add_special_tokens=False)]
 
     if ranks is None:
         return by_file
@@ -71,7 +72,8 @@ def encoder(tokenizer: str, ranks: str | None):
 
     def encode(texts: list[str]) -> list[list[int]]:
         steady = [_STEADY.fullmatch(t) is not None for t in texts]
-        others = iter(by_file([t for t, ok in zip(texts, steady, strict=True) if not ok]))
+        rest = [t for t, ok in zip(texts, steady, strict=True) if not ok]
+        others = iter(by_file(rest) if rest else ())
         return [fast.encode_ordinary(t) if ok else next(others) for t, ok in zip(texts, steady, strict=True)]
 
     return encode
@@ -119,6 +121,7 @@ def pieces(df: DataFrame, tokenizer: str, ranks: str | None = None, length: int
                     [part.column("doc_id").take(pa.array(np.repeat(np.arange(len(made)), counts))), pa.array(places.astype(np.int32)), *map(pa.array, columns)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+            give_back_memory()
 
     return rows.mapInArrow(run, f"doc_id {kind}, {PIECE_SCHEMA}").withColumnRenamed("doc_id", key)
 
