@@ -40,7 +40,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SCRATCH_SETTING} or spark.checkpoint.dir to a folder that every executor can reach")
-        root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
+        root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").removeprefix("file:").rstrip("/") + "/_scratch"
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     application = spark.sparkContext.applicationId
     if application not in _used:
