@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import give_back_memory, stored
+from corpusprep.llm.common import give_back_memory, shuffle_tasks, stored
 
 LENGTH = 2048
 EOS = 0
-#: Pieces of the same length are numbered in ranges of about so many.
+#: Pieces of the same length are numbered in ranges of at most about so many, and of
+#: about a quarter of a task's share of all pieces.
 PIECES_PER_RANGE = 200_000
 #: Texts are taken in slices of about so many bytes.
 SLICE_BYTES = 4 << 20
@@ -204,7 +205,8 @@ def pack(pieces: DataFrame, length: int = LENGTH, key: str = "doc_id") -> DataFr
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # a row per length
     runs, _ = best_fit_decreasing(counts, length)
     table = spark.createDataFrame(runs or [(0,) * 6], "length long, _first long, _pieces long, _sequence long, _each long, _used long")
-    ranges = max(1, -(-max(counts.values(), default=1) // PIECES_PER_RANGE))
+    longest, every = max(counts.values(), default=1), max(1, sum(counts.values()))
+    ranges = max(1, -(-longest // PIECES_PER_RANGE), 4 * shuffle_tasks(spark) * longest // every)
     columns = [key, "piece", "start", "length", "ids_crc32"]
     rows = pieces.withColumn("_r", F.pmod(F.xxhash64(*columns), F.lit(ranges)).cast("int"))
     # A third of all rows may be equal: equal pieces are one row that counts them.

@@ -169,11 +169,24 @@ def word_features(words: list[str]) -> np.ndarray:
 
 
 class Reader:
-    """Finds the features of texts; keeps the readings of words it has met."""
+    """Finds the features of texts, or of them those in ``wanted`` (sorted); keeps the
+    readings of words it has met."""
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: np.ndarray, wanted: np.ndarray | None = None):
         self.model = model
         self.known: dict[bytes, np.ndarray] = {}
+        self.wanted = wanted
+        if wanted is not None:
+            self.maybe = np.zeros(1 << 20, bool)
+            self.maybe[wanted & np.uint64((1 << 20) - 1)] = True
+
+    def _chosen(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes are wanted: a look at a bit for all, a search for the few."""
+        if self.wanted is None:
+            return np.arange(len(hashes))
+        few = np.flatnonzero(self.maybe[hashes & np.uint64((1 << 20) - 1)])
+        at = np.minimum(np.searchsorted(self.wanted, hashes[few]), len(self.wanted) - 1)
+        return few[self.wanted[at] == hashes[few]]
 
     def _restored(self, written: bytes, spaced: bool = False) -> np.ndarray:
         kept = self.known.get(written)
@@ -216,8 +229,9 @@ class Reader:
         names = Names(BYTE_CODES[data])
         texts, hashes = [], []
         for has, h in _plain_features(names, a[plain], b[plain]):
-            texts.append(text[plain][has])
-            hashes.append(h)
+            chosen = self._chosen(h)
+            texts.append(text[plain[has[chosen]]])
+            hashes.append(h[chosen])
         raw = data.tobytes()
         for i in np.flatnonzero(noisy & letters):
             h = self._restored(raw[starts[i] : ends[i]])
@@ -228,6 +242,8 @@ class Reader:
             texts.append(np.full(len(h), t))
             hashes.append(h)
         texts, hashes = np.concatenate(texts), np.concatenate(hashes)
+        chosen = self._chosen(hashes)
+        texts, hashes = texts[chosen], hashes[chosen]
         order = np.lexsort((hashes, texts))
         texts, hashes = texts[order], hashes[order]
         new = np.concatenate([[True], (np.diff(texts) != 0) | (hashes[1:] != hashes[:-1])])[: len(texts)]
@@ -250,11 +266,7 @@ class Reader:
 # --- training -------------------------------------------------------------------
 
 
-def _sum_counts(texts: np.ndarray, hashes: np.ndarray, toxic: np.ndarray, only: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if only is not None:
-        at = np.minimum(np.searchsorted(only, hashes), len(only) - 1)
-        chosen = only[at] == hashes
-        texts, hashes = texts[chosen], hashes[chosen]
+def _sum_counts(texts: np.ndarray, hashes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found, where = np.unique(hashes, return_inverse=True)
     yes = np.bincount(where, weights=toxic[texts], minlength=len(found)).astype(np.int64)
     return found, yes, np.bincount(where, minlength=len(found)) - yes
@@ -262,11 +274,11 @@ def _sum_counts(texts: np.ndarray, hashes: np.ndarray, toxic: np.ndarray, only:
 
 def _counts(model: np.ndarray, only: np.ndarray | None):
     def run(batches):
-        reader = Reader(model)
+        reader = Reader(model, only)
         for batch in batches:
             for part, data, bounds in text_slices(batch):
                 texts, hashes = reader.features(data, bounds)
-                found, yes, no = _sum_counts(texts, hashes, np.asarray(part.column("toxic")), only)
+                found, yes, no = _sum_counts(texts, hashes, np.asarray(part.column("toxic")))
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(yes), pa.array(no)], names=["feature", "yes", "no"])
 
     return run
@@ -286,16 +298,14 @@ def _sums(model: np.ndarray, lexicon: dict):
     """(sum without the text's own share, label) of every labelled text."""
 
     def run(batches):
-        reader = Reader(model)
+        reader = Reader(model, lexicon["feature"])
         feature, yes, no = lexicon["feature"], lexicon["yes"], lexicon["no"]
         n_yes, n_no = lexicon["n_yes"], lexicon["n_no"]
         for batch in batches:
             for part, data, bounds in text_slices(batch):
                 toxic = np.asarray(part.column("toxic")).astype(np.int64)
                 texts, hashes = reader.features(data, bounds)
-                at = np.minimum(np.searchsorted(feature, hashes), len(feature) - 1)
-                hit = feature[at] == hashes
-                t, at = texts[hit], at[hit]
+                t, at = texts, np.searchsorted(feature, hashes)
                 w = _weigh(yes[at] - toxic[t], no[at] - (1 - toxic[t]), n_yes - toxic[t], n_no - (1 - toxic[t]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.bincount(t, weights=w, minlength=len(toxic))), pa.array(toxic)], names=["sum", "toxic"])
 
@@ -360,7 +370,7 @@ def score(df: DataFrame, model: dict, text: str = "text", keep: list[str] | None
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias(TEXT))
 
     def run(batches):
-        reader = Reader(model["characters"])
+        reader = Reader(model["characters"], model["feature"] if len(model["feature"]) else None)
         feature, weight, (a, b) = model["feature"], model["weight"], model["curve"]
         for batch in batches:
             for part, data, bounds in text_slices(batch):
@@ -368,10 +378,8 @@ def score(df: DataFrame, model: dict, text: str = "text", keep: list[str] | None
                 total, found = np.zeros(n), np.zeros(n, np.int64)
                 if len(feature):
                     texts, hashes = reader.features(data, bounds)
-                    at = np.minimum(np.searchsorted(feature, hashes), len(feature) - 1)
-                    hit = feature[at] == hashes
-                    total = np.bincount(texts[hit], weights=weight[at[hit]], minlength=n)
-                    found = np.bincount(texts[hit], minlength=n)
+                    total = np.bincount(texts, weights=weight[np.searchsorted(feature, hashes)], minlength=n)
+                    found = np.bincount(texts, minlength=n)
                 p = 1 / (1 + np.exp(-np.clip(a * np.log1p(total) + b, -30, 30)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found.astype(np.int64)), pa.array(p)], names=[*keep, "n_features", "score"])
 
