@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusprep.llm import decontaminate, jaccard, packing, quality, suffix_dedup
 from corpusprep.llm.queries import TOKENIZER
-from corpusprep.session import scratch_path
+from corpusprep.session import drop_scratch, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,10 +56,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Applies the stages to ``documents``; each is written and read again, and dropped
+    when the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            drop_scratch(spark, before)
+        before = path
     return docs

@@ -94,7 +94,6 @@ def filter_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: s
     rules = canonical_rules(rules)
     stats = rules.agg(F.count("*"), F.sum(F.length("rule")), F.collect_set(F.struct("labels", "path_chars"))).first()
     n_rules, chars, shapes = stats[0], stats[1] or 0, stats[2]
-    host, path = host_and_path(F.col(url))
     # Equal rows are judged once.
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("_url")).groupBy("page_id", "_url").agg(F.count("*").alias("_n"))
     host, path = host_and_path(F.col("_url"))
