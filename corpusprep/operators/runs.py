@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.ordering import names, with_position
+from corpusprep.operators.ordering import with_position
 
 ROWS_PER_BLOCK = 100_000
 
