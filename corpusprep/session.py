@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,7 +45,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     application = spark.sparkContext.applicationId
     if application not in _used:
-        atexit.register(_clear_at_exit, spark)
+        atexit.register(_clear_at_exit, spark, application)
     _used.setdefault(application, []).append(path)
     return path
 
@@ -62,6 +63,11 @@ def clear_scratch(spark: SparkSession) -> None:
     drop_scratch(spark, *_used.pop(spark.sparkContext.applicationId, []))
 
 
-def _clear_at_exit(spark: SparkSession) -> None:
-    if spark.sparkContext._jsc is not None:  # not stopped yet
-        clear_scratch(spark)
+def _clear_at_exit(spark: SparkSession, application: str) -> None:
+    paths = _used.pop(application, [])
+    if spark.sparkContext._jsc is not None:
+        drop_scratch(spark, *paths)
+    else:  # stopped: only this machine's folders can still be reached
+        for path in paths:
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
