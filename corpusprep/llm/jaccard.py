@@ -8,7 +8,8 @@ Light: of a small set all subsets of fixed sizes are enumerated, those that a pa
 may have in common with it (the set less at most a tenth of its elements). Two sets
 with an equal subset are linked if it is large enough against their sizes, with no
 further look at them; in the list of a subset, whoever links with anyone links with
-the smallest set.
+the smallest set. That set may be in another task, so a task sends its smallest one and
+all that do not link with that.
 
 Heavy: larger sets are scanned by inverted lists. A list per single shingle would be
 as long as a passage is common, so lists stand for blocks: a set's hashes are cut into
@@ -27,9 +28,9 @@ counted. Larger groups are cut into parts, and rounds send ``PIVOTS`` sets of a
 to all its parts, until the same holds.
 
 What moves: a key and a number per list entry, the sets that share a list with
-another, and edges. Tasks send one entry per list (whoever shares it inside the task
-is an edge), so a list that a third of all sets is on stays as short as there are
-tasks. Names are 64-bit hashes.
+another, and edges. Of a list, tasks send one entry and those that it does not link with
+(whoever else shares it inside the task is an edge), so a block list that a third of all
+sets is on stays as short as there are tasks. Names are 64-bit hashes.
 
 Defined results: null or wordless text has an empty set and links with nothing; equal
 texts and equal sets link; a null key counts as no key: the component's is the
@@ -202,8 +203,12 @@ EDGE = [("a", "<i8"), ("b", "<i8"), ("kind", "<u1")]
 
 
 def _links(name: np.ndarray, node: np.ndarray, n: np.ndarray, out: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The first entry of every list, and edges from it to the others. ``out`` is how
-    many elements a subset lacks, 255 on block lists."""
+    """The entries of every list that stay open, its first and those not linked with it,
+    and edges from the first to the others. ``out`` is how many elements a subset lacks,
+    255 on block lists.
+
+    Whoever is left out links with the first. If it links with anyone elsewhere, so does
+    the first with the first of all, as neither lacks more."""
     order = np.lexsort((node, out, name))
     name, node, n, out = name[order], node[order], n[order], out[order]
     first = np.concatenate([[True], name[1:] != name[:-1]])[: len(name)]
@@ -211,10 +216,11 @@ def _links(name: np.ndarray, node: np.ndarray, n: np.ndarray, out: np.ndarray, t
     common = n - out
     union = common + out + out[head]
     linked = 100 * common >= threshold * union
-    edge = ~first & (node != node[head]) & ((out == 255) | linked)
+    other = ~first & (node != node[head])
+    edge = other & ((out == 255) | linked)
     kind = np.where(out[edge] == 255, SAME_LIST, LINK)
     pairs = np.unique(np.stack([node[head[edge]], node[edge], kind.astype(np.int64)], 1), axis=0) if edge.any() else np.zeros((0, 3), np.int64)
-    return order[first], pairs[:, 0], pairs[:, 1], pairs[:, 2]
+    return order[first | (other & ~edge)], pairs[:, 0], pairs[:, 1], pairs[:, 2]
 
 
 def _packed(kind: list, rows: dict, part: np.ndarray, is_edge: bool) -> Iterator[pa.RecordBatch]:
@@ -229,11 +235,11 @@ def _packed(kind: list, rows: dict, part: np.ndarray, is_edge: bool) -> Iterator
 def _entries(shingle: int, threshold: int, boundary: int, classes: np.ndarray, tasks: int):
     def send(kept: list[dict]) -> Iterator[pa.RecordBatch]:
         rows = {c: np.concatenate([k[c] for k in kept]) for c, _ in ENTRY}
-        heads, a, b, kind = _links(rows["name"], rows["node"], rows["n"].astype(np.int64), rows["out"].astype(np.int64), threshold)
+        still_open, a, b, kind = _links(rows["name"], rows["node"], rows["n"].astype(np.int64), rows["out"].astype(np.int64), threshold)
         if len(a):
             yield from _packed(EDGE, {"a": a, "b": b, "kind": kind}, (a.view(np.uint64) % np.uint64(tasks)).astype(np.int64), True)
-        heads = np.sort(heads)  # in the order of the texts
-        kept_rows = {c: v[heads] for c, v in rows.items()}
+        still_open = np.sort(still_open)  # in the order of the texts
+        kept_rows = {c: v[still_open] for c, v in rows.items()}
         yield from _packed(ENTRY, kept_rows, (kept_rows["name"] % np.uint64(tasks)).astype(np.int64), False)
 
     def run(batches):

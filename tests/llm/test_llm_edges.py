@@ -149,6 +149,53 @@ def test_classes_against_brute_force(spark, seed, group_bytes):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.jaccard_classes(docs)
 
 
+def _around_cores(n, groups=4):
+    """Texts with one shingle more than a core, which link with the core only."""
+    docs = []
+    for g in range(groups):
+        core = " ".join(f"w{g}x{i}" for i in range(n + 2))
+        docs += [(10 * g + 1, core + " left"), (10 * g + 2, core + " right"), (10 * g + 3, "front " + core), (10 * g + 4, core)]
+    return docs
+
+
+@pytest.mark.parametrize("boundary", jaccard.BOUNDARIES)
+@pytest.mark.parametrize("n", [9, 10, 18, 19, 20])
+def test_lists_over_tasks_against_brute_force(n, boundary):
+    """The lists of subsets, without Spark, with the texts dealt to tasks in many ways."""
+    import pyarrow as pa
+
+    if n + 1 > boundary * 100 // 90:
+        return
+    docs, classes = _around_cores(n), jaccard.size_classes(boundary, 100, 90)
+    want = brute.jaccard_classes(docs)
+    for seed in range(8):
+        r = random.Random(seed)
+        tasks = [[d for d in docs if d[0] % 10 < 4], [d for d in docs if d[0] % 10 == 4]] if seed == 0 else [[], [], []]
+        for d in docs if seed else ():
+            r.choice(tasks).append(d)
+        sent, name = [], {}
+        for task in filter(None, tasks):
+            batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for _, t in task], pa.binary())], names=[repeats.TEXT])
+            for b in jaccard._members(3)(iter([batch.append_column("key", pa.array([k for k, _ in task]))])):
+                name.update(zip(b["key"].to_pylist(), b["node"].to_pylist(), strict=True))
+            sent += list(jaccard._entries(3, 90, boundary, classes, 1)(iter([batch])))
+        edges = jaccard._list_edges(90)(pa.Table.from_batches(sent)).to_pylist()
+        root = {v: k for k, v in name.items()}
+        for _ in docs:
+            for e in edges:
+                if e["kind"] == jaccard.LINK:
+                    root[e["a"]] = root[e["b"]] = min(root[e["a"]], root[e["b"]])
+        assert {k: root[v] for k, v in name.items()} == {k: c for k, (_, c) in want.items()}, (n, boundary, seed)
+
+
+def test_sets_that_only_a_third_set_links(spark):
+    """The third set is in another task."""
+    docs = _around_cores(10)
+    apart = [table(spark, [d for d in docs if (d[0] % 10 == 4) == core]).coalesce(1) for core in (False, True)]
+    found = jaccard.jaccard_classes(apart[0].unionAll(apart[1])).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.jaccard_classes(docs)
+
+
 def test_lists_miss_no_pair():
     """Sets with a tenth of their elements changed share a list, whatever their size."""
     r = np.random.default_rng(5)
