@@ -1,8 +1,8 @@
 """Toxicity of texts after their disguise is undone.
 
 Noisy channel: a word meant is written with other signs for letters (leetspeak), with
-letters repeated, with signs or blanks between its letters. For a written word, a
-lattice holds the readings of each sign; the Viterbi path under a character trigram
+letters repeated, with signs or blanks between its letters. For a written word (or run of
+lone letters, of any length), a lattice holds the readings of each sign; the Viterbi path under a character trigram
 model of the corpus and the channel's costs is the word restored. Plain words, letters
 only and none three times in a row, are their own reading and skip the lattice.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,10 @@ LEET = {
 }
 #: A sign that may hide any letter.
 ANY = "*#%&_"
+#: Longer than any word: a written word above that is several, joined by signs.
+LONG = 200
+#: Characters after which the part of the path that all states share is put aside.
+SETTLE = 64
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Natural logarithms of how likely the channel does so.
 AS_LEET, AS_ANY, AS_NOISE, REPEATED, GAP = -1.0, -4.0, -1.5, -0.7, -2.5
@@ -104,9 +109,16 @@ def _class(c: str) -> int:
 
 def restore(written: str, model: np.ndarray, spaced: bool = False) -> str:
     """The likeliest word (words, if ``spaced``) behind what is written."""
-    # State: the classes of the last two letters; value: cost and what was read.
+    # State: the classes of the last two letters; value: cost and what was read, less
+    # what all states have read alike, which is kept in ``settled``.
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for c in written:
+    settled: list[str] = []
+    for place, c in enumerate(_short_masks(written, model)):
+        if place % SETTLE == SETTLE - 1:
+            shared = len(commonprefix([read for _, read in states.values()])) - 1  # the last letter stays in sight
+            if shared > 0:
+                settled.append(next(iter(states.values()))[1][:shared])
+                states = {k: (cost, read[shared:]) for k, (cost, read) in states.items()}
         readings: list[tuple[str, float]] = []
         if c.isalpha():
             readings.append((c, 0.0))
@@ -134,7 +146,17 @@ def restore(written: str, model: np.ndarray, spaced: bool = False) -> str:
                     reach((0, k), cost + channel + GAP + float(model[a, b, 0]) + float(model[b, 0, k]), read + " " + r)
         states = after
     ends = [(cost + float(model[a, b, 0]), read) for (a, b), (cost, read) in states.items()]
-    return max(ends)[1] if ends else ""
+    return "".join(settled) + max(ends)[1] if ends else ""
+
+
+def _short_masks(written: str, model: np.ndarray) -> str:
+    """Long runs of ``ANY`` signs cut to what can matter. A sign read as a letter costs
+    ``AS_NOISE - AS_ANY`` more than one passed over, and all letters of a run can gain no
+    more than the transitions of the two letters behind it; further signs are passed over."""
+    if len(written) <= LONG:
+        return written
+    most = int(4 * -float(model.min()) / (AS_NOISE - AS_ANY)) + 2
+    return re.sub(f"([{ANY}]{{{most}}})[{ANY}]+", r"\1", written)
 
 
 # --- features -------------------------------------------------------------------
@@ -198,13 +220,13 @@ class Reader:
             core = word if spaced else _EDGES.sub("", word)
             found: set[str] = set()
             for w in {word, core}:
-                # A word without a letter is a number or a line of signs, not a disguise;
-                # one far longer than any word is data.
-                if any(c.isalpha() for c in w) and len(w) <= 200:
-                    found.update(restore(w, self.model, spaced).split(" "))
+                # A word without a letter is a number or a line of signs, not a disguise.
+                if any(c.isalpha() for c in w):
+                    found.update(restore(w, self.model, spaced or len(w) > LONG).split(" "))
             found.discard("")
             kept = np.unique(word_features(sorted(found))) if found else np.zeros(0, np.uint64)
-            self.known[written] = kept
+            if len(written) <= LONG:
+                self.known[written] = kept
         return kept
 
     def features(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -332,6 +332,35 @@ def test_disguised_texts_are_scored(spark):
     assert all(s < 0.3 for s in scores[6:]), scores
 
 
+def test_long_disguised_stretches_are_read():
+    """Above 200 letters, written letter by letter or joined by signs."""
+    words = ["you", "stupid", "idiot", "garden", "letter", "other"]
+    plain = [(" ".join(words[(i * k) % 6] for i in range(30))).encode() for k in range(1, 40)]
+    seen = np.ones((64, 64, 64))
+    for c in (toxicity.CLASSES[np.frombuffer(b" " + x + b" ", np.uint8)] for x in plain):
+        np.add.at(seen, (c[:-2], c[1:-1], c[2:]), 50)
+    model = np.log(seen / seen.sum(2, keepdims=True)).astype(np.float32)
+    filler = ["garden", "letter", "other"] * 20
+    wanted = np.sort(toxicity.word_features(["idiot"]))
+    for said in ([*filler, "you", "idiot", *filler], ["idiot", *filler], [*filler, "1d10t"]):
+        letters = "".join(said)
+        assert len(letters) > 250
+        for written in (" ".join(letters), ".".join(letters), "_".join(letters), ".".join(said), "-" * 7 + "_" * 900 + ".".join(said)):
+            raw = np.frombuffer(("so " + written + " so").encode(), np.uint8)
+            _, found = toxicity.Reader(model, wanted).features(raw, np.array([0, len(raw)]))
+            assert len(found) == len(wanted), written[:40]
+    # Putting shared parts of the path aside changes nothing.
+    for spaced in (False, True):
+        r = random.Random(5)
+        text = "".join(r.choice("idotsupe10$.*_") for _ in range(300))
+        want, before = toxicity.restore(text, model, spaced), toxicity.SETTLE
+        try:
+            toxicity.SETTLE = 1 << 30
+            assert toxicity.restore(text, model, spaced) == want
+        finally:
+            toxicity.SETTLE = before
+
+
 def test_paraphrase_is_found_and_topic_is_not(spark):
     r = random.Random(4)
     words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in ("ar", "el", "in", "om", "ut") for c in ("ba", "do", "ke", "li", "")]
