@@ -2,7 +2,7 @@
 
 Texts are cut into passages: 32 words from every 16th word on, for benchmark items of
 up to 32 words, and 64 from every 32nd for longer ones (items above 64 words are cut
-themselves). A passage is a TF-IDF vector of its lower-cased words without signs at
+themselves, and each of their words is in a cut). A passage is a TF-IDF vector of its lower-cased words without signs at
 the ends, weight ``sqrt(count * idf)``: the roots keep an item that a good part of all
 documents holds from vanishing beside rare words. Document frequencies count every
 document, and no word is left out.
@@ -141,7 +141,10 @@ def items_of(key, text: str) -> list[Item]:
     answer = np.unique(_one(last.group(0) if last else text))
     size = SCALES[-1][0]
     starts = range(0, max(1, len(words) - size // 2), size)
-    return [Item(key, words[a : a + size], answer) for a in starts]
+    cuts = [words[a : a + size] for a in starts]
+    if starts[-1] + size < len(words):  # an end of up to half a cut: the last words again, for who holds just these
+        cuts += [words[-size:], words[-(size // 2) :]]
+    return [Item(key, cut, answer) for cut in cuts]
 
 
 def _sketch(idf: np.ndarray, width: int):

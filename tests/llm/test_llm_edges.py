@@ -380,6 +380,23 @@ def test_paraphrase_is_found_and_topic_is_not(spark):
     assert {x["doc_id"] for x in kept.collect()} == {k for k, _ in docs} - {100, 101}
 
 
+def test_cuts_of_long_items_hold_every_word():
+    for n in range(decontaminate.LEAST, 400):
+        words = [f"w{i}" for i in range(n)]
+        cuts = decontaminate.items_of(1, " ".join(words))
+        assert set(np.concatenate([c.words for c in cuts])) == set(decontaminate._one(" ".join(words))), n
+        assert all(len(c.words) <= 64 for c in cuts) and all(len(c.words) >= 32 for c in cuts if n > 64)
+
+
+def test_end_of_a_long_item_is_found(spark):
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    item = text("q", 96).split()
+    docs = [(i, text(f"d{i}x", 200)) for i in range(20)] + [(100, text("e", 70) + " " + " ".join(item[64:]) + " " + text("f", 70))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.find_leaks(df, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert [(x["doc_id"], x["item_id"], x["common"]) for x in found] == [(100, 1, 1.0)]
+
+
 def test_factors_keep_the_full_cosine(spark):
     """The randomised SVD against the vectors themselves."""
     r = np.random.default_rng(1)
