@@ -12,8 +12,12 @@ matrices on the driver, gives term factors: a passage's latent vector is the sum
 its terms' factors, worked out once for each 16 words. A document's words count there
 once for each 16 words, and its length as if all were different, so the cosine with
 an item that follows in the latent space is about the true one or more; at
-``CANDIDATE`` and above it is checked word by word. A passage whose words of the
-benchmark's vocabulary weigh too little to reach that with any item is passed over.
+``CANDIDATE`` and above it is checked word by word. In running text the words around
+a short item, or what is left of one, keep the cosine low. So an item is also checked
+where the passage's product with it, which other words do not lower, is at least what
+the lightest words that make up ``PARAPHRASE`` of the item weigh; for that, passages
+(``HOLDING``) are so large that one of them holds the item whole. A passage whose words
+of the benchmark's vocabulary weigh too little for any item is passed over.
 
 The check: the longest common subsequence of words between the item and the passage
 with its surroundings, as a share of the item, is at least ``VERBATIM``; or it is at
@@ -45,6 +49,8 @@ from corpusprep.llm.repeats import TEXT, text_slices
 
 #: Words of a passage, and from one passage to the next; both in steps of ``STEP``.
 SCALES = ((32, 16), (64, 32))
+#: The same, where items of up to so many words lie whole in one passage.
+HOLDING = ((32, 16, 17), (64, 32, 33), (128, 64, 65))
 STEP = 16
 BINS = 1 << 17
 #: Added to every idf, so that a word in all documents still counts.
@@ -117,6 +123,16 @@ def weighted(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # --- the benchmark --------------------------------------------------------------
 
 
+def least_product(words: np.ndarray, idf: np.ndarray) -> float:
+    """The least that a passage with ``PARAPHRASE`` of an item's words has as its product
+    with the item: the words that weigh least, and each word once."""
+    terms, count = np.unique(words, return_counts=True)
+    each = np.sqrt(count) * idf[_bins(terms)].astype(np.float64) ** 2
+    order = np.argsort(each / count)
+    left = int(np.ceil(PARAPHRASE * len(words) - 1e-9)) - np.concatenate([[0], np.cumsum(count[order])[:-1]])
+    return float((each[order] * np.clip(left / count[order], 0, 1)).sum())
+
+
 class Item:
     """A benchmark item, or a cut of a long one."""
 
@@ -225,15 +241,29 @@ class Search:
 
     def __init__(self, items: list[Item], idf: np.ndarray, terms: np.ndarray, factors: np.ndarray):
         self.items, self.idf, self.terms, self.factors = items, idf, terms, factors
-        self.by_scale = []
-        for scale in range(len(SCALES)):
-            own = [i for i, item in enumerate(items) if item.scale == scale]
-            latent = np.zeros((len(own), factors.shape[1]), np.float32)
-            for k, i in enumerate(own):
-                t, w = weighted(items[i].words, idf)
-                at = np.searchsorted(terms, t)
-                latent[k] = w.astype(np.float32) @ factors[at] / max(float(np.sqrt((w * w).sum())), 1e-9)
-            self.by_scale.append((np.array(own), latent))
+        latent = np.zeros((len(items), factors.shape[1]), np.float32)
+        least, spread = np.zeros(len(items)), np.ones(len(items))
+        for i, item in enumerate(items):
+            t, w = weighted(item.words, idf)
+            at = np.searchsorted(terms, t)
+            norm = max(float(np.sqrt((w * w).sum())), 1e-9)
+            latent[i] = w.astype(np.float32) @ factors[at] / norm
+            least[i] = (1 - 1e-4) * least_product(item.words, idf) / norm  # less what rounding may take
+            spread[i] = np.sqrt(np.unique(item.words, return_counts=True)[1].max()) / norm
+        #: (words, stride, items, their latent vectors, least products and what a hit's weight counts at most)
+        self.passes = []
+        n = np.array([len(item.words) for item in items])
+        #: The places of the items' words among the terms, one past the end behind them.
+        self.places = np.full((len(items), n.max(initial=1)), len(terms))
+        for i, item in enumerate(items):
+            self.places[i, : n[i]] = np.searchsorted(terms, item.words)
+        self.present = np.zeros(len(terms) + 1, bool)
+        for scale, (size, stride) in enumerate(SCALES):
+            own = np.flatnonzero([item.scale == scale for item in items])
+            self.passes.append((size, stride, own, latent[own], None, None))
+        for before, (size, stride, most) in zip((0, *(h[2] for h in HOLDING)), HOLDING, strict=False):
+            own = np.flatnonzero((n > before) & (n <= most))
+            self.passes.append((size, stride, own, latent[own], least[own], spread[own]))
 
     def find(self, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """(text, item): cosine, common share and answer share of the best passage."""
@@ -257,7 +287,7 @@ class Search:
         np.multiply(self.factors[term[at]], weight[at][:, None], out=running[1:])
         np.cumsum(running, axis=0, out=running)
         upto = np.searchsorted(block[at], np.arange(first[-1] + 1))
-        for (size, stride), (own, latent) in zip(SCALES, self.by_scale, strict=True):
+        for size, stride, own, latent, least, spread in self.passes:
             if not len(own):
                 continue
             count = np.maximum(-(-(np.diff(edges) - stride) // stride), 1) * (np.diff(edges) > 0)
@@ -266,17 +296,32 @@ class Search:
             lo = edges[:-1][text] + place
             hi = np.minimum(lo + size, edges[1:][text])
             total = mass[hi] - mass[lo]
-            usable = np.flatnonzero((hits[hi] - hits[lo] >= CANDIDATE**2 * total) & (total > 0))
+            enough = CANDIDATE**2 * total if least is None else (least / spread).min()
+            usable = np.flatnonzero((hits[hi] - hits[lo] >= enough) & (total > 0))
             for start in range(0, len(usable), WINDOWS_AT_ONCE):
                 some = usable[start : start + WINDOWS_AT_ONCE]
                 begin = first[text[some]] + place[some] // STEP
                 end = np.minimum(begin + size // STEP, first[text[some] + 1])
                 latents = (running[upto[end]] - running[upto[begin]]).astype(np.float32)
-                cos = latents @ latent.T / np.sqrt(total[some])[:, None]
-                for k, i in zip(*np.nonzero(cos >= CANDIDATE), strict=True):
+                cos = latents @ latent.T
+                likely = cos >= least if least is not None else None
+                if likely is not None:
+                    self._hold_enough(likely, own, term, hit, lo[some], hi[some])
+                cos /= np.sqrt(total[some])[:, None]
+                for k, i in zip(*np.nonzero(cos >= CANDIDATE if likely is None else likely), strict=True):
                     self._check(int(text[some[k]]), int(own[i]), float(min(cos[k, i], 1.0)), words, edges, int(lo[some[k]]), int(hi[some[k]]), found)
         return found
 
+    def _hold_enough(self, likely, own, term, hit, lo, hi) -> None:
+        """Of the likely pairs, those where the passage has ``PARAPHRASE`` of the words."""
+        for k in np.flatnonzero(likely.any(1)):
+            here = term[lo[k] : hi[k]][hit[lo[k] : hi[k]]]
+            mine = np.flatnonzero(likely[k])
+            places = self.places[own[mine]]
+            self.present[here] = True
+            likely[k, mine] = self.present[places].sum(1) >= PARAPHRASE * (places < len(self.terms)).sum(1)
+            self.present[here] = False
+
     def _check(self, text, i, cos, words, edges, lo, hi, found) -> None:
         item = self.items[i]
         known = found.get((text, i))

@@ -397,6 +397,29 @@ def test_end_of_a_long_item_is_found(spark):
     assert [(x["doc_id"], x["item_id"], x["common"]) for x in found] == [(100, 1, 1.0)]
 
 
+@pytest.mark.parametrize("n", [5, 6, 8, 13, 17, 30, 33, 60])
+def test_items_in_running_text_are_found(n):
+    """Common words as items, whole and with 7 in 10 of their words, among rare ones."""
+    r = random.Random(n)
+    idf = np.full(decontaminate.BINS, 2.5, np.float32)
+    common = [f"common{i}" for i in range(400)]
+    idf[decontaminate._bins(decontaminate._one(" ".join(common)))] = 1.2
+    asked = [r.sample(common, n) for _ in range(20)]
+    items = [decontaminate.Item(i, decontaminate._one(" ".join(w)), decontaminate._one(w[-1])) for i, w in enumerate(asked)]
+    terms = np.unique(np.concatenate([i.words for i in items]))
+    factors = np.eye(len(terms), dtype=np.float32)
+    search = decontaminate.Search(items, idf, terms, factors)
+    rare = lambda k: [f"rare{r.randrange(10**6)}" for _ in range(k)]
+    for kept in (1.0, 0.7):
+        texts = []
+        for w in asked:
+            gone = set(r.sample(range(n - 1), int((1 - kept) * (n - 1))))
+            held = [rare(1)[0] if i in gone else x for i, x in enumerate(w)]
+            texts.append(" ".join(rare(r.randrange(60, 160)) + held + rare(100)).encode())
+        found = search.find(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+        assert {(i, i) for i in range(20)} <= set(found), kept
+
+
 def test_factors_keep_the_full_cosine(spark):
     """The randomised SVD against the vectors themselves."""
     r = np.random.default_rng(1)
