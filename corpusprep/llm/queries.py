@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, exact_dedup, jaccard, language_id, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, url_filter
+from corpusprep.llm import decontaminate, exact_dedup, jaccard, language_id, packing, quality, sharding, spelling, substring_dedup, suffix_dedup, toxicity, url_filter
 from corpusprep.llm.common import read
 
 
@@ -75,6 +75,10 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents", "doc_id", "text"), *TOKENIZER)
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, folder, "documents", "doc_id", "text"), edit_every=spelling.EDIT_EVERY)
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(read(spark, folder, "documents", "doc_id", "text"))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -100,5 +105,6 @@ ORACLES: dict[str, str] = {
     "op6_hash_tree_shards": sharding.shards_sql(sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1)),
     "op7_suffix_array_dedup": suffix_dedup.digest_sql(),
     "op9_quality_rules": quality.rules_sql(),
+    "op12_spelling_variants": spelling.variants_sql(),
     "op13_exact_dedup": exact_dedup.copies_sql(),
 }
