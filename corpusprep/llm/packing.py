@@ -16,6 +16,7 @@ the two named are not read; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import zlib
@@ -43,8 +44,9 @@ SLICE_BYTES = 4 << 20
 _STEADY = re.compile("[\t\n\r -~\u00a1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
 
 
-def encoder(tokenizer: str, ranks: str | None):
-    """A function from texts to lists of ids, by the tokenizer file.
+def encoder(tokenizer: str, ranks: str | None, specials_are_text: bool = False):
+    """A function from texts to lists of ids, by the tokenizer file as it is loaded: the
+    string of a special token in a text is that token, unless ``specials_are_text``.
 
     ``ranks`` may name the same vocabulary as a list of ranks. It gives the same ids
     several times faster for texts of steady characters; all others go to the
@@ -59,7 +61,7 @@ def encoder(tokenizer: str, ranks: str | None):
             from tokenizers import Tokenizer
 
             loaded.append(Tokenizer.from_file(tokenizer))
-            loaded[0].encode_special_tokens = True  # in a text they are ordinary text
+            loaded[0].encode_special_tokens = specials_are_text
         return [e.ids for e in loaded[0].encode_batch_fast(texts, add_special_tokens=False)]
 
     if ranks is None:
@@ -71,8 +73,11 @@ def encoder(tokenizer: str, ranks: str | None):
         table = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    with open(tokenizer, encoding="utf-8") as f:
+        added = [t["content"] for t in json.load(f)["added_tokens"]] if not specials_are_text else []
+
     def encode(texts: list[str]) -> list[list[int]]:
-        steady = [_STEADY.fullmatch(t) is not None for t in texts]
+        steady = [_STEADY.fullmatch(t) is not None and not any(s in t for s in added) for t in texts]
         rest = [t for t, ok in zip(texts, steady, strict=True) if not ok]
         others = iter(by_file(rest) if rest else ())
         return [fast.encode_ordinary(t) if ok else next(others) for t, ok in zip(texts, steady, strict=True)]

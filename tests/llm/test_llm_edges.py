@@ -72,6 +72,19 @@ def test_edge_rows(spark, name):
         assert list(rows[0].asDict()) == df.columns if rows else True
 
 
+def test_packing_calls_the_tokenizer_as_it_was_loaded(spark):
+    """The string of the special token is that token, in texts of steady and other characters."""
+    from tokenizers import Tokenizer
+
+    texts = ["x <|endoftext|> y", "<|endoftext|><|endoftext|>", "日 <|endoftext|>", "<|endoftext|", *(chr(c) * 3 + " " + chr(c + 7) for c in range(0x20, 0x11000, 97) if not 0xD7F0 <= c <= 0xE000)]
+    as_loaded = Tokenizer.from_file(TOKENIZER[0])
+    want = [e.ids for e in as_loaded.encode_batch(texts, add_special_tokens=False)]
+    assert 50256 in want[0]
+    assert packing.encoder(*TOKENIZER)(texts) == want == packing.encoder(TOKENIZER[0], None)(texts)
+    df = table(spark, list(enumerate(texts)))
+    assert {r["doc_id"]: r["length"] for r in packing.pieces(df, *TOKENIZER).collect()} == {i: len(w) + 1 for i, w in enumerate(want)}
+
+
 @pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_empty_table(spark, name):
     assert OPERATORS[name](table(spark, [])).collect() == []
