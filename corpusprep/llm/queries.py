@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import decontaminate, exact_dedup, jaccard, language_id, packing, quality, sharding, spelling, substring_dedup, suffix_dedup, toxicity, url_filter
+from corpusprep.llm import alignment, decontaminate, exact_dedup, jaccard, language_id, packing, quality, sharding, spelling, substring_dedup, suffix_dedup, toxicity, url_filter
 from corpusprep.llm.common import read
 
 
@@ -75,6 +75,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents", "doc_id", "text"), *TOKENIZER)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents", "doc_id", "text")
+    return alignment.align(documents, TOKENIZER[0], public_tokenizers.path("piece_bpe_32k.model"), TOKENIZER[1]).documents
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(read(spark, folder, "documents", "doc_id", "text"), edit_every=spelling.EDIT_EVERY)
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_exact_dedup": op13_exact_dedup,
 }
