@@ -52,8 +52,8 @@ LEET = {
 }
 #: A sign that may hide any letter.
 ANY = "*#%&_"
-#: Longer than any word: a written word above that is several, joined by signs.
-LONG = 200
+#: Readings of written words up to this length are kept for when they come again.
+KEPT_LENGTH = 200
 #: Characters after which the part of the path that all states share is put aside.
 SETTLE = 64
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -153,8 +153,6 @@ def _short_masks(written: str, model: np.ndarray) -> str:
     """Long runs of ``ANY`` signs cut to what can matter. A sign read as a letter costs
     ``AS_NOISE - AS_ANY`` more than one passed over, and all letters of a run can gain no
     more than the transitions of the two letters behind it; further signs are passed over."""
-    if len(written) <= LONG:
-        return written
     most = int(4 * -float(model.min()) / (AS_NOISE - AS_ANY)) + 2
     return re.sub(f"([{ANY}]{{{most}}})[{ANY}]+", r"\1", written)
 
@@ -222,10 +220,13 @@ class Reader:
             for w in {word, core}:
                 # A word without a letter is a number or a line of signs, not a disguise.
                 if any(c.isalpha() for c in w):
-                    found.update(restore(w, self.model, spaced or len(w) > LONG).split(" "))
+                    # As one word, and as several that signs join or nothing does.
+                    found.update(restore(w, self.model, True).split(" "))
+                    if not spaced:
+                        found.add(restore(w, self.model))
             found.discard("")
             kept = np.unique(word_features(sorted(found))) if found else np.zeros(0, np.uint64)
-            if len(written) <= LONG:
+            if len(written) <= KEPT_LENGTH:
                 self.known[written] = kept
         return kept
 
@@ -275,13 +276,14 @@ class Reader:
         """Runs of three or more words of one character, joined."""
         lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         one = lead[ends] - lead[starts] == 1
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], one, [0]]).astype(np.int8)))
+        # Runs end with their text.
+        new = np.concatenate([[True], (one[1:] != one[:-1]) | (text[1:] != text[:-1])])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(one))
         out = []
-        for i, j in zip(edge[::2], edge[1::2], strict=True):
-            for t in np.unique(text[i:j]) if j - i > 2 else ():
-                mine = [k for k in range(i, j) if text[k] == t]
-                if len(mine) > 2:
-                    out.append((int(t), "".join(bytes(data[starts[k] : ends[k]]).decode("utf-8", "replace") for k in mine)))
+        for i, j in zip(first, last, strict=True):
+            if one[i] and j - i > 2:
+                out.append((int(text[i]), "".join(bytes(data[starts[k] : ends[k]]).decode("utf-8", "replace") for k in range(i, j))))
         return out
 
 
@@ -329,7 +331,9 @@ def _sums(model: np.ndarray, lexicon: dict):
                 texts, hashes = reader.features(data, bounds)
                 t, at = texts, np.searchsorted(feature, hashes)
                 w = _weigh(yes[at] - toxic[t], no[at] - (1 - toxic[t]), n_yes - toxic[t], n_no - (1 - toxic[t]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.bincount(t, weights=w, minlength=len(toxic))), pa.array(toxic)], names=["sum", "toxic"])
+                # Without a single feature bincount forgets that weights are not whole numbers.
+                total = np.bincount(t, weights=w, minlength=len(toxic)).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(total), pa.array(toxic)], names=["sum", "toxic"])
 
     return run
 
@@ -364,10 +368,10 @@ def fit(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", te
         return model
     schema = "feature long, yes long, no long"
     total = lambda counted: counted.groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    # First what toxic texts share, then how often others have that.
+    # First what toxic texts share, then how often others have that; all of it is
+    # weighed before the heaviest are taken. The sample of toxic texts bounds it.
     shared = total(rows.filter("toxic = 1").mapInArrow(_counts(characters, None), schema)).filter(F.col("yes") >= SUPPORT)
-    top = shared.orderBy(F.desc("yes"), "feature").limit(4 * FEATURES).select("feature").toPandas()
-    only = np.sort(top["feature"].to_numpy(np.int64).view(np.uint64))
+    only = np.sort(shared.select("feature").toPandas()["feature"].to_numpy(np.int64).view(np.uint64))
     if not len(only):
         return model
     counted = total(rows.mapInArrow(_counts(characters, only), schema)).toPandas()
@@ -400,7 +404,7 @@ def score(df: DataFrame, model: dict, text: str = "text", keep: list[str] | None
                 total, found = np.zeros(n), np.zeros(n, np.int64)
                 if len(feature):
                     texts, hashes = reader.features(data, bounds)
-                    total = np.bincount(texts, weights=weight[np.searchsorted(feature, hashes)], minlength=n)
+                    total = np.bincount(texts, weights=weight[np.searchsorted(feature, hashes)], minlength=n).astype(np.float64)
                     found = np.bincount(texts, minlength=n)
                 p = 1 / (1 + np.exp(-np.clip(a * np.log1p(total) + b, -30, 30)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found.astype(np.int64)), pa.array(p)], names=[*keep, "n_features", "score"])

@@ -1,0 +1,116 @@
+"""Toxicity: slices without features, joined stretches of any length, linear runs, plain Viterbi."""
+
+import itertools
+import random
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusprep.llm import toxicity
+
+HARMLESS = "the garden has a letter for the other house " * 40_000
+
+
+def trained_model():
+    words = ["you", "are", "an", "idiot", "garden", "letter", "other", "the"]
+    seen = np.ones((64, 64, 64))
+    r = random.Random(1)
+    for _ in range(300):
+        plain = " ".join(r.choice(words) for _ in range(30)) if _ % 2 else "you are an idiot the other garden letter"
+        c = toxicity.CLASSES[np.frombuffer((" " + plain + " ").encode(), np.uint8)]
+        np.add.at(seen, (c[:-2], c[1:-1], c[2:]), 50)
+    return np.log(seen / seen.sum(2, keepdims=True)).astype(np.float32)
+
+
+def test_slices_without_features_before_between_and_after_others(spark):
+    docs, labels = [], []
+    for i in range(60):
+        docs.append((i, ("you stupid idiot " if i % 2 else "the garden letter ") * 3))
+        labels.append((i, i % 2))
+    long_ones = [(100 + i, HARMLESS) for i in range(3)]
+    docs = long_ones[:1] + docs[:30] + long_ones[1:2] + docs[30:] + long_ones[2:]
+    labels += [(100 + i, 0) for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert all((scores[i] >= 0.7) == (i % 2 == 1) for i in range(60))
+    assert all(scores[100 + i] < 0.5 for i in range(3))
+
+
+@pytest.mark.parametrize("written", ["you.are.an.idiot", "you_are_an_1d1ot", "you-are-an-idiot", "youareanidiot!", "you.are.an.id1ot." * 30, "y o u a r e a n i d i o t"])
+def test_joined_stretches_of_every_length_are_read(written):
+    wanted = np.sort(toxicity.word_features(["idiot"]))
+    raw = np.frombuffer(("so " + written + " so").encode(), np.uint8)
+    _, found = toxicity.Reader(trained_model(), wanted).features(raw, np.array([0, len(raw)]))
+    if written != "youareanidiot!":  # nothing hides a word here: it is read as it is written
+        assert set(wanted) <= set(found)
+
+
+def test_one_letter_texts_take_linear_time():
+    def seconds(n):
+        raw = np.frombuffer(b"a" * 3 * n, np.uint8)
+        raw = np.frombuffer(b" ".join([b"a"] * 3 * n), np.uint8)
+        bounds = np.arange(0, len(raw) + 6, 6)[: n + 1]
+        bounds[-1] = len(raw)
+        start = time.perf_counter()
+        found = toxicity.Reader(model, wanted).features(raw, bounds)
+        assert len(found[0]) == 0
+        return time.perf_counter() - start
+
+    model, wanted = trained_model(), np.sort(toxicity.word_features(["idiot"]))
+    seconds(10)
+    assert seconds(20_000) < 20 * max(seconds(2_000), 0.05)
+
+
+def test_runs_of_letters_stay_in_their_text():
+    reader = toxicity.Reader(trained_model(), None)
+    parts = [b"i d", b"i o t", b"", b"x", b"i d i", b"o t"]
+    raw = np.frombuffer(b"".join(p + b" " for p in parts), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+    from corpusprep.llm.hashing import words_in
+
+    starts, ends, edges = words_in(raw, bounds)
+    text = np.repeat(np.arange(len(parts)), np.diff(edges))
+    assert reader._spaced(raw, starts, ends, text) == [(1, "iot"), (4, "idi")]
+
+
+def plain_reading(written, model, spaced):
+    """The best of all readings of a short word, one after the other."""
+    options = []
+    for c in written:
+        if c.isalpha():
+            options.append([(c, 0.0)])
+        else:
+            options.append([(r, toxicity.AS_LEET) for r in toxicity.LEET.get(c, "")] + [("", toxicity.AS_NOISE)] + ([(r, toxicity.AS_ANY) for r in toxicity.LETTERS] if c in toxicity.ANY else []))
+    best = None
+    for way in itertools.product(*options):
+        paths = [(0.0, "", (0, 0))]
+        for r, channel in way:
+            after = []
+            for cost, read, (a, b) in paths:
+                cost += channel
+                if not r:
+                    after.append((cost, read, (a, b)))
+                    continue
+                k = toxicity._class(r)
+                if read[-1:] == r:
+                    after.append((cost + toxicity.REPEATED, read, (a, b)))
+                after.append((cost + float(model[a, b, k]), read + r, (b, k)))
+                if spaced and read and read[-1] != " ":
+                    after.append((cost + toxicity.GAP + float(model[a, b, 0]) + float(model[b, 0, k]), read + " " + r, (0, k)))
+            paths = after
+        for cost, read, (a, b) in paths:
+            total = cost + float(model[a, b, 0])
+            if best is None or total > best[0]:
+                best = (total, read)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_restoring_equals_the_best_of_all_readings(seed):
+    r, model = random.Random(seed), trained_model()
+    written = "".join(r.choice("idotdiot10$.!") for _ in range(r.randint(1, 6)))
+    for spaced in (False, True):
+        assert toxicity.restore(written, model, spaced) == plain_reading(written, model, spaced)[1]
