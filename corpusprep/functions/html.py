@@ -1,4 +1,5 @@
-"""Headline and article text of a page, by regular expressions in the JVM."""
+"""Headline and article text of a page: a scan for tags by one regular expression, and
+a fold over what lies between article tags, both in the JVM."""
 
 from __future__ import annotations
 
@@ -19,15 +20,36 @@ ENTITIES = {
     "ouml": "\u00f6", "szlig": "\u00df", "uacute": "\u00fa", "ugrave": "\u00f9", "uuml": "\u00fc",
 }
 
-# Every pattern passes a page once, however broken it is: what is never closed
-# reaches to the end of the page, as in a browser; a tag holds no "<"; and the
-# atomic group keeps the first opening tag instead of trying all later ones.
-_HIDDEN = r"(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))"
-_ARTICLE = r"(?is)\A(?>.*?<article\b[^<>]*>)(.*?)</article>"
-_TITLE = r"(?is)\A(?>.*?<title\b[^<>]*>)(.*?)</title>"
-_TAG = r"<[^<>]*>"
+# A scan finds comments, scripts, styles and tags, whatever comes first, and leaves a
+# mark with the tag's name in their place, so that what looks like a tag inside an
+# attribute, a script or a comment is none. Every pattern passes a page once, however
+# broken it is: what is never closed reaches to the end of the page, as in a browser; a
+# tag holds no "<" outside of quotes; possessive and atomic groups try nothing twice.
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+')?+"""
+_SCAN = (
+    r"(?is)<(?:script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)|!--.*?(?:-->|\z)|[!?][^<>]*+>"
+    rf"|(/?[a-z][a-z0-9]*+)(?:[^<>=]++|{_VALUE})*+>)|[\x01-\x04]"
+)
+_MARK = "\x01$1\x02"
+_TITLE = r"(?is)\A(?>.*?\x01title\x02)(.*?)\x01/title\x02"
+_ARTICLE = r"(?i)(?=\x01/?article\x02)"
+
+# Elements that start a paragraph, and those that start a line.
+PARAGRAPHS = (
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr legend main menu nav ol p pre search section summary table ul"
+)
+LINES = "br caption li optgroup option tbody tfoot thead tr"
+_PARAGRAPH = rf"(?i)\x01/?(?:{'|'.join(PARAGRAPHS.split())})\x02"
+_LINE = rf"(?i)\x01/?(?:{'|'.join(LINES.split())})\x02"
+_CELL = r"(?i)\x01/?t[dh]\x02"
+_ANY_MARK = r"\x01[^\x02]*+\x02"
+# A run of breaks and blanks, seen from its start only.
+_PARAGRAPH_BREAK = r"(?<![\x03\x04 ])[\x04 ]*+\x03[\x03\x04 ]*+"
+_LINE_BREAK = r"(?<![\x04 ]) *+\x04[\x04 ]*+"
 # A single space needs no replacement.
 _BLANKS = r"[ \t\n\r\f]{2,}|[\t\n\r\f]"
+_BLANKS_IN_LINE = r"[ \t\r\f]{2,}|[\t\r\f]"
 
 
 # What may stand between "&" and ";".
@@ -67,32 +89,73 @@ def decode_references(text: Column) -> Column:
     return F.when(F.instr(text, "&") > 0, _let(F.split(text, "&"), joined)).otherwise(text)
 
 
-def _plain(markup: Column) -> Column:
-    stripped = F.regexp_replace(markup, _TAG, " ")
+def _flat(marked: Column) -> Column:
+    """One line of text; every tag counts as a blank."""
+    stripped = F.regexp_replace(marked, _ANY_MARK, " ")
     return F.trim(F.regexp_replace(_let(stripped, decode_references), _BLANKS, " "))
 
 
-def visible_html(html: Column | str) -> Column:
-    """The page without scripts, styles and comments, which may hold tags."""
-    return F.regexp_replace(_col(html), _HIDDEN, " ")
+def _paragraphs(marked: Column) -> Column:
+    """Paragraphs with an empty line between them, lines where the page breaks them;
+    other tags take no room."""
+    broken = F.regexp_replace(F.regexp_replace(F.regexp_replace(marked, _PARAGRAPH, "\x03"), _LINE, "\x04"), _CELL, " ")
+    text = F.regexp_replace(F.regexp_replace(broken, _ANY_MARK, ""), _BLANKS, " ")
+    text = F.regexp_replace(F.regexp_replace(text, _PARAGRAPH_BREAK, "\n\n"), _LINE_BREAK, "\n")
+    return F.trim(F.regexp_replace(_let(text, decode_references), _BLANKS_IN_LINE, " "), F.lit(" \n"))
+
+
+def scan_tags(html: Column | str) -> Column:
+    """The page with a mark for every tag, and an empty one for each script, style and
+    comment."""
+    return F.regexp_replace(_col(html), _SCAN, _MARK)
+
+
+def _first_article(marked: Column) -> Column:
+    """What the first article holds, others inside it included: it ends where as many
+    have ended as have begun. If they never have, the last end counts."""
+    i32 = lambda n: F.lit(n).cast("int")
+
+    def inside(parts: Column) -> Column:
+        start = F.struct(i32(0).alias("at"), i32(0).alias("open"), i32(0).alias("first"), i32(0).alias("last"), F.lit(False).alias("done"))
+
+        def step(state: Column, part: Column) -> Column:
+            at = state["at"] + 1
+            # A part begins with its mark, but for what comes before the first one.
+            begins = F.lower(F.substring(part, 1, 9)) == "\x01article\x02"
+            ends = (F.lower(F.substring(part, 1, 10)) == "\x01/article\x02") & (state["open"] > 0)
+            open_ = F.when(begins, state["open"] + 1).when(ends, state["open"] - 1).otherwise(state["open"])
+            after = F.struct(
+                at.alias("at"),
+                open_.alias("open"),
+                F.when(begins & (state["first"] == 0), at).otherwise(state["first"]).alias("first"),
+                F.when(ends, at).otherwise(state["last"]).alias("last"),
+                (ends & (open_ == 0)).alias("done"),
+            )
+            return F.when(state["done"], state).otherwise(after)
+
+        found = F.aggregate(parts, start, step)
+        return _let(found, lambda f: F.when(f["last"] > 0, F.array_join(F.slice(parts, f["first"], F.greatest(f["last"] - f["first"], i32(0))), "")).otherwise(F.when(marked.isNotNull(), "")))
+
+    return _let(F.split(marked, _ARTICLE), inside)
 
 
 def page_title(html: Column | str) -> Column:
     """Text of the first ``<title>``; empty when there is none."""
-    return _plain(F.regexp_extract(visible_html(html), _TITLE, 1))
+    return _flat(F.regexp_extract(scan_tags(html), _TITLE, 1))
 
 
-def article_text(html: Column | str) -> Column:
-    """Text of the first ``<article>``; empty when there is none."""
-    return _plain(F.regexp_extract(visible_html(html), _ARTICLE, 1))
+def article_text(html: Column | str, paragraphs: bool = True) -> Column:
+    """Text of the first ``<article>``, in paragraphs or as one line; empty when there
+    is none."""
+    return _let(_first_article(scan_tags(html)), _paragraphs if paragraphs else _flat)
 
 
-def article_fields(html: Column | str) -> Column:
+def article_fields(html: Column | str, paragraphs: bool = True) -> Column:
     """One struct of ``title`` and ``text``, in an array of length 1 (for
-    ``inline``): scripts and comments are taken out once for both."""
+    ``inline``): the page is scanned once for both."""
 
     def fields(page: Column) -> Column:
-        title = _plain(F.regexp_extract(page, _TITLE, 1)).alias("title")
-        return F.struct(title, _plain(F.regexp_extract(page, _ARTICLE, 1)).alias("text"))
+        title = _flat(F.regexp_extract(page, _TITLE, 1)).alias("title")
+        return F.struct(title, _let(_first_article(page), _paragraphs if paragraphs else _flat).alias("text"))
 
-    return F.transform(F.array(visible_html(html)), fields)
+    return F.transform(F.array(scan_tags(html)), fields)

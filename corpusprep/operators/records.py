@@ -13,12 +13,13 @@ from corpusprep.functions.html import article_fields
 from corpusprep.operators.ordering import names
 
 
-def extract_article(df: DataFrame, html_col: str = "html") -> DataFrame:
-    """The page rows with ``title`` and ``text`` in place of their HTML. They come
+def extract_article(df: DataFrame, html_col: str = "html", paragraphs: bool = True) -> DataFrame:
+    """The page rows with ``title`` and ``text`` in place of their HTML, the text in
+    paragraphs (an empty line between them) or as one line. They come
     out of a generator, so a later filter uses the finished columns; through a
     plain projection it would be pushed down and run every expression again."""
     kept = [c for c in df.columns if c != html_col]
-    return df.select(*kept, F.inline(article_fields(html_col)))
+    return df.select(*kept, F.inline(article_fields(html_col, paragraphs)))
 
 
 def flatten_nested(

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.functions.html import ENTITIES, REFERENCE
+from corpusprep.functions.html import ENTITIES, LINES, PARAGRAPHS, REFERENCE
 from corpusprep.operators import extract_article
 from corpusprep.sources import read_table
 
@@ -24,9 +24,8 @@ _CODE_COLUMNS = [
 ]
 CODE_SQL = f"select {', '.join(_CODE_COLUMNS)} from part"
 
-# The patterns of the code, in DuckDB's syntax (no atomic groups: the shortest match
-# from the start is the same one).
-_VISIBLE_SQL = r"regexp_replace(html, '(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))', ' ', 'g')"
+# The same on well-formed pages, step by step, in DuckDB's syntax.
+_VISIBLE_SQL = r"regexp_replace(html, '(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))', '{}', 'g')"
 
 
 def _decoded_sql(text: str) -> str:
@@ -42,13 +41,19 @@ def _decoded_sql(text: str) -> str:
     return f"({pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {part}), ''))"
 
 
-def _plain_sql(pattern: str) -> str:
-    text = rf"regexp_replace(regexp_extract({_VISIBLE_SQL}, '{pattern}', 1), '<[^<>]*>', ' ', 'g')"
-    return rf"trim(regexp_replace({_decoded_sql(text)}, '[ \t\n\r\f]+', ' ', 'g'))"
-
-
-_TITLE_SQL = _plain_sql(r"(?is)\A.*?<title\b[^<>]*>(.*?)</title>")
-_TEXT_SQL = _plain_sql(r"(?is)\A.*?<article\b[^<>]*>(.*?)</article>")
+_TITLE_SQL = rf"""regexp_replace(regexp_extract({_VISIBLE_SQL.format(" ")}, '(?is)\A.*?<title\b[^<>]*>(.*?)</title>', 1), '<[^<>]*>', ' ', 'g')"""
+_TITLE_SQL = rf"trim(regexp_replace({_decoded_sql(_TITLE_SQL)}, '[ \t\n\r\f]+', ' ', 'g'))"
+_TEXT_SQL = rf"regexp_extract({_VISIBLE_SQL.format('')}, '(?is)\A.*?<article\b[^<>]*>(.*?)</article>', 1)"
+for _pattern, _by in (
+    (rf"(?i)</?(?:{'|'.join(PARAGRAPHS.split())})\b[^<>]*>", "\x03"),
+    (rf"(?i)</?(?:{'|'.join(LINES.split())})\b[^<>]*>", "\x04"),
+    (r"<[^<>]*>", ""),
+    (r"[ \t\n\r\f]+", " "),
+    (r"[ \x04]*\x03[ \x03\x04]*", "\n\n"),
+    (r" *\x04[ \x04]*", "\n"),
+):
+    _TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '{_pattern}', '{_by}', 'g')"
+_TEXT_SQL = f"trim({_decoded_sql(_TEXT_SQL)}, ' \n')"
 ARTICLES_SQL = f"select page_id, url, {_TITLE_SQL} as title, {_TEXT_SQL} as text from pages"
 
 TOKENS_SQL = r"list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda x: x <> '')"

@@ -95,7 +95,7 @@ def test_with_system_only_if_absent(spark):
 PAGES = {
     "<html><title> A &amp; B </title><article><p>x</p>\n<p>y &lt;z&gt; &quot;q&quot; &#39;s&#39;&nbsp;e</p></article>": (
         "A & B",
-        "x y <z> \"q\" 's' e",
+        "x\n\ny <z> \"q\" 's' e",
     ),
     "<TITLE>T</TITLE><script>var a='</p><article>no</article>'</script><ARTICLE class='a'>yes</ARTICLE>": ("T", "yes"),
     "<title>&amp;lt;</title><article><!-- <b>gone</b> -->kept<style>p{}</style></article><article>2nd</article>": (
@@ -121,6 +121,9 @@ def test_articles(spark):
     assert got == list(PAGES.values())
     assert values(df, fn.page_title("html")) == [t for t, _ in PAGES.values()]
     assert values(df, fn.article_text("html")) == [t for _, t in PAGES.values()]
+    flat = [" ".join(t.split("\n\n")) for _, t in PAGES.values()]
+    assert values(df, fn.article_text("html", paragraphs=False)) == flat
+    assert values(op.extract_article(df, paragraphs=False), "text") == flat
 
 
 @pytest.mark.parametrize("broken", ["<", "<article", "<article>", "<title>", "<script>", "<!--", "<style <b"])
