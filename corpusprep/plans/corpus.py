@@ -13,6 +13,8 @@ from corpusprep.session import scratch_path
 
 CORPUS_SPLITS = {"train_small": 0.9, "val_small": 0.1}
 SHORT = 128
+#: Samples of a shard, and shards of a shuffle's window.
+SHARD, WINDOW = 64, 4
 
 
 def _tokens() -> Column:
@@ -95,6 +97,27 @@ def shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
     return shuffled.select("position", "sample", F.array_join("tokens", " ").alias("tokens"))
 
 
+def sharded_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of the training length would do as well; strings show more."""
+    path = scratch_path(spark, "shards")
+    io.write_shards(_split_samples(spark, folder), path, split_col="split", shard_samples=SHARD)
+    return io.read_shards(spark, path).select("split", "sample", F.array_join("tokens", " ").alias("tokens"))
+
+
+def _window_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    io.write_shards(_split_samples(spark, folder), path, split_col="split", shard_samples=SHARD)
+    return io.shuffled_shards(spark, path, "train_small", window=WINDOW)
+
+
+def window_shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
+    return _window_shuffled(spark, folder).select("position", "sample", F.array_join("tokens", " ").alias("tokens"))
+
+
+def shuffle_spread(spark: SparkSession, folder: str) -> DataFrame:
+    return io.shuffle_spread(_window_shuffled(spark, folder))
+
+
 def packed_splits(spark: SparkSession, folder: str) -> DataFrame:
     """The samples of the training runs' own length, for each split."""
     samples = _split_samples(spark, folder, op.SAMPLE_LENGTH)
@@ -190,6 +213,9 @@ QUERIES = {
     "packed_samples": packed_samples,
     "packed_roundtrip": packed_roundtrip,
     "shuffled_samples": shuffled_samples,
+    "sharded_samples": sharded_samples,
+    "window_shuffled_samples": window_shuffled_samples,
+    "shuffle_spread": shuffle_spread,
     "packed_splits": packed_splits,
     "batches": batches,
     "sample_batches": sample_batches,
@@ -221,6 +247,13 @@ def _packed_sql(length: int, rows: str, where: str = "true") -> str:
         from placed group by all having count(*) = {length}"""
 
 
+_WINDOWS_SQL = f"""
+        select row_number() over (order by w, md5('17:' || sample), sample) - 1 as position, sample, tokens
+        from (
+          select *, (dense_rank() over (order by md5('17:shard:' || sample // {SHARD}), sample // {SHARD}) - 1) // {WINDOW} as w
+          from ({_packed_sql(SHORT, 'split')}) where part = 'train_small')"""
+
+
 def _budget_sql(budget: str, order: str) -> str:
     """Passes over the corpus, one after the other, until the budget is reached."""
     return f"""
@@ -248,6 +281,13 @@ ORACLES = {
     "shuffled_samples": f"""
         select row_number() over (order by md5('17:' || sample), sample) - 1 as position, sample, tokens
         from ({_packed_sql(SHORT, 'split')}) where part = 'train_small'""",
+    "sharded_samples": f"select part as split, sample, tokens from ({_packed_sql(SHORT, 'split')})",
+    "window_shuffled_samples": _WINDOWS_SQL,
+    "shuffle_spread": f"""
+        with placed as ({_WINDOWS_SQL})
+        select count(*) as n_samples, round(sum(abs(a.sample - a.position)) * 3 / (count(*)::double * count(*) - 1), 9) as moved,
+          count(*) filter (where b.position + 1 = a.position) as kept_next
+        from placed a left join placed b on b.sample + 1 = a.sample""",
     "packed_splits": f"select part as split, sample, tokens from ({_packed_sql(2048, 'split')})",
     "sample_batches": f"""
         with train as (select sample, tokens from ({_packed_sql(SHORT, 'split', "lang = 'en'")}) where part = 'train_small'),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep import functions as fn
 from corpusprep import operators as op
+from corpusprep import sources as io
 from corpusprep.functions import html
 from corpusprep.operators import ordering
 from corpusprep.plans import QUERIES, inputs
@@ -22,7 +23,9 @@ def run_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-NATIVE = sorted(set(QUERIES) - {"map_text", "text_folder_roundtrip"})
+#: Through this package's own Python data sources, or the user's function.
+SOURCES = {"text_folder_roundtrip", "sharded_samples", "window_shuffled_samples", "shuffle_spread"}
+NATIVE = sorted(set(QUERIES) - {"map_text"} - SOURCES)
 
 
 @pytest.mark.parametrize("name", NATIVE)
@@ -118,3 +121,11 @@ def test_bounds_are_constants(spark):
     df = spark.range(5000).withColumn("text", F.lit("a"))
     text = plan(op.with_position(df, "id"))
     assert "from_json" not in text and "Sample" not in text
+
+
+def test_window_shuffle_moves_no_samples(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    io.write_shards(spark.range(100).selectExpr("id as sample", "array(cast(id as int)) as tokens"), path, shard_samples=10)
+    shuffled = io.shuffled_shards(spark, path, window=3)
+    assert "Exchange" not in plan(shuffled) and "Sort" not in plan(shuffled)
+    assert shuffled.rdd.getNumPartitions() == 4
