@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from os.path import commonprefix
 
 import numpy as np
@@ -62,6 +63,8 @@ AS_LEET, AS_ANY, AS_NOISE, REPEATED, GAP = -1.0, -4.0, -1.5, -0.7, -2.5
 
 _EDGES = re.compile(r"^[.,;:?\"'()\[\]{}<>-]+|[.,;:?!\"'()\[\]{}<>-]+$")
 _TAIL = re.compile(r"([^\w\s])\1{2,}$|^([^\w\s])\2{2,}")
+#: A sign between others that may stand where a blank was.
+_JOIN = re.compile(r"\w[^\w\s'\u2019]+\w|[^\W_]_+[^\W_]")
 _RUN = re.compile(r"(.)\1\1")
 
 
@@ -103,60 +106,76 @@ def character_model(df: DataFrame, text: str = "text") -> np.ndarray:
     return np.log((seen + 8 * pairs[None]) / (seen.sum(2, keepdims=True) + 8)).astype(np.float32)
 
 
+@lru_cache(1 << 16)
 def _class(c: str) -> int:
     return int(CLASSES[c.encode()[-1]])
 
 
-def restore(written: str, model: np.ndarray, spaced: bool = False) -> str:
+class Characters:
+    """A character model as numbers that a loop reads fast."""
+
+    def __init__(self, model: np.ndarray):
+        self.table = model.ravel().tolist()
+        # How many signs for any letter in a row can matter. One read as a letter costs
+        # ``AS_NOISE - AS_ANY`` more than one passed over, and all letters of a run can
+        # gain no more than the transitions of the two letters behind it.
+        most = int(4 * -float(model.min()) / (AS_NOISE - AS_ANY)) + 2
+        self.masks = re.compile(f"([{ANY}]{{{most}}})[{ANY}]+")
+
+
+@lru_cache(1 << 12)
+def _readings(sign: str) -> tuple[tuple[str, int, float], ...]:
+    """What a sign may stand for: the character, its class, and how likely that is."""
+    found = [(r, _class(r), AS_LEET) for r in LEET.get(sign, "")]
+    return tuple(found + ([(r, _class(r), AS_ANY) for r in LETTERS] if sign in ANY else []))
+
+
+def restore(written: str, model: np.ndarray | Characters, spaced: bool = False) -> str:
     """The likeliest word (words, if ``spaced``) behind what is written."""
-    # State: the classes of the last two letters; value: cost and what was read, less
-    # what all states have read alike, which is kept in ``settled``.
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    model = Characters(model) if isinstance(model, np.ndarray) else model
+    table = model.table
+    # State: the classes of the last two letters, in 64ths; value: cost and what was read,
+    # less what all states have read alike, which is kept in ``settled``.
+    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
     settled: list[str] = []
-    for place, c in enumerate(_short_masks(written, model)):
+    for place, c in enumerate(model.masks.sub(r"\1", written)):
         if place % SETTLE == SETTLE - 1:
             shared = len(commonprefix([read for _, read in states.values()])) - 1  # the last letter stays in sight
             if shared > 0:
                 settled.append(next(iter(states.values()))[1][:shared])
                 states = {k: (cost, read[shared:]) for k, (cost, read) in states.items()}
-        readings: list[tuple[str, float]] = []
-        if c.isalpha():
-            readings.append((c, 0.0))
-        else:
-            readings += [(r, AS_LEET) for r in LEET.get(c, "")]
-            readings.append(("", AS_NOISE))
-            if c in ANY:
-                readings += [(r, AS_ANY) for r in LETTERS]
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-
-        def reach(state: tuple[int, int], cost: float, read: str) -> None:
-            if state not in after or after[state][0] < cost:
-                after[state] = (cost, read)
-
-        for (a, b), (cost, read) in states.items():
-            for r, channel in readings:
-                if not r:
-                    reach((a, b), cost + channel, read)
-                    continue
-                k = _class(r)
-                if read[-1:] == r:  # one letter written again
-                    reach((a, b), cost + channel + REPEATED, read)
-                reach((b, k), cost + channel + float(model[a, b, k]), read + r)
-                if spaced and read and read[-1] != " ":
-                    reach((0, k), cost + channel + GAP + float(model[a, b, 0]) + float(model[b, 0, k]), read + " " + r)
+        letter = c.isalpha()
+        readings = ((c, _class(c), 0.0),) if letter else _readings(c)
+        after: dict[int, tuple[float, str]] = {}
+        get = after.get
+        for ab, (cost, read) in states.items():
+            last = read[-1:]
+            if not letter:
+                passed = cost + AS_NOISE
+                have = get(ab)
+                if have is None or have[0] < passed:
+                    after[ab] = (passed, read)
+            b = ab & 63
+            for r, k, channel in readings:
+                if last == r:  # one letter written again
+                    again = cost + channel + REPEATED
+                    have = get(ab)
+                    if have is None or have[0] < again:
+                        after[ab] = (again, read)
+                on = cost + channel + table[ab << 6 | k]
+                have = get(b << 6 | k)
+                if have is None or have[0] < on:
+                    after[b << 6 | k] = (on, read + r)
+                if spaced and last and last != " ":
+                    apart = cost + channel + GAP + table[ab << 6] + table[b << 12 | k]
+                    have = get(k)
+                    if have is None or have[0] < apart:
+                        after[k] = (apart, read + " " + r)
         states = after
-    ends = [(cost + float(model[a, b, 0]), read) for (a, b), (cost, read) in states.items()]
+    ends = [(cost + table[ab << 6], read) for ab, (cost, read) in states.items()]
     return "".join(settled) + max(ends)[1] if ends else ""
 
 
-def _short_masks(written: str, model: np.ndarray) -> str:
-    """Long runs of ``ANY`` signs cut to what can matter. A sign read as a letter costs
-    ``AS_NOISE - AS_ANY`` more than one passed over, and all letters of a run can gain no
-    more than the transitions of the two letters behind it; further signs are passed over."""
-    most = int(4 * -float(model.min()) / (AS_NOISE - AS_ANY)) + 2
-    return re.sub(f"([{ANY}]{{{most}}})[{ANY}]+", r"\1", written)
-
-
 # --- features -------------------------------------------------------------------
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -193,7 +212,7 @@ class Reader:
     readings of words it has met."""
 
     def __init__(self, model: np.ndarray, wanted: np.ndarray | None = None):
-        self.model = model
+        self.model = Characters(model)
         self.known: dict[bytes, np.ndarray] = {}
         self.wanted = wanted
         if wanted is not None:
@@ -217,13 +236,15 @@ class Reader:
             word = word if spaced else _TAIL.sub("", word)
             core = word if spaced else _EDGES.sub("", word)
             found: set[str] = set()
-            for w in {word, core}:
+            # Signs at the ends that stand for no letter change nothing.
+            for w in {word, core} if any(_readings(c) for c in word if not c.isalpha()) else {core}:
                 # A word without a letter is a number or a line of signs, not a disguise.
                 if any(c.isalpha() for c in w):
-                    # As one word, and as several that signs join or nothing does.
-                    found.update(restore(w, self.model, True).split(" "))
                     if not spaced:
                         found.add(restore(w, self.model))
+                    # Signs that stand for no letter of their own may join words.
+                    if spaced or _JOIN.search(core):
+                        found.update(restore(w, self.model, True).split(" "))
             found.discard("")
             kept = np.unique(word_features(sorted(found))) if found else np.zeros(0, np.uint64)
             if len(written) <= KEPT_LENGTH:
