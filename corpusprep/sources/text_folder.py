@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import sys
 import uuid
 from collections.abc import Iterator
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -21,6 +22,11 @@ from corpusprep.functions.strings import file_path, file_stem, unique_stem
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+MANIFEST = "_manifest.json"
+#: With a manifest, a task starts a new folder after so many files.
+FILES_PER_FOLDER = 10_000
+
+
 class NameCollision(ValueError):
     """Several documents would be written to one file."""
 
@@ -114,6 +120,60 @@ class _TextFolderWriter(DataSourceArrowWriter):
                 fs.delete_dir(path)
 
 
+def _write_parts(uri: str):
+    """Every attempt of a task writes its files, under their own names, into folders that
+    are its alone, and returns these; nothing is renamed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _open(uri)
+        # On a mounted folder the system's own files cost least.
+        create = (lambda path: open(path, "wb", buffering=0)) if isinstance(fs, pafs.LocalFileSystem) else fs.open_output_stream
+        attempt, folders, files = f"part-{uuid.uuid4().hex}", [], 0
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if files % FILES_PER_FOLDER == 0:
+                    folders.append(f"{attempt}-{len(folders)}")
+                    fs.create_dir(f"{root}/{folders[-1]}")
+                with create(f"{root}/{folders[-1]}/{name}.txt") as out:
+                    data = memoryview(text.encode("utf-8"))
+                    while len(data):
+                        data = data[out.write(data) or len(data) :]
+                files += 1
+        yield pa.RecordBatch.from_pydict({"folder": pa.array(folders, pa.string())})
+
+    return run
+
+
+def _write_with_manifest(named: DataFrame, uri: str, overwrite: bool) -> None:
+    """Puts a manifest of the folders of those attempts that Spark took into place.
+    Readers follow it, so they see all of a write or nothing of it, and what other
+    attempts left is never read."""
+    fs, root = _open(uri)
+    if not overwrite and fs.get_file_info(root).type != pafs.FileType.NotFound:
+        raise FileExistsError(f"{uri} exists; use mode 'overwrite' to replace it")
+    fs.create_dir(root)
+    folders = [r[0] for r in named.mapInArrow(_write_parts(uri), "folder string").collect()]
+    before = _listed_folders(uri) or []
+    if before and not overwrite:
+        raise FileExistsError(f"{uri} appeared during the write")
+    draft = f"{root}/{MANIFEST}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(draft) as out:
+        out.write(json.dumps({"folders": sorted(folders)}).encode())
+    fs.move(draft, f"{root}/{MANIFEST}")
+    for folder in before:
+        if fs.get_file_info(f"{root}/{folder}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{root}/{folder}")
+
+
+def _listed_folders(uri: str) -> list[str] | None:
+    """The folders that the manifest lists, or None where there is no manifest."""
+    fs, root = _open(uri)
+    if fs.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.NotFound:
+        return None
+    with fs.open_input_file(f"{root}/{MANIFEST}") as f:
+        return json.loads(f.read())["folders"]
+
+
 class TextFolderSink(DataSource):
     """``df.write.format("textfolder").save(path)`` for columns name and text."""
 
@@ -139,6 +199,7 @@ def write_text_folder(
     mode: str = "error",
     spread: bool = False,
     observation: Observation | None = None,
+    commit: str = "move",
 ) -> DataFrame:
     """Writes each row's text to ``<path>/<stem of the id>.txt`` and returns the
     manifest: ``name`` and ``path`` of each file. ``spread`` puts files into 256
@@ -151,10 +212,14 @@ def write_text_folder(
     or with ``:``) are an error too, unless ``unreadable="keep"``. Of each kind the
     first names are told, always the same.
 
-    The folder needs a file system with a folder move, such as a mount that all
-    executors share, or HDFS. One file per document is slow where objects are
-    costly: ``write_jsonl`` makes shards.
+    ``commit="move"`` moves every file to ``path`` and needs a file system with a folder
+    move, such as a mount that all executors share, or HDFS. ``commit="manifest"`` moves
+    nothing and works in object stores too: files lie in one folder per task below
+    ``path``, and ``read_text_folder`` reads the folders that the manifest lists. One
+    file per document is slow where objects are costly: ``write_jsonl`` makes shards.
     """
+    if commit not in ("move", "manifest") or (spread and commit == "manifest"):
+        raise ValueError(f"commit must be 'move' or, without spread, 'manifest', not {commit!r}")
     if collisions not in ("error", "suffix") or unreadable not in ("error", "keep"):
         raise ValueError(f"unknown collisions={collisions!r} or unreadable={unreadable!r}")
     if mode not in ("error", "overwrite"):
@@ -180,21 +245,67 @@ def write_text_folder(
         raise ValueError(f"names that Spark cannot read back, such as {lost}")
 
     spark = df.sparkSession
-    spark.dataSource.register(TextFolderSink)
     rows = df
     if observation is not None:
         rows = df.observe(observation, F.count(F.lit(1)).alias("in_rows"), F.count_if(~kept).alias("dropped_rows"))
     named = rows.filter(kept).select(name, F.col(text_col).alias("text"))
+    if commit == "manifest":
+        _write_with_manifest(named, _qualified(spark, path), mode == "overwrite")
+        return _text_files(spark, path).select(_name_of_file().alias("name"), F.col("path"))
+    spark.dataSource.register(TextFolderSink)
     spark_mode = "append" if mode == "error" else "overwrite"
     named.write.format("textfolder").option("spread", str(spread).lower()).mode(spark_mode).save(_qualified(spark, path))
     folder = F.concat(F.lit(path.rstrip("/") + "/"), F.substring(F.md5("name"), 1, 2), F.lit("/"), "name", F.lit(".txt"))
     return present.select(name).select("name", (folder if spread else file_path(path, "name")).alias("path"))
 
 
-def read_text_folder(spark: SparkSession, path: str) -> DataFrame:
-    """``name`` and ``text`` of every ``.txt`` file, one row per file, also of files in
-    folders below."""
-    reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
-    files = reader.text(path, wholetext=True)
+def _text_files(spark: SparkSession, path: str) -> DataFrame:
+    """The ``.txt`` files below ``path`` as bytes; those that the manifest lists, if there
+    is one. Small files share a task up to ``spark.sql.files.maxPartitionBytes``."""
+    listed = _listed_folders(_qualified(spark, path))
+    root = path.rstrip("/")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+    if listed == []:
+        return reader.load(root).filter("false")
+    return reader.load(root if listed is None else [f"{root}/{folder}" for folder in listed])
+
+
+def _name_of_file() -> Column:
     name = F.regexp_replace("_metadata.file_name", r"\.txt$", "")
-    return files.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("text"))
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def read_text_folder(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """``name`` and ``text`` of every ``.txt`` file, one row per file, also of files in
+    folders below; where a write left a manifest, of the files that it lists. Spark's
+    file readers skip files without a byte.
+
+    Bytes that are no UTF-8 become replacement characters, unless ``strict``: then such
+    a file has null text, and a column ``fault`` says where the first such byte is."""
+    files = _text_files(spark, path)
+    raw = F.col("content").cast("string")
+    if not strict:
+        return files.select(_name_of_file().alias("name"), F.make_valid_utf8(raw).alias("text"))
+    valid = F.is_valid_utf8(raw)
+    fault = F.when(~valid, F.concat(F.lit("not UTF-8 from byte "), _first_bad_byte(raw)))
+    return files.select(_name_of_file().alias("name"), F.when(valid, raw).alias("text"), fault.alias("fault"))
+
+
+def _first_bad_byte(raw: Column) -> Column:
+    """A text may hold replacement characters of its own before its first bad byte: those
+    are three bytes that stay, a bad byte is not."""
+    own = F.lit("\ufffd").cast("binary")
+    pieces = F.split(F.make_valid_utf8(raw), "\ufffd", -1)
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("bad"), F.lit(True).alias("first"))
+    content = raw.cast("binary")
+
+    def step(state: Column, piece: Column) -> Column:
+        # Behind every piece but the first lies a replacement character, own or not.
+        here = F.substring(content, state["at"] + 1, 3) == own
+        bad = state["bad"] | (~state["first"] & ~here)
+        at = state["at"] + F.when(state["first"], 0).otherwise(3) + F.octet_length(piece)
+        return F.when(bad, F.struct(state["at"].alias("at"), F.lit(True).alias("bad"), F.lit(False).alias("first"))).otherwise(
+            F.struct(at.cast("int").alias("at"), F.lit(False).alias("bad"), F.lit(False).alias("first"))
+        )
+
+    return F.aggregate(pieces, start, step)["at"].cast("string")
