@@ -198,13 +198,17 @@ def _plain_features(names: Names, starts: np.ndarray, ends: np.ndarray) -> list[
     return out
 
 
-def word_features(words: list[str]) -> np.ndarray:
-    """The same hashes for words given one by one."""
+def _features_of(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     raw = [w.encode() for w in words]
     data = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum([len(w) for w in raw])
     starts = ends - np.array([len(w) for w in raw])
-    return np.concatenate([h for _, h in _plain_features(Names(BYTE_CODES[data]), starts, ends)])
+    return _plain_features(Names(BYTE_CODES[data]), starts, ends)
+
+
+def word_features(words: list[str]) -> np.ndarray:
+    """The same hashes for words given one by one."""
+    return np.concatenate([h for _, h in _features_of(words)])
 
 
 class Reader:
@@ -213,7 +217,7 @@ class Reader:
 
     def __init__(self, model: np.ndarray, wanted: np.ndarray | None = None):
         self.model = Characters(model)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, tuple[str, ...]] = {}
         self.wanted = wanted
         if wanted is not None:
             self.maybe = np.zeros(1 << 20, bool)
@@ -227,7 +231,8 @@ class Reader:
         at = np.minimum(np.searchsorted(self.wanted, hashes[few]), len(self.wanted) - 1)
         return few[self.wanted[at] == hashes[few]]
 
-    def _restored(self, written: bytes, spaced: bool = False) -> np.ndarray:
+    def _restored(self, written: bytes, spaced: bool = False) -> tuple[str, ...]:
+        """The words that what is written may stand for."""
         kept = self.known.get(written)
         if kept is None:
             if len(self.known) > KEPT_WORDS:
@@ -246,7 +251,7 @@ class Reader:
                     if spaced or _JOIN.search(core):
                         found.update(restore(w, self.model, True).split(" "))
             found.discard("")
-            kept = np.unique(word_features(sorted(found))) if found else np.zeros(0, np.uint64)
+            kept = tuple(found)
             if len(written) <= KEPT_LENGTH:
                 self.known[written] = kept
         return kept
@@ -277,14 +282,22 @@ class Reader:
             texts.append(text[plain[has[chosen]]])
             hashes.append(h[chosen])
         raw = data.tobytes()
-        for i in np.flatnonzero(noisy & letters):
-            h = self._restored(raw[starts[i] : ends[i]])
-            texts.append(np.full(len(h), text[i]))
-            hashes.append(h)
-        for t, written in lone:
-            h = self._restored(written.encode(), spaced=True)
-            texts.append(np.full(len(h), t))
-            hashes.append(h)
+        # Restored words of all these texts get their features at once.
+        places: dict[str, int] = {}
+        of_text: list[int] = []
+        of_word: list[int] = []
+        disguised = [(text[i], raw[starts[i] : ends[i]], False) for i in np.flatnonzero(noisy & letters)]
+        for t, written, spaced in [*disguised, *((t, written.encode(), True) for t, written in lone)]:
+            for word in self._restored(written, spaced):
+                of_text.append(t)
+                of_word.append(places.setdefault(word, len(places)))
+        if places:
+            for has, h in _features_of(list(places)):
+                at = np.full(len(places), -1)
+                at[has] = np.arange(len(has))
+                where = at[np.array(of_word)]
+                texts.append(np.array(of_text)[where >= 0])
+                hashes.append(h[where[where >= 0]])
         texts, hashes = np.concatenate(texts), np.concatenate(hashes)
         chosen = self._chosen(hashes)
         texts, hashes = texts[chosen], hashes[chosen]
