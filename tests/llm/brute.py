@@ -53,8 +53,8 @@ def shingles(text: str | None, size: int = 3) -> set:
     return {tuple(low[i : i + size]) for i in range(len(low) - size + 1)}
 
 
-def jaccard_classes(docs: list[tuple], threshold: int = 90) -> dict:
-    sets = [shingles(t) for _, t in docs]
+def jaccard_classes(docs: list[tuple], threshold: int = 90, shingle: int = 3) -> dict:
+    sets = [shingles(t, shingle) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(i: int) -> int:

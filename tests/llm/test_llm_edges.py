@@ -469,7 +469,7 @@ def test_pipeline_against_its_parts(spark, tmp_path):
 
     verdicts = {x["doc_id"]: x["kept"] for x in quality.apply_rules(table(spark, docs)).collect()}
     left = [(k, t) for k, t in docs if verdicts[k]]
-    classes = brute.jaccard_classes(left)
+    classes = brute.jaccard_classes(left, threshold=80, shingle=5)
     left = [(k, t) for k, t in left if classes[k][1] == k]
     cut = brute.byte_dedup(left)
     left = [(k, cut[k][4].decode("utf-8", "ignore")) for k, _ in left]
@@ -482,6 +482,31 @@ def test_pipeline_against_its_parts(spark, tmp_path):
     assert {x["doc_id"] for x in rows} == set(ids)
 
 
+def test_near_copies_of_one_word_in_fifty_go(spark):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(4000)]
+    docs, copies = [], []
+    for i, n in enumerate((50, 100, 500, 2000)):
+        text = [r.choice(words) for _ in range(n)]
+        changed = list(text)
+        for at in range(25, n, 50):
+            changed[at] = "other"
+        docs += [(10 * i, " ".join(text)), (10 * i + 1, " ".join(changed))]
+        copies.append(10 * i + 1)
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    left = {x["doc_id"] for x in stage(spark, table(spark, docs), "").collect()}
+    assert left == {k for k, _ in docs} - set(copies)
+    want = brute.jaccard_classes(docs, threshold=80, shingle=5)
+    assert left == {k for k, (_, c) in want.items() if c == k}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_five_words_and_four_fifths_against_brute_force(spark, seed):
+    docs = brute.corpus(seed + 20, 90)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.jaccard_classes(table(spark, docs), shingle=5, threshold=80).collect()}
+    assert got == brute.jaccard_classes(docs, threshold=80, shingle=5)
+
+
 def test_nothing_else_imports_this_subpackage():
     import pathlib
 
