@@ -18,6 +18,7 @@ from corpusprep.operators.packing import (
     shuffle_rows,
     take_duration,
     take_token_budget,
+    token_cube,
     token_report,
 )
 from corpusprep.operators.records import compare_responses, exchange_messages, extract_article, flatten_nested, map_text
@@ -57,6 +58,7 @@ __all__ = [
     "split_random",
     "take_duration",
     "take_token_budget",
+    "token_cube",
     "token_report",
     "with_position",
 ]

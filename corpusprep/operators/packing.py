@@ -257,6 +257,15 @@ def take_duration(
     return take_token_budget(df, tokens, order_by, amount * (batch_size * length if parsed[2] == "ba" else 1))
 
 
+def _report(tokens: str, length: int, batch_size: int) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(tokens).alias("n_tokens"),
+        F.expr(f"sum(`{tokens}`) div {int(length)}").alias("full_samples"),
+        F.expr(f"sum(`{tokens}`) div {int(length)} div {int(batch_size)}").alias("full_batches"),
+    ]
+
+
 def token_report(
     df: DataFrame,
     tokens: str,
@@ -265,11 +274,24 @@ def token_report(
     batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """Rows, tokens, full samples and full batches for each value of ``by``."""
-    total = F.sum(tokens)
-    samples = F.expr(f"sum(`{tokens}`) div {int(length)}")
-    return df.groupBy(*names(by)).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        total.alias("n_tokens"),
-        samples.alias("full_samples"),
-        F.expr(f"sum(`{tokens}`) div {int(length)} div {int(batch_size)}").alias("full_batches"),
-    )
+    return df.groupBy(*names(by)).agg(*_report(tokens, length, batch_size))
+
+
+def token_cube(
+    df: DataFrame,
+    tokens: str,
+    by: Sequence[str],
+    sets: Sequence[Sequence[str]] | None = None,
+    length: int = SAMPLE_LENGTH,
+    batch_size: int = BATCH_SIZE,
+) -> DataFrame:
+    """``token_report`` for several groupings at once, with one pass and one shuffle: the
+    given sets of the columns ``by``, or all of them down to the total. Columns that a
+    row is not grouped by are null; ``grouping`` has a bit for each of them, the first
+    column's is the highest, which tells them from values that are null."""
+    columns = [column(c) for c in by]
+    unknown = {c for s in sets or [] for c in s} - set(by)
+    if unknown:
+        raise ValueError(f"sets name columns that are not in by: {sorted(unknown)}")
+    grouped = df.cube(*columns) if sets is None else df.groupingSets([[column(c) for c in s] for s in sets], *columns)
+    return grouped.agg(F.grouping_id().cast("bigint").alias("grouping"), *_report(tokens, length, batch_size))

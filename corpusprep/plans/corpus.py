@@ -173,6 +173,22 @@ def token_report(spark: SparkSession, folder: str) -> DataFrame:
     return op.token_report(_counted(spark, folder), "n_tokens", "lang", length=SHORT, batch_size=64)
 
 
+def token_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """By language and split, each of them, and in all."""
+    counted = _split_documents(spark, folder).withColumn("n_tokens", fn.count_tokens("text") + 1)
+    return op.token_cube(counted, "n_tokens", ["lang", "split"], length=SHORT, batch_size=64)
+
+
+def token_budget_by_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The budget of ``token_budget``, over files in the order of their keys."""
+    path, counts = scratch_path(spark, "corpus"), scratch_path(spark, "token-counts")
+    documents(spark, folder).repartitionByRange(16, "doc_id").write.parquet(path)
+    n_tokens = fn.count_tokens("text") + 1
+    io.write_token_counts(spark, path, counts, n_tokens, "doc_id")
+    taken = io.take_counted_budget(spark, path, counts, n_tokens, "doc_id", 100_000)
+    return taken.select("doc_id", n_tokens.alias("n_tokens"), "epoch")
+
+
 # --- records ------------------------------------------------------------------------
 
 
@@ -225,6 +241,8 @@ QUERIES = {
     "duration_batches": duration_batches,
     "epoch_expand": epoch_expand,
     "token_report": token_report,
+    "token_cube": token_cube,
+    "token_budget_by_files": token_budget_by_files,
     "flatten_nested": flatten_nested,
     "response_comparison": response_comparison,
     "map_text": map_text,
@@ -314,6 +332,13 @@ ORACLES = {
           cast(sum(n_tokens) // {SHORT} as bigint) as full_samples,
           cast(sum(n_tokens) // {SHORT} // 64 as bigint) as full_batches
         from counted group by lang""",
+    "token_budget_by_files": _budget_sql("100000", "doc_id"),
+    "token_cube": f"""
+        with counted as (select lang, {_SPLIT_SQL} as split, {_COUNT_SQL} as n_tokens from documents)
+        select lang, split, cast(grouping_id(lang, split) as bigint) as grouping, count(*) as n_rows,
+          cast(sum(n_tokens) as bigint) as n_tokens, cast(sum(n_tokens) // {SHORT} as bigint) as full_samples,
+          cast(sum(n_tokens) // {SHORT} // 64 as bigint) as full_batches
+        from counted group by grouping sets ((lang, split), (lang), (split), ())""",
     "flatten_nested": """
         with opened as (
           select doc_id, lang, unnest(string_split(text, chr(10))) as line_text,

@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+from corpusprep.sources.counted import StaleSidecar, take_counted_budget, write_token_counts
 from corpusprep.sources.lines import read_chat_jsonl, write_jsonl
 from corpusprep.sources.shards import SampleShards, drop_unlisted, read_shards, shard_of, shuffle_spread, shuffled_shards, write_shards
 from corpusprep.sources.tables import read_packed, read_table, write_packed
@@ -13,6 +14,7 @@ from corpusprep.sources.text_folder import (
 __all__ = [
     "NameCollision",
     "SampleShards",
+    "StaleSidecar",
     "drop_unlisted",
     "export_name_collisions",
     "read_chat_jsonl",
@@ -23,8 +25,10 @@ __all__ = [
     "shard_of",
     "shuffle_spread",
     "shuffled_shards",
+    "take_counted_budget",
     "write_jsonl",
     "write_packed",
     "write_shards",
     "write_text_folder",
+    "write_token_counts",
 ]
