@@ -14,10 +14,9 @@ once for each 16 words, and its length as if all were different, so the cosine w
 an item that follows in the latent space is about the true one or more; at
 ``CANDIDATE`` and above it is checked word by word. In running text the words around
 a short item, or what is left of one, keep the cosine low. So an item is also checked
-where the passage's product with it, which other words do not lower, is at least what
-the lightest words that make up ``PARAPHRASE`` of the item weigh; for that, passages
-(``HOLDING``) are so large that one of them holds the item whole. A passage whose words
-of the benchmark's vocabulary weigh too little for any item is passed over.
+where a passage has ``PARAPHRASE`` of its words; for that, passages (``HOLDING``) are so
+large that one of them holds the item whole. Such a passage has some of the item's
+rarest words, so an index from those to the items names the few passages to look at.
 
 The check: the longest common subsequence of words between the item and the passage
 with its surroundings, as a share of the item, is at least ``VERBATIM``; or it is at
@@ -28,8 +27,10 @@ A benchmark is taken in blocks of at most ``BLOCK`` passages, a pass over the do
 for each block; that bounds what tasks are sent, and keeps the factors as many as the
 passages, so that the retrieval loses nothing against the full cosine.
 
-Defined results: null and empty texts hold nothing; items with fewer than ``LEAST``
-words, and null ones, are left out; equal rows get equal rows; a null key is carried
+An item of fewer than ``LEAST`` words is found where exactly these follow each other.
+
+Defined results: null and empty texts hold nothing; items without a word, and null
+ones, are left out; equal rows get equal rows; a null key is carried
 through; an empty benchmark finds nothing.
 """
 
@@ -123,16 +124,6 @@ def weighted(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # --- the benchmark --------------------------------------------------------------
 
 
-def least_product(words: np.ndarray, idf: np.ndarray) -> float:
-    """The least that a passage with ``PARAPHRASE`` of an item's words has as its product
-    with the item: the words that weigh least, and each word once."""
-    terms, count = np.unique(words, return_counts=True)
-    each = np.sqrt(count) * idf[_bins(terms)].astype(np.float64) ** 2
-    order = np.argsort(each / count)
-    left = int(np.ceil(PARAPHRASE * len(words) - 1e-9)) - np.concatenate([[0], np.cumsum(count[order])[:-1]])
-    return float((each[order] * np.clip(left / count[order], 0, 1)).sum())
-
-
 class Item:
     """A benchmark item, or a cut of a long one."""
 
@@ -151,7 +142,7 @@ def _one(text: str) -> np.ndarray:
 
 def items_of(key, text: str) -> list[Item]:
     words = _one(text)
-    if len(words) < LEAST:
+    if not len(words):
         return []
     last = _SENTENCE.search(text)
     answer = np.unique(_one(last.group(0) if last else text))
@@ -241,29 +232,52 @@ class Search:
 
     def __init__(self, items: list[Item], idf: np.ndarray, terms: np.ndarray, factors: np.ndarray):
         self.items, self.idf, self.terms, self.factors = items, idf, terms, factors
-        latent = np.zeros((len(items), factors.shape[1]), np.float32)
-        least, spread = np.zeros(len(items)), np.ones(len(items))
+        self.latent = np.zeros((len(items), factors.shape[1]), np.float32)
         for i, item in enumerate(items):
             t, w = weighted(item.words, idf)
-            at = np.searchsorted(terms, t)
             norm = max(float(np.sqrt((w * w).sum())), 1e-9)
-            latent[i] = w.astype(np.float32) @ factors[at] / norm
-            least[i] = (1 - 1e-4) * least_product(item.words, idf) / norm  # less what rounding may take
-            spread[i] = np.sqrt(np.unique(item.words, return_counts=True)[1].max()) / norm
-        #: (words, stride, items, their latent vectors, least products and what a hit's weight counts at most)
-        self.passes = []
+            self.latent[i] = w.astype(np.float32) @ factors[np.searchsorted(terms, t)] / norm
         n = np.array([len(item.words) for item in items])
         #: The places of the items' words among the terms, one past the end behind them.
         self.places = np.full((len(items), n.max(initial=1)), len(terms))
         for i, item in enumerate(items):
             self.places[i, : n[i]] = np.searchsorted(terms, item.words)
         self.present = np.zeros(len(terms) + 1, bool)
+        #: (words, stride, items) to compare by their latent vectors
+        self.passes = []
         for scale, (size, stride) in enumerate(SCALES):
-            own = np.flatnonzero([item.scale == scale for item in items])
-            self.passes.append((size, stride, own, latent[own], None, None))
-        for before, (size, stride, most) in zip((0, *(h[2] for h in HOLDING)), HOLDING, strict=False):
+            own = np.flatnonzero([item.scale == scale and len(item.words) >= LEAST for item in items])
+            self.passes.append((size, stride, own))
+        #: (words, stride, rarest words of the items as an index: bounds by term, items and their share)
+        self.holding = []
+        for before, (size, stride, most) in zip((LEAST - 1, *(h[2] for h in HOLDING)), HOLDING, strict=False):
             own = np.flatnonzero((n > before) & (n <= most))
-            self.passes.append((size, stride, own, latent[own], least[own], spread[own]))
+            if len(own):
+                self.holding.append((size, stride, *self._rarest(own, n)))
+        #: Items of a few words, by the name of their sequence.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i in np.flatnonzero(n < LEAST):
+            name = int(Names(items[i].words).every(int(n[i]))[0])
+            self.short.setdefault(int(n[i]), {}).setdefault(name, []).append(int(i))
+
+    def _rarest(self, own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Who has ``need`` of an item's n words has at least ``asked`` of its rarest
+        n - need + asked. By term: the items that it is one of these of, and how often, in
+        shares of what is asked."""
+        term, item, share = [], [], []
+        for i in own:
+            need = int(np.ceil(PARAPHRASE * n[i] - 1e-9))
+            asked = max(1, need // 4)
+            t, count = np.unique(self.places[i, : n[i]], return_counts=True)
+            order = np.argsort(-self.idf[_bins(self.terms[t])], kind="stable")
+            enough = int(np.searchsorted(np.cumsum(count[order]), n[i] - need + asked)) + 1
+            chosen = order[:enough]
+            term.append(t[chosen])
+            item.append(np.full(len(chosen), i))
+            share.append(count[chosen] / asked)
+        term, item, share = np.concatenate(term), np.concatenate(item), np.concatenate(share)
+        order = np.argsort(term, kind="stable")
+        return np.searchsorted(term[order], np.arange(len(self.terms) + 1)), item[order], share[order]
 
     def find(self, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """(text, item): cosine, common share and answer share of the best passage."""
@@ -287,40 +301,82 @@ class Search:
         np.multiply(self.factors[term[at]], weight[at][:, None], out=running[1:])
         np.cumsum(running, axis=0, out=running)
         upto = np.searchsorted(block[at], np.arange(first[-1] + 1))
-        for size, stride, own, latent, least, spread in self.passes:
-            if not len(own):
-                continue
-            count = np.maximum(-(-(np.diff(edges) - stride) // stride), 1) * (np.diff(edges) > 0)
+        lengths = np.diff(edges)
+
+        def passages(size: int, stride: int):
+            count = np.maximum(-(-(lengths - stride) // stride), 1) * (lengths > 0)
             text = np.repeat(np.arange(len(count)), count)
             place = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * stride
             lo = edges[:-1][text] + place
-            hi = np.minimum(lo + size, edges[1:][text])
+            return count, text, place, lo, np.minimum(lo + size, edges[1:][text])
+
+        def latents(size: int, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+            begin = first[text] + place // STEP
+            end = np.minimum(begin + size // STEP, first[text + 1])
+            return (running[upto[end]] - running[upto[begin]]).astype(np.float32)
+
+        for size, stride, own in self.passes:
+            if not len(own):
+                continue
+            _, text, place, lo, hi = passages(size, stride)
             total = mass[hi] - mass[lo]
-            enough = CANDIDATE**2 * total if least is None else (least / spread).min()
-            usable = np.flatnonzero((hits[hi] - hits[lo] >= enough) & (total > 0))
+            usable = np.flatnonzero((hits[hi] - hits[lo] >= CANDIDATE**2 * total) & (total > 0))
             for start in range(0, len(usable), WINDOWS_AT_ONCE):
                 some = usable[start : start + WINDOWS_AT_ONCE]
-                begin = first[text[some]] + place[some] // STEP
-                end = np.minimum(begin + size // STEP, first[text[some] + 1])
-                latents = (running[upto[end]] - running[upto[begin]]).astype(np.float32)
-                cos = latents @ latent.T
-                likely = cos >= least if least is not None else None
-                if likely is not None:
-                    self._hold_enough(likely, own, term, hit, lo[some], hi[some])
-                cos /= np.sqrt(total[some])[:, None]
-                for k, i in zip(*np.nonzero(cos >= CANDIDATE if likely is None else likely), strict=True):
+                cos = latents(size, text[some], place[some]) @ self.latent[own].T / np.sqrt(total[some])[:, None]
+                for k, i in zip(*np.nonzero(cos >= CANDIDATE), strict=True):
                     self._check(int(text[some[k]]), int(own[i]), float(min(cos[k, i], 1.0)), words, edges, int(lo[some[k]]), int(hi[some[k]]), found)
+        there = np.flatnonzero(hit)
+        of_text = np.searchsorted(edges, there, "right") - 1
+        for size, stride, bounds_of, items, share in self.holding:
+            count, text, place, lo, hi = passages(size, stride)
+            before = np.cumsum(count) - count
+            many = bounds_of[term[there] + 1] - bounds_of[term[there]]
+            rare = np.repeat(np.arange(len(there)), many)
+            entry = bounds_of[term[there]][rare] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            # A word lies in the passages that begin in the last ``size`` words.
+            pairs = []
+            at_word = there[rare] - edges[of_text[rare]]
+            for back in range(size // stride):
+                k = at_word // stride - back
+                inside = (k >= 0) & (k < count[of_text[rare]])
+                inside[inside] = at_word[inside] < k[inside] * stride + size
+                pairs.append(((before[of_text[rare]] + k)[inside], entry[inside]))
+            window, entry = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            each = np.unique(np.stack([window, entry], 1), axis=0)  # a word counts once in a passage
+            if not len(each):
+                continue
+            both = each[:, 0] * len(self.items) + items[each[:, 1]]
+            pair, which = np.unique(both, return_inverse=True)
+            pair = pair[np.bincount(which, weights=share[each[:, 1]]) >= 1 - 1e-9]
+            for w, i in self._hold_enough(pair // len(self.items), pair % len(self.items), term, hit, lo, hi):
+                total = max(float(mass[hi[w]] - mass[lo[w]]), 1e-9)
+                cos = float((latents(size, text[w : w + 1], place[w : w + 1]) @ self.latent[i])[0] / np.sqrt(total))
+                self._check(int(text[w]), i, min(cos, 1.0), words, edges, int(lo[w]), int(hi[w]), found)
+        for n, names in self.short.items():
+            wanted = np.array(sorted(names), np.uint64)
+            every = Names(words).every(n) if len(words) >= n else np.zeros(0, np.uint64)
+            near = np.minimum(np.searchsorted(wanted, every), len(wanted) - 1)
+            for p in np.flatnonzero(wanted[near] == every):
+                t = int(np.searchsorted(edges, p, "right")) - 1
+                if p + n <= edges[t + 1]:
+                    for i in names[int(every[p])]:
+                        if np.array_equal(words[p : p + n], self.items[i].words):
+                            found[(t, i)] = (1.0, 1.0, 1.0)
         return found
 
-    def _hold_enough(self, likely, own, term, hit, lo, hi) -> None:
-        """Of the likely pairs, those where the passage has ``PARAPHRASE`` of the words."""
-        for k in np.flatnonzero(likely.any(1)):
-            here = term[lo[k] : hi[k]][hit[lo[k] : hi[k]]]
-            mine = np.flatnonzero(likely[k])
-            places = self.places[own[mine]]
+    def _hold_enough(self, windows, items, term, hit, lo, hi) -> Iterator[tuple[int, int]]:
+        """Of the pairs, those where the passage has ``PARAPHRASE`` of the item's words."""
+        edge = np.flatnonzero(np.diff(windows, prepend=-1, append=-1))
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            w, mine = int(windows[a]), items[a:b]
+            here = term[lo[w] : hi[w]][hit[lo[w] : hi[w]]]
+            places = self.places[mine]
             self.present[here] = True
-            likely[k, mine] = self.present[places].sum(1) >= PARAPHRASE * (places < len(self.terms)).sum(1)
+            held = self.present[places].sum(1) >= PARAPHRASE * (places < len(self.terms)).sum(1)
             self.present[here] = False
+            for i in mine[held]:
+                yield w, int(i)
 
     def _check(self, text, i, cos, words, edges, lo, hi, found) -> None:
         item = self.items[i]
