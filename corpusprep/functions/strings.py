@@ -60,7 +60,7 @@ class PromptText:
     response_key: str
 
 
-# This package's own default prompt lines; pass a PromptText to use others.
+# The default prompt lines; pass a PromptText to use others.
 DOCSTRING_PROMPT = PromptText(
     instruction="The following is a pyspark function definition. "
     "Write a numpy style docstring for the provided function definition.",
