@@ -358,7 +358,8 @@ def numbered(df: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
         return rows.withColumn(SEQ, F.lit(0))
     rows = rows.withColumn("__h", F.pmod(F.xxhash64(TEXT), F.lit(NUMBERING)))
     place = F.row_number().over(W.partitionBy(KEY, "__h").orderBy(F.xxhash64(TEXT, F.lit(1)), TEXT)) - 1
-    return rows.withColumn(SEQ, (place * NUMBERING + F.col("__h")).cast("int")).drop("__h")
+    # Long: a third of all rows may have one key.
+    return rows.withColumn(SEQ, place.cast("long") * NUMBERING + F.col("__h")).drop("__h")
 
 
 def repeated_spans(texts: DataFrame, method: Method) -> DataFrame:

@@ -514,3 +514,12 @@ def test_nothing_else_imports_this_subpackage():
     for path in root.rglob("*.py"):
         if "llm" not in path.parts:
             assert "corpusprep.llm" not in path.read_text()
+
+
+def test_numbers_of_rows_with_one_key_are_long(spark):
+    """2,097,152 rows in one part of the numbering are beyond a 32-bit product."""
+    rows = repeats.numbered(table(spark, EDGES), "doc_id", "text", [])
+    assert rows.schema[repeats.SEQ].dataType.simpleString() == "bigint"
+    far = spark.range(1).select(F.expr("cast(id + 3000000 as int)").alias("place"))
+    assert far.select(F.col("place").cast("long") * repeats.NUMBERING).first()[0] == 3_072_000_000
+    assert 3_072_000_000 < 1 << 32  # the width of a sequence number in packed rows
