@@ -469,7 +469,7 @@ def test_pipeline_against_its_parts(spark, tmp_path):
 
     verdicts = {x["doc_id"]: x["kept"] for x in quality.apply_rules(table(spark, docs)).collect()}
     left = [(k, t) for k, t in docs if verdicts[k]]
-    classes = brute.jaccard_classes(left, threshold=80, shingle=5)
+    classes = brute.jaccard_classes(left)
     left = [(k, t) for k, t in left if classes[k][1] == k]
     cut = brute.byte_dedup(left)
     left = [(k, cut[k][4].decode("utf-8", "ignore")) for k, _ in left]
@@ -493,8 +493,7 @@ def test_near_copies_of_one_word_in_fifty_go(spark):
             changed[at] = "other"
         docs += [(10 * i, " ".join(text)), (10 * i + 1, " ".join(changed))]
         copies.append(10 * i + 1)
-    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
-    left = {x["doc_id"] for x in stage(spark, table(spark, docs), "").collect()}
+    left = {x["doc_id"] for x in jaccard.one_of_each(table(spark, docs), shingle=5, threshold=80).collect()}
     assert left == {k for k, _ in docs} - set(copies)
     want = brute.jaccard_classes(docs, threshold=80, shingle=5)
     assert left == {k for k, (_, c) in want.items() if c == k}
