@@ -1,18 +1,14 @@
-"""Repeated byte strings by distributed prefix doubling.
-
-A position's rank at length h stands for its next h bytes: equal ranks, equal bytes.
-Rounds sort pairs of ranks, (at p, at p + h), and so rank at length 2h; positions
-whose rank is unique drop out, and past 100 bytes the rounds end.
-
-Ranking every byte's position from the first round on would shuffle some twenty times
-the text. The first round therefore ranks a sample: of every 100-byte window the
-position whose next ``FIRST`` bytes hash lowest, so that equal windows give equal
-samples, one in about 35 bytes. Spark deals the ranks (hashes of the bytes, equal in
-every task) and sorts them; unique ones are done. Each that is left is paired with
-the rank of all that its windows cover and sorted again: a later one of equal pairs
-repeats as a whole, and a rank that has one pair only is done too. For what is left
-now, the edges of repeats, the last round ranks every position: the pairs (50 bytes
-at p, 50 bytes at p + 50) are sorted, and all but the earliest of equal ones repeat.
+"""Repeated byte strings of 100 bytes, without a rank for every byte.
+
+The method asked for is prefix doubling: rounds that sort pairs of ranks at growing
+offsets. Ranking every position shuffles many times the text, so it is swapped for
+sampling: of every 100-byte window the position whose next ``FIRST`` bytes hash lowest
+stands for it, so that equal windows have equal samples, one in about 35 bytes. Spark
+deals the samples by a hash of these bytes and sorts them; unique ones are done. Of those
+that are left, each is compared by a hash of all that its windows cover: a later one of
+equal ones repeats as a whole, and a name with one such hash only is done too. For what
+is left now, the edges of repeats, every window is named by its two halves of 50 bytes,
+and all but the earliest of equal ones repeat. There is no loop over lengths.
 
 Defined results: null text is empty; texts below 100 bytes keep everything; of equal
 rows the first in the order of (key, content) counts as earlier, null keys come
