@@ -36,6 +36,9 @@ ITERATIONS = 8
 STRAY = 0.005
 NO_LANGUAGE = "und"
 
+#: Texts whose vectors are held at once (4096 numbers each).
+TEXTS_AT_ONCE = 512
+
 
 def _byte_map() -> np.ndarray:
     """Letters in lower case, bytes of other characters as they are, the rest blank."""
@@ -65,6 +68,12 @@ def counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.bincount(owner[ok] * DIMENSIONS + place[ok], minlength=n * DIMENSIONS).reshape(n, DIMENSIONS)
 
 
+def _slices(batch: pa.RecordBatch):
+    """Parts of a batch, bounded in bytes and in texts, as each text has a full vector."""
+    for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
+        yield from text_slices(batch.slice(i, TEXTS_AT_ONCE))
+
+
 def vectors(counted: np.ndarray, idf: np.ndarray) -> np.ndarray:
     v = np.log1p(counted.astype(np.float32)) * idf
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
@@ -74,7 +83,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with each feature, one row per task; place -1 counts the texts."""
     found, texts = np.zeros(DIMENSIONS, np.int64), 0
     for batch in batches:
-        for _, data, bounds in text_slices(batch):
+        for _, data, bounds in _slices(batch):
             found += (counts(data, bounds) > 0).sum(0)
             texts += len(bounds) - 1
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, DIMENSIONS), pa.int32()), pa.array(np.append(texts, found), pa.int64())], names=["place", "n"])
@@ -83,7 +92,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _vectors(idf: np.ndarray):
     def run(batches):
         for batch in batches:
-            for part, data, bounds in text_slices(batch):
+            for part, data, bounds in _slices(batch):
                 rows = vectors(counts(data, bounds), idf).astype("<f4")
                 yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "vector"])
 
@@ -146,7 +155,7 @@ def predict(df: DataFrame, model: dict, text: str = "text", keep: list[str] | No
     def run(batches):
         names = np.array([*model["languages"], NO_LANGUAGE], object)
         for batch in batches:
-            for part, data, bounds in text_slices(batch):
+            for part, data, bounds in _slices(batch):
                 n = len(bounds) - 1
                 near, score = np.full(n, len(names) - 1), np.zeros(n)
                 letters = np.asarray(part.column("__letters").to_numpy(zero_copy_only=False), bool)
