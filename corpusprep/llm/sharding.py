@@ -43,15 +43,18 @@ def node(name: str, *children: Node) -> Node:
     return Node(name, sum(c.weight for c in children), children)
 
 
-def even_tree(shards: int, weights: dict[int, float] | None = None) -> Node:
-    """Shards 0 to n - 1, four to a rack and eight to a region, of weight 1 if not
-    given. Shard 16 opens a third region."""
+def even_tree(shards: int, weights: dict[int, float] | None = None, base: int = 16) -> Node:
+    """Shards 0 to n - 1, of weight 1 if not given: the first ``base`` four to a rack
+    and eight to a region, each later one in a region of its own, so that growing past
+    ``base`` by a shard moves rows only into that shard."""
     leaf = lambda s: Node(f"s{s}", (weights or {}).get(s, 1.0), (), s)
-    racks = [[leaf(s) for s in range(r, min(r + RACK, shards))] for r in range(0, shards, RACK)]
+    first = min(shards, base)
+    racks = [[leaf(s) for s in range(r, min(r + RACK, first))] for r in range(0, first, RACK)]
     racks = [node(f"r{k}", *leaves) for k, leaves in enumerate(racks)]
     step = REGION // RACK
-    return node("root", *(node(f"g{k}", *racks[k * step : (k + 1) * step]) for k in range(-(-len(racks) // step))))
-
+    regions = [racks[k : k + step] for k in range(0, len(racks), step)]
+    regions += [[node(f"r{len(racks) + k}", leaf(s))] for k, s in enumerate(range(first, shards))]
+    return node("root", *(node(f"g{k}", *members) for k, members in enumerate(regions)))
 
 
 def _numbered(tree: Node) -> tuple[list[Node], int]:

@@ -112,11 +112,16 @@ def _hits(rules: DataFrame, n_rules: int, chars: int, shapes: list, judged: Data
     """For each url with a rule, the longest."""
     blocks, n_blocks = bloom_blocks(rules, n_rules)
     n_labels = _labels(F.col("host"))
-    keys = [
-        F.when((n_labels >= s["labels"]) & (F.length("path") >= s["path_chars"]), F.concat(F.substring_index("host", ".", -s["labels"]), F.substring("path", 1, s["path_chars"])))
-        for s in sorted(shapes)
-    ]
-    asked = judged.filter("host <> ''").select(F.col("page_id").alias("_k"), F.col("_url").alias("_u"), F.explode(F.array_compact(F.array(*keys))).alias("_key"))
+    # One constant of numbers, so the plan does not grow with the list.
+    wanted = F.split(F.lit(",".join(str((s["labels"] << 32) + s["path_chars"]) for s in sorted(shapes))), ",").cast("array<bigint>")
+
+    def candidate(shape: Column) -> Column:
+        labels = F.shiftright(shape, 32).cast("int")
+        chars = shape.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        key = F.concat(F.call_function("substring_index", F.col("host"), F.lit("."), -labels), F.substring(F.col("path"), F.lit(1), chars))
+        return F.when((n_labels >= labels) & (F.length("path") >= chars), key)
+
+    asked = judged.filter("host <> ''").select(F.col("page_id").alias("_k"), F.col("_url").alias("_u"), F.explode(F.array_compact(F.transform(wanted, candidate))).alias("_key"))
     block, words = _place(F.col("_key"), n_blocks)
     asked = asked.select("*", block.alias("_block"), *(w.alias(f"_w{i}") for i, w in enumerate(words)))
     set_bits = [F.col(f"_w{i}").bitwiseAND(F.col(f"w{i}")) == F.col(f"_w{i}") for i in range(4)]

@@ -522,3 +522,22 @@ def test_numbers_of_rows_with_one_key_are_long(spark):
     far = spark.range(1).select(F.expr("cast(id + 3000000 as int)").alias("place"))
     assert far.select(F.col("place").cast("long") * repeats.NUMBERING).first()[0] == 3_072_000_000
     assert 3_072_000_000 < 1 << 32  # the width of a sequence number in packed rows
+
+
+def test_new_shards_take_rows_only_into_themselves(spark):
+    keys = spark.range(4000).select(F.col("id").cast("string").alias("k"))
+    for n in (16, 17, 18, 21):
+        both = sharding.with_shard(sharding.with_shard(keys, "k", sharding.even_tree(n), "a"), "k", sharding.even_tree(n + 1), "b").collect()
+        moved = [r["b"] for r in both if r["a"] != r["b"]]
+        assert moved and set(moved) == {n}
+
+
+def test_many_rule_shapes_have_one_plan(spark):
+    """600 rules of different path lengths: the plan of a short list, the right rule."""
+    paths = ["/" + "a" * i for i in range(600)]
+    few, many = (spark.createDataFrame([("x.org" + p, "block") for p in ps], "rule string, verdict string") for ps in (paths[:2], paths))
+    pages = spark.createDataFrame([(i, f"http://www.X.org/{'a' * i}?q") for i in (0, 1, 77, 700)], "page_id long, url string")
+    expressions = [url_filter.filter_urls(pages, rules)._jdf.queryExecution().analyzed().toString().count("substring_index") for rules in (few, many)]
+    assert expressions[0] == expressions[1]
+    got = {r["page_id"]: r["rule"] for r in url_filter.filter_urls(pages, many).collect()}
+    assert got == {0: "x.org/", 1: "x.org/a", 77: "x.org/" + "a" * 77, 700: "x.org/" + "a" * 599}
