@@ -21,6 +21,7 @@ import sys
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 from urllib.parse import quote
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -43,17 +44,32 @@ MANIFEST = "manifest.parquet"
 SHARD_SAMPLES = 4096
 KINDS = {"int": ("<i4", pa.int32()), "bigint": ("<i8", pa.int64()), "string": (None, pa.string())}
 ROWS_AT_ONCE = 1024
+#: A task hands on so many bytes at once, and reads shards up to so many bytes.
+BYTES_AT_ONCE, BYTES_OF_TASK = 16 << 20, 64 << 20
 _LISTED = pa.schema([("split", pa.string()), ("shard", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("samples", pa.int64()), ("bytes", pa.int64()), ("file", pa.string()), ("kind", pa.string())])
 
 
-def _pack(kind: str, tokens: pa.ListScalar) -> bytes:
-    values = tokens.values
+def _packed(kind: str, tokens: pa.ListArray) -> Iterator[bytes]:
+    """The payloads of a batch's samples, cut out of its buffers."""
+    at = np.asarray(tokens.offsets).astype(np.int64)
+    values = tokens.values.slice(at[0], at[-1] - at[0])
+    at -= at[0]
     if values.null_count:
         raise ValueError("a sample holds a null token")
     if kind != "string":
-        return np.asarray(values).astype(KINDS[kind][0]).tobytes()
-    raw = [v.encode() for v in values.to_pylist()]
-    return np.array([len(raw), *map(len, raw)], "<i4").tobytes() + b"".join(raw)
+        numbers = np.asarray(values).astype(KINDS[kind][0])
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield numbers[a:b].tobytes()
+        return
+    values.validate(full=True)  # UTF-8
+    bounds, data = np.zeros(1, np.int64), b""
+    if len(values):
+        _, ends, data = values.buffers()
+        width = np.int64 if pa.types.is_large_string(values.type) else np.int32
+        bounds = np.frombuffer(ends, width)[values.offset : values.offset + len(values) + 1]
+    sizes, raw = np.diff(bounds).astype("<i4"), memoryview(data or b"")
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        yield b"".join([np.array([b - a], "<i4").tobytes(), sizes[a:b].tobytes(), raw[bounds[a] : bounds[b]]])
 
 
 def _unpack(kind: str, payload: bytes) -> np.ndarray | list[str]:
@@ -64,6 +80,20 @@ def _unpack(kind: str, payload: bytes) -> np.ndarray | list[str]:
     return [payload[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+def _unpacked(kind: str, payloads: Sequence[memoryview]) -> pa.ListArray:
+    """The samples of payloads as one array, without an object for a token."""
+    ends = lambda sizes: np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    if kind != "string":
+        dtype = np.dtype(KINDS[kind][0])
+        values = pa.array(np.frombuffer(b"".join(payloads), dtype), KINDS[kind][1])
+        return pa.ListArray.from_arrays(pa.array(ends([len(p) // dtype.itemsize for p in payloads])), values)
+    counts = [int.from_bytes(p[:4], "little") for p in payloads]
+    sizes = np.frombuffer(b"".join(p[4 : 4 + 4 * n] for p, n in zip(payloads, counts, strict=True)), "<i4")
+    data = b"".join(p[4 + 4 * n :] for p, n in zip(payloads, counts, strict=True))
+    values = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends(sizes)), pa.py_buffer(data))
+    return pa.ListArray.from_arrays(pa.array(ends(counts)), values)
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     shards: list[dict] = field(default_factory=list)
@@ -108,13 +138,12 @@ class _ShardWriter(DataSourceArrowWriter):
         done, at = _Written(), None
         for batch in iterator:
             splits, shards, numbers = (batch.column(i).to_pylist() for i in range(3))
-            tokens = batch.column(3)
-            for i, (split, shard, number) in enumerate(zip(splits, shards, numbers, strict=True)):
+            for split, shard, number, payload in zip(splits, shards, numbers, _packed(self.kind, batch.column(3)), strict=True):
                 if at is None or (at.row["split"], at.row["shard"]) != (split, shard):
                     if at is not None:
                         done.shards.append(at.close())
                     at = _Open(fs, root, split, shard, self.kind)
-                at.add(number, _pack(self.kind, tokens[i]))
+                at.add(number, payload)
         if at is not None:
             done.shards.append(at.close())
         return done
@@ -179,6 +208,15 @@ class Shard:
     def at(self, place: int) -> np.ndarray | list[str]:
         return _unpack(self.kind, self.file.read_at(int(self.offsets[place + 1] - self.offsets[place]), int(self.offsets[place])))
 
+    def payloads(self, places: Sequence[int]) -> Iterator[memoryview]:
+        """The payloads at the places, those that follow on each other in one read."""
+        cuts = [i for i in range(1, len(places)) if places[i] != places[i - 1] + 1]
+        for a, b in zip([0, *cuts], [*cuts, len(places)], strict=True):
+            ends = self.offsets[places[a] : places[a] + b - a + 1].tolist()
+            raw = memoryview(self.file.read_at(ends[-1] - ends[0], ends[0]))
+            for begin, end in zip(ends[:-1], ends[1:], strict=True):
+                yield raw[begin - ends[0] : end - ends[0]]
+
     def places(self, wanted: np.ndarray) -> np.ndarray:
         """Places of those wanted numbers that are here."""
         at = np.minimum(np.searchsorted(self.numbers, wanted), len(self.numbers) - 1)
@@ -210,10 +248,10 @@ class SampleShards(Sequence):
 
 @dataclass
 class _Shards(InputPartition):
-    """Shards that one task reads; with ``base``, the position of the first sample."""
+    """Windows of shards that one task reads one after the other, each with the position
+    of its first sample, if samples have one."""
 
-    shards: list[dict]
-    base: int | None = None
+    windows: list[tuple[list[dict], int | None]]
 
 
 class _ShardReader(DataSourceReader):
@@ -222,6 +260,8 @@ class _ShardReader(DataSourceReader):
         self.split = options.get("split")
         self.seed, self.window = options.get("seed"), int(options.get("window", "1"))
         self.numbers = np.array(sorted(set(json.loads(options["numbers"]))), np.int64) if "numbers" in options else None
+        self.tasks = int(options["tasks"])
+        self.tokens = options.get("tokens") != "false"
 
     def partitions(self) -> Sequence[InputPartition]:
         rows = [r for r in _manifest(self.path).to_pylist() if self.split is None or r["split"] == self.split]
@@ -229,32 +269,71 @@ class _ShardReader(DataSourceReader):
             low, high = (np.searchsorted(self.numbers, [r[c] for r in rows], s) for c, s in (("first", "left"), ("last", "right")))
             rows = [r for r, a, b in zip(rows, low, high, strict=True) if a < b]
         if self.seed is None:
-            return [_Shards([r]) for r in rows] or [_Shards([])]
+            return self._dealt([([r], None) for r in rows])
         rows.sort(key=lambda r: (_digest(f"{self.seed}:shard:{r['shard']}"), r["shard"]))
         out, base = [], 0
         for i in range(0, len(rows), self.window):
             part = rows[i : i + self.window]
-            out.append(_Shards(part, base))
+            out.append((part, base))
             base += sum(r["samples"] for r in part)
-        return out or [_Shards([], 0)]
+        return self._dealt(out)
+
+    def _dealt(self, windows: list[tuple[list[dict], int | None]]) -> list[_Shards]:
+        """Windows in their order, so many to a task that tasks grow with the bytes and not
+        with the number of shards."""
+        sizes = [sum(r["bytes"] for r in part) for part, _ in windows]
+        most = min(BYTES_OF_TASK, sum(sizes) / self.tasks)
+        out, filled = [_Shards([])], 0
+        for window, size in zip(windows, sizes, strict=True):
+            if filled and filled + size > most:
+                out.append(_Shards([]))
+                filled = 0
+            out[-1].windows.append(window)
+            filled += size
+        return out
 
     def read(self, partition: _Shards) -> Iterator[pa.RecordBatch]:
-        opened = [Shard(self.path, r) for r in partition.shards]
+        for shards, base in partition.windows:
+            yield from self._read_window(shards, base)
+
+    def _read_window(self, rows: list[dict], base: int | None) -> Iterator[pa.RecordBatch]:
+        opened = [Shard(self.path, r) for r in rows]
         entries = []
-        for s, (shard, row) in enumerate(zip(opened, partition.shards, strict=True)):
+        for s, (shard, row) in enumerate(zip(opened, rows, strict=True)):
             wanted = range(len(shard.numbers)) if self.numbers is None else shard.places(self.numbers).tolist()
             entries += [(s, p, int(shard.numbers[p]), row["split"]) for p in wanted]
-        if partition.base is not None:
+        if base is not None:
             entries.sort(key=lambda e: (_digest(f"{self.seed}:{e[2]}"), e[2]))
-        for i in range(0, len(entries), ROWS_AT_ONCE):
-            part = entries[i : i + ROWS_AT_ONCE]
-            kind = KINDS[partition.shards[0]["kind"]][1]
+        done = 0
+        for part in self._at_once(opened, entries):
             columns = {"split": pa.array([e[3] for e in part], pa.string()), "sample": pa.array([e[2] for e in part], pa.int64())}
-            columns["tokens"] = pa.array([opened[e[0]].at(e[1]) for e in part], pa.list_(kind))
-            if partition.base is not None:
-                columns["position"] = pa.array(range(partition.base + i, partition.base + i + len(part)), pa.int64())
+            if self.tokens:
+                payloads = [x for s, places in _runs(part) for x in opened[s].payloads(places)]
+                columns["tokens"] = _unpacked(rows[0]["kind"], payloads)
+            if base is not None:
+                columns["position"] = pa.array(range(base + done, base + done + len(part)), pa.int64())
+            done += len(part)
             yield pa.RecordBatch.from_pydict(columns)
 
+    def _at_once(self, opened: list[Shard], entries: list[tuple]) -> Iterator[list[tuple]]:
+        """Entries in their order, of bounded number and bytes."""
+        part, size = [], 0
+        for e in entries:
+            own = int(opened[e[0]].offsets[e[1] + 1] - opened[e[0]].offsets[e[1]])
+            if part and (len(part) == ROWS_AT_ONCE or size + own > BYTES_AT_ONCE):
+                yield part
+                part, size = [], 0
+            part.append(e)
+            size += own
+        if part:
+            yield part
+
+
+def _runs(entries: list[tuple]) -> Iterator[tuple[int, list[int]]]:
+    """The places of entries that follow on each other in one shard."""
+    for shard, some in groupby(entries, key=lambda e: e[0]):
+        yield shard, [e[1] for e in some]
+
 
 def _digest(text: str) -> str:
     import hashlib
@@ -272,7 +351,8 @@ class SampleShardSource(DataSource):
     def schema(self) -> str:
         listed = _manifest(self.options["path"].rstrip("/"))
         kind = listed["kind"][0].as_py() if listed.num_rows else "int"
-        return f"split string, sample bigint, tokens array<{kind}>" + (", position bigint" if "seed" in self.options else "")
+        tokens = "" if self.options.get("tokens") == "false" else f", tokens array<{kind}>"
+        return f"split string, sample bigint{tokens}" + (", position bigint" if "seed" in self.options else "")
 
     def reader(self, schema) -> DataSourceReader:
         return _ShardReader(self.options)
@@ -308,11 +388,16 @@ def write_shards(
     sent.write.format("sampleshards").option("kind", kind).mode("append" if mode == "error" else "overwrite").save(_qualified(spark, path))
 
 
+def _reader(spark: SparkSession) -> DataFrameReader:
+    spark.dataSource.register(SampleShardSource)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return spark.read.format("sampleshards").option("tasks", str(tasks))
+
+
 def read_shards(spark: SparkSession, path: str, split: str | None = None, numbers: Sequence[int] | None = None) -> DataFrame:
     """``split, sample, tokens``: all samples, those of one split, or those with the given
     numbers; then only shards that hold one are opened, and only its bytes read."""
-    spark.dataSource.register(SampleShardSource)
-    reader = spark.read.format("sampleshards")
+    reader = _reader(spark)
     if split is not None:
         reader = reader.option("split", split)
     if numbers is not None:
@@ -320,17 +405,17 @@ def read_shards(spark: SparkSession, path: str, split: str | None = None, number
     return reader.load(_qualified(spark, path))
 
 
-def shuffled_shards(spark: SparkSession, path: str, split: str = "", seed: int = 17, window: int = 8) -> DataFrame:
+def shuffled_shards(spark: SparkSession, path: str, split: str = "", seed: int = 17, window: int = 8, tokens: bool = True) -> DataFrame:
     """``split, sample, tokens, position``: the samples of a split in a seeded order that
     moves none of them between tasks. Shards are put in the order of their digests;
     ``window`` shards at a time, a task puts their samples in the order of theirs. It
     reads the windows' index and then one sample after the other. Windows of all shards
-    give the order of ``shuffle_into_order``; see ``shuffle_spread`` for smaller ones."""
+    give the order of ``shuffle_into_order``; see ``shuffle_spread`` for smaller ones.
+    Without ``tokens`` only the index is read."""
     if window < 1:
         raise ValueError("a window has one shard at least")
-    spark.dataSource.register(SampleShardSource)
-    reader = spark.read.format("sampleshards").option("split", split).option("seed", str(seed)).option("window", str(window))
-    return reader.load(_qualified(spark, path))
+    reader = _reader(spark).option("split", split).option("seed", str(seed)).option("window", str(window))
+    return reader.option("tokens", str(tokens).lower()).load(_qualified(spark, path))
 
 
 def shuffle_spread(positions: DataFrame, sample_col: str = "sample", position_col: str = "position") -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -158,3 +159,55 @@ def test_window_shuffle(spark, tmp_path, window):
     assert spread["n_samples"] == 200 and 0.5 < spread["moved"] < 1.5
     plain = io.shuffle_spread(spark.range(50).selectExpr("id as sample", "id as position")).first()
     assert (plain["moved"], plain["kept_next"]) == (0.0, 49)
+
+
+def test_a_task_reads_many_small_shards(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    io.write_shards(samples(spark, 230), path, split_col="split", shard_samples=1)
+    back = io.read_shards(spark, path)
+    assert back.rdd.getNumPartitions() <= 2 * 8 + 1  # of 230 shards, on eight cores
+    assert sorted(r["sample"] for r in back.collect()) == list(range(230))
+    reader = shards._ShardReader({"path": f"file:{path}", "tasks": "1"})
+    monkeypatch.setattr(shards, "BYTES_OF_TASK", 1000)
+    parts = reader.partitions()
+    sizes = [sum(r["bytes"] for rows, _ in p.windows for r in rows) for p in parts]
+    assert len(parts) > 8 and max(sizes) <= 1000 and sum(len(p.windows) for p in parts) == 230
+
+
+def test_a_task_reads_many_windows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    io.write_shards(samples(spark, 230, "string").drop("split"), path, shard_samples=2)
+    monkeypatch.setattr(shards, "ROWS_AT_ONCE", 3)
+    rows = io.shuffled_shards(spark, path, seed=5, window=2)
+    assert rows.rdd.getNumPartitions() <= 2 * 8 + 1  # of 58 windows
+    rows = rows.collect()
+    assert [r["position"] for r in rows] == list(range(230))
+    tokens = {r["sample"]: r["tokens"] for r in samples(spark, 230, "string").collect()}
+    assert {r["sample"]: r["tokens"] for r in rows} == tokens
+
+
+def test_without_tokens_only_the_index_is_read(spark, tmp_path):
+    path = str(tmp_path / "out")
+    io.write_shards(samples(spark, 40, "string").drop("split"), path, shard_samples=16)
+    whole = io.shuffled_shards(spark, path, window=2).drop("tokens")
+    for file in (tmp_path / "out").rglob("*.bin"):  # the index holds, the payloads do not
+        data = file.read_bytes()
+        n = int.from_bytes(data[-16:-8], "little")
+        tail = 8 * (2 * n + 2) + 8
+        file.write_bytes(bytes(len(data) - tail) + data[-tail:])
+    index = io.shuffled_shards(spark, path, window=2, tokens=False)
+    assert index.columns == ["split", "sample", "position"]
+    assert index.collect() == whole.collect() and index.count() == 40
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_payloads_of_a_batch_and_back(kind):
+    lists = [[], [1, 2], [3], [], [4, 5, 6]]
+    lists = [[f"wörd{x}" * (x % 3) for x in some] for some in lists] if kind == "string" else lists
+    whole = pa.array([[*lists[1]], *lists, [*lists[2]]], pa.list_(shards.KINDS[kind][1]))
+    payloads = list(shards._packed(kind, whole.slice(1, 5)))
+    assert [list(shards._unpack(kind, p)) for p in payloads] == lists
+    assert shards._unpacked(kind, [memoryview(p) for p in payloads]).to_pylist() == lists
+    assert list(shards._packed(kind, whole.slice(0, 0))) == [] and len(list(shards._packed(kind, whole.slice(1, 1)))) == 1
+    with pytest.raises(ValueError, match="null token"):
+        list(shards._packed(kind, pa.array([[None]], pa.list_(shards.KINDS[kind][1]))))
