@@ -104,10 +104,10 @@ def sharded_samples(spark: SparkSession, folder: str) -> DataFrame:
     return io.read_shards(spark, path).select("split", "sample", F.array_join("tokens", " ").alias("tokens"))
 
 
-def _window_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+def _window_shuffled(spark: SparkSession, folder: str, tokens: bool = True) -> DataFrame:
     path = scratch_path(spark, "shards")
     io.write_shards(_split_samples(spark, folder), path, split_col="split", shard_samples=SHARD)
-    return io.shuffled_shards(spark, path, "train_small", window=WINDOW)
+    return io.shuffled_shards(spark, path, "train_small", window=WINDOW, tokens=tokens)
 
 
 def window_shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +115,7 @@ def window_shuffled_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shuffle_spread(spark: SparkSession, folder: str) -> DataFrame:
-    return io.shuffle_spread(_window_shuffled(spark, folder))
+    return io.shuffle_spread(_window_shuffled(spark, folder, tokens=False))
 
 
 def packed_splits(spark: SparkSession, folder: str) -> DataFrame:
