@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -56,6 +57,18 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(target).toString()
 
 
+def _creator(fs: pafs.FileSystem) -> Callable:
+    """On a mounted folder the system's own files cost least."""
+    return (lambda path: open(path, "wb", buffering=0)) if isinstance(fs, pafs.LocalFileSystem) else fs.open_output_stream
+
+
+def _write_text(create: Callable, path: str, text: str) -> None:
+    with create(path) as out:
+        data = memoryview(text.encode("utf-8"))
+        while len(data):
+            data = data[out.write(data) or len(data) :]
+
+
 class _TextFolderWriter(DataSourceArrowWriter):
     """Tasks write every file under a temporary name and move it to its own name
     in a staging folder. A task that runs again, or twice at once, replaces its
@@ -80,7 +93,10 @@ class _TextFolderWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, stage = _open(self.stage)
-        part = f"{_open(self.parts)[1]}/{uuid.uuid4().hex}"
+        # A folder for each attempt, so that tasks do not wait for each other's entries.
+        part = f"{_open(self.parts)[1]}/{uuid.uuid4().hex}/part"
+        fs.create_dir(part.removesuffix("/part"))
+        create, move = _creator(fs), os.replace if isinstance(fs, pafs.LocalFileSystem) else fs.move
         made = set()
         for batch in iterator:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -88,9 +104,8 @@ class _TextFolderWriter(DataSourceArrowWriter):
                 if self.spread and folder not in made:
                     fs.create_dir(folder)
                     made.add(folder)
-                with fs.open_output_stream(part) as out:
-                    out.write(text.encode("utf-8"))
-                fs.move(part, f"{folder}/{name}.txt")
+                _write_text(create, part, text)
+                move(part, f"{folder}/{name}.txt")
         return _Done(stage)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -126,18 +141,14 @@ def _write_parts(uri: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(uri)
-        # On a mounted folder the system's own files cost least.
-        create = (lambda path: open(path, "wb", buffering=0)) if isinstance(fs, pafs.LocalFileSystem) else fs.open_output_stream
+        create = _creator(fs)
         attempt, folders, files = f"part-{uuid.uuid4().hex}", [], 0
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if files % FILES_PER_FOLDER == 0:
                     folders.append(f"{attempt}-{len(folders)}")
                     fs.create_dir(f"{root}/{folders[-1]}")
-                with create(f"{root}/{folders[-1]}/{name}.txt") as out:
-                    data = memoryview(text.encode("utf-8"))
-                    while len(data):
-                        data = data[out.write(data) or len(data) :]
+                _write_text(create, f"{root}/{folders[-1]}/{name}.txt", text)
                 files += 1
         yield pa.RecordBatch.from_pydict({"folder": pa.array(folders, pa.string())})
 
@@ -261,13 +272,15 @@ def write_text_folder(
 
 def _text_files(spark: SparkSession, path: str) -> DataFrame:
     """The ``.txt`` files below ``path`` as bytes; those that the manifest lists, if there
-    is one. Small files share a task up to ``spark.sql.files.maxPartitionBytes``."""
+    is one. Spark counts a small file as ``spark.sql.files.openCostInBytes``, which makes a
+    task of a few; here tasks are at most as many as shuffles have parts, or cores."""
     listed = _listed_folders(_qualified(spark, path))
     root = path.rstrip("/")
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
     if listed == []:
         return reader.load(root).filter("false")
-    return reader.load(root if listed is None else [f"{root}/{folder}" for folder in listed])
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return reader.load(root if listed is None else [f"{root}/{folder}" for folder in listed]).coalesce(tasks)
 
 
 def _name_of_file() -> Column:

@@ -145,3 +145,18 @@ def test_export_takes_no_longer_than_row_by_row(spark, tmp_path):
 
     print("manifest", seconds(ours), "row by row", seconds(theirs))
     assert len(read(spark, f"{out}/ours0")) == 10000
+
+
+@pytest.mark.parametrize("commit", ["move", "manifest"])
+def test_a_task_reads_many_small_files(spark, tmp_path, commit):
+    path = str(tmp_path / "out")
+    rows = [(f"a/doc.{i}", f"téxt {i}") for i in range(400)]
+    io.write_text_folder(spark.createDataFrame(rows, SCHEMA).repartition(4), "id", "text", path, commit=commit)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # by Spark's count of a file's cost: one each
+    try:
+        back = io.read_text_folder(spark, path)
+        assert back.rdd.getNumPartitions() <= 8
+        assert {r["name"]: r["text"] for r in back.collect()} == {f"doc_{i}": f"téxt {i}" for i in range(400)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
