@@ -62,6 +62,7 @@ LEAST = 5
 BLOCK = 512
 OVERSAMPLING = 8
 WINDOWS_AT_ONCE = 4096
+BLOCKS_AT_ONCE = 512
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -231,13 +232,15 @@ class Search:
     """Finds items in texts."""
 
     def __init__(self, items: list[Item], idf: np.ndarray, terms: np.ndarray, factors: np.ndarray):
-        self.items, self.idf, self.terms, self.factors = items, idf, terms, factors
+        self.items, self.idf, self.terms = items, idf, terms
         self.latent = np.zeros((len(items), factors.shape[1]), np.float32)
         for i, item in enumerate(items):
             t, w = weighted(item.words, idf)
             norm = max(float(np.sqrt((w * w).sum())), 1e-9)
             self.latent[i] = w.astype(np.float32) @ factors[np.searchsorted(terms, t)] / norm
         n = np.array([len(item.words) for item in items])
+        #: A term's factor times its weight.
+        self.weighted = factors * idf[_bins(terms)].astype(np.float64)[:, None]
         #: The places of the items' words among the terms, one past the end behind them.
         self.places = np.full((len(items), n.max(initial=1)), len(terms))
         for i, item in enumerate(items):
@@ -260,10 +263,11 @@ class Search:
             name = int(Names(items[i].words).every(int(n[i]))[0])
             self.short.setdefault(int(n[i]), {}).setdefault(name, []).append(int(i))
 
-    def _rarest(self, own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _rarest(self, own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Who has ``need`` of an item's n words has at least ``asked`` of its rarest
-        n - need + asked. By term: the items that it is one of these of, and how often, in
-        shares of what is asked."""
+        n - need + asked. Bounds by term of its entries, one for each item that it is one of
+        these of; their places in the order of items; and there, the items and how often they
+        hold the term, in shares of what is asked."""
         term, item, share = [], [], []
         for i in own:
             need = int(np.ceil(PARAPHRASE * n[i] - 1e-9))
@@ -276,8 +280,10 @@ class Search:
             item.append(np.full(len(chosen), i))
             share.append(count[chosen] / asked)
         term, item, share = np.concatenate(term), np.concatenate(item), np.concatenate(share)
-        order = np.argsort(term, kind="stable")
-        return np.searchsorted(term[order], np.arange(len(self.terms) + 1)), item[order], share[order]
+        by_item, by_term = np.lexsort((term, item)), np.lexsort((item, term))
+        place_of = np.empty(len(term), np.int64)
+        place_of[by_item] = np.arange(len(term))
+        return np.searchsorted(term[by_term], np.arange(len(self.terms) + 1)), place_of[by_term], item[by_item], share[by_item]
 
     def find(self, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """(text, item): cosine, common share and answer share of the best passage."""
@@ -290,17 +296,11 @@ class Search:
         hit = self.terms[term] == words
         mass = np.concatenate([[0], np.cumsum(weight**2)])
         hits = np.concatenate([[0], np.cumsum(np.where(hit, weight**2, 0))])
-        # Latent vectors of blocks; passages are sums of blocks next to each other.
         first = np.concatenate([[0], np.cumsum(-(-np.diff(edges) // STEP))])
         text = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
         block = first[text] + (np.arange(len(words)) - edges[text]) // STEP
-        at = np.flatnonzero(hit)
-        at = at[np.unique(block[at] * len(self.terms) + term[at], return_index=True)[1]]  # once in a block
-        at = at[np.argsort(block[at], kind="stable")]
-        running = np.zeros((len(at) + 1, self.factors.shape[1]))
-        np.multiply(self.factors[term[at]], weight[at][:, None], out=running[1:])
-        np.cumsum(running, axis=0, out=running)
-        upto = np.searchsorted(block[at], np.arange(first[-1] + 1))
+        there = np.flatnonzero(hit)
+        blocks = self._blocks(block[there], term[there], int(first[-1]))
         lengths = np.diff(edges)
 
         def passages(size: int, stride: int):
@@ -313,7 +313,11 @@ class Search:
         def latents(size: int, text: np.ndarray, place: np.ndarray) -> np.ndarray:
             begin = first[text] + place // STEP
             end = np.minimum(begin + size // STEP, first[text + 1])
-            return (running[upto[end]] - running[upto[begin]]).astype(np.float32)
+            out = blocks[begin].astype(np.float64)
+            for k in range(1, size // STEP):
+                own = np.flatnonzero(begin + k < end)
+                out[own] += blocks[begin[own] + k]
+            return out.astype(np.float32)
 
         for size, stride, own in self.passes:
             if not len(own):
@@ -326,9 +330,8 @@ class Search:
                 cos = latents(size, text[some], place[some]) @ self.latent[own].T / np.sqrt(total[some])[:, None]
                 for k, i in zip(*np.nonzero(cos >= CANDIDATE), strict=True):
                     self._check(int(text[some[k]]), int(own[i]), float(min(cos[k, i], 1.0)), words, edges, int(lo[some[k]]), int(hi[some[k]]), found)
-        there = np.flatnonzero(hit)
         of_text = np.searchsorted(edges, there, "right") - 1
-        for size, stride, bounds_of, items, share in self.holding:
+        for size, stride, bounds_of, place_of, items, share in self.holding:
             count, text, place, lo, hi = passages(size, stride)
             before = np.cumsum(count) - count
             many = bounds_of[term[there] + 1] - bounds_of[term[there]]
@@ -341,14 +344,14 @@ class Search:
                 k = at_word // stride - back
                 inside = (k >= 0) & (k < count[of_text[rare]])
                 inside[inside] = at_word[inside] < k[inside] * stride + size
-                pairs.append(((before[of_text[rare]] + k)[inside], entry[inside]))
-            window, entry = (np.concatenate(x) for x in zip(*pairs, strict=True))
-            each = np.unique(np.stack([window, entry], 1), axis=0)  # a word counts once in a passage
+                pairs.append((before[of_text[rare]] + k)[inside] * len(items) + place_of[entry[inside]])
+            each = np.unique(np.concatenate(pairs))  # a word counts once in a passage
             if not len(each):
                 continue
-            both = each[:, 0] * len(self.items) + items[each[:, 1]]
-            pair, which = np.unique(both, return_inverse=True)
-            pair = pair[np.bincount(which, weights=share[each[:, 1]]) >= 1 - 1e-9]
+            window, entry = np.divmod(each, len(items))
+            both = window * len(self.items) + items[entry]  # in order, as the entries are
+            start = np.flatnonzero(np.diff(both, prepend=-1))
+            pair = both[start[np.add.reduceat(share[entry], start) >= 1 - 1e-9]]
             for w, i in self._hold_enough(pair // len(self.items), pair % len(self.items), term, hit, lo, hi):
                 total = max(float(mass[hi[w]] - mass[lo[w]]), 1e-9)
                 cos = float((latents(size, text[w : w + 1], place[w : w + 1]) @ self.latent[i])[0] / np.sqrt(total))
@@ -365,6 +368,24 @@ class Search:
                             found[(t, i)] = (1.0, 1.0, 1.0)
         return found
 
+    def _blocks(self, block: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """The latent vectors of the blocks, where a term counts once."""
+        pairs = np.unique(block * len(self.terms) + term)
+        block, term = np.divmod(pairs, len(self.terms))
+        starts = np.searchsorted(block, np.arange(n + 1))
+        out = np.zeros((n, self.weighted.shape[1]))
+        for low in range(0, n, BLOCKS_AT_ONCE):
+            begin, end = starts[low : low + BLOCKS_AT_ONCE + 1][:-1], starts[low + 1 : low + BLOCKS_AT_ONCE + 1]
+            # The longest first: those with a k-th term are the first ones.
+            order = np.argsort(begin - end, kind="stable")
+            begin, count = begin[order], (end - begin)[order]
+            vectors = np.zeros((len(order), self.weighted.shape[1]))
+            for k in range(int(count[0])):
+                m = int(np.searchsorted(-count, -k, "left"))
+                vectors[:m] += self.weighted[term[begin[:m] + k]]
+            out[low + order] = vectors
+        return out
+
     def _hold_enough(self, windows, items, term, hit, lo, hi) -> Iterator[tuple[int, int]]:
         """Of the pairs, those where the passage has ``PARAPHRASE`` of the item's words."""
         edge = np.flatnonzero(np.diff(windows, prepend=-1, append=-1))

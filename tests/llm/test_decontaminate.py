@@ -58,3 +58,16 @@ def test_items_of_a_few_words_are_found_as_they_are():
     raw = [b"he said: TIC, tac!", b"tic", b"tac", b"tac tic", b"zero one two three (four) five", b"one two four three", b"he plays solo", b"solos"]
     data, bounds = np.frombuffer(b" ".join(raw) + b" ", np.uint8), np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])])
     assert set(search.find(data, bounds)) == {(0, 0), (4, 1), (6, 2)}
+
+
+def test_vectors_of_blocks_against_plain_sums(monkeypatch):
+    """One row per block of words, not one per word, each the sum of its different terms."""
+    monkeypatch.setattr(d, "BLOCKS_AT_ONCE", 4)
+    rng = np.random.default_rng(5)
+    search = search_of([" ".join(f"w{i}" for i in range(40))])
+    search.weighted = rng.standard_normal((len(search.terms), 7))
+    block = np.sort(rng.choice([0, 1, 2, 5, 8, 9, 12], 90))
+    term = rng.integers(0, len(search.terms), 90)
+    plain = np.array([search.weighted[np.unique(term[block == b])].sum(0) for b in range(13)])
+    assert np.allclose(search._blocks(block, term, 13), plain, atol=1e-12)
+    assert not search._blocks(block[:0], term[:0], 3).any()
