@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,9 @@ from corpusprep.functions.chat import DEFAULT_SYSTEM, chat_messages
 from corpusprep.functions.html import article_fields
 from corpusprep.operators.ordering import names
 
+#: Texts that are Python objects at a time.
+TEXTS_AT_ONCE = 512
+
 
 def extract_article(df: DataFrame, html_col: str = "html", paragraphs: bool = True) -> DataFrame:
     """The page rows with ``title`` and ``text`` in place of their HTML, the text in
@@ -75,14 +79,17 @@ def compare_responses(
 
 
 def map_text(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.Series], out: str) -> DataFrame:
-    """Adds ``fn`` of a text column. ``fn`` gets the texts of an Arrow batch as a Series,
-    without nulls, and returns as many; null stays null."""
-
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            known = texts.notna()
-            mapped = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            mapped[known] = fn(texts[known])
-            yield mapped
-
-    return df.withColumn(out, F.pandas_udf(apply, "string")(F.col(column)))
+    """Adds ``fn`` of a text column. ``fn`` gets the texts of a part of an Arrow batch, at
+    most TEXTS_AT_ONCE, as a Series without nulls, and returns as many; null stays null."""
+
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS_AT_ONCE):
+                texts = batch.slice(at, TEXTS_AT_ONCE).to_pandas()
+                known = texts.notna()
+                mapped = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+                mapped[known] = fn(texts[known])
+                yield pa.Array.from_pandas(mapped, type=pa.large_string() if pa.types.is_large_string(batch.type) else pa.string())
+            pa.default_memory_pool().release_unused()
+
+    return df.withColumn(out, F.arrow_udf(apply, "string")(F.col(column)))

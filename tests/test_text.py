@@ -182,6 +182,16 @@ def test_map_text_keeps_null(spark):
     assert values(op.map_text(df, "c", lambda texts: texts.str[::-1], "out"), "out") == ["ba", None, ""]
 
 
+def test_map_text_gives_a_few_texts_at_a_time(spark):
+    def counted(texts):
+        assert len(texts) <= 512
+        return texts + f":{texts.notna().all()}"
+
+    df = spark.range(3000).coalesce(1).selectExpr("id", "if(id % 7 = 0, null, concat('é', id)) as c")
+    got = {r["id"]: r["out"] for r in op.map_text(df, "c", counted, "out").collect()}
+    assert got == {i: None if i % 7 == 0 else f"é{i}:True" for i in range(3000)}
+
+
 def test_flatten_nested(spark):
     schema = "name STRING, provider STRING, instances ARRAY<STRUCT<name: STRING, gpus: INT>>"
     rows = [("c1", "p", [("a", 1), ("b", 2)]), ("c2", "q", []), ("c3", "q", None)]
